@@ -1,0 +1,21 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 20_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    Meant for aggregated results: the rows are fetched once (never more than the limit) so
+    that the aggregate behind them is not run again. A larger ``df`` comes back as it is and
+    is joined by shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
