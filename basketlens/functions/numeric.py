@@ -25,4 +25,4 @@ def exact_avg(x: Column, scale: int = 8) -> Column:
 
 def ten_digits(x: Column) -> Column:
     """``x`` to ten significant digits, for statistics of any magnitude."""
-    return F.format_string("%.9e", x).cast("double")
+    return F.when(x.isNotNull(), F.format_string("%.9e", x).try_cast("double"))

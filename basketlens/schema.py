@@ -4,23 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
-# The typed transaction table, column by column.
-TYPED_SCHEMA = StructType.fromDDL(
-    "Transaction_ID bigint, Customer_ID bigint, Name string, City string, State string, "
-    "Zipcode bigint, Country string, Age int, Gender string, Income string, "
-    "Customer_Segment string, Date timestamp, Year int, Month int, Time string, "
-    "Total_Purchases int, Amount double, Total_Amount double, Product_Category string, "
-    "Product_Brand string, Product_Type string, Feedback string, Shipping_Method string, "
-    "Payment_Method string, Order_Status string, Ratings double, products string"
+LONG, INT, DOUBLE, STRING, TIME = (
+    LongType(), IntegerType(), DoubleType(), StringType(), TimestampType()
 )
 
+# The typed transaction table, column by column.
+TYPED_COLUMNS = {
+    "Transaction_ID": LONG, "Customer_ID": LONG, "Name": STRING, "City": STRING,
+    "State": STRING, "Zipcode": LONG, "Country": STRING, "Age": INT, "Gender": STRING,
+    "Income": STRING, "Customer_Segment": STRING, "Date": TIME, "Year": INT, "Month": INT,
+    "Time": STRING, "Total_Purchases": INT, "Amount": DOUBLE, "Total_Amount": DOUBLE,
+    "Product_Category": STRING, "Product_Brand": STRING, "Product_Type": STRING,
+    "Feedback": STRING, "Shipping_Method": STRING, "Payment_Method": STRING,
+    "Order_Status": STRING, "Ratings": DOUBLE, "products": STRING,
+}
+TYPED_SCHEMA = StructType([StructField(name, kind) for name, kind in TYPED_COLUMNS.items()])
+
 CONTACT_COLUMNS = ["Email", "Phone", "Address"]
 
-RAW_SCHEMA = StructType(list(TYPED_SCHEMA.fields))
-for _name in CONTACT_COLUMNS:
-    RAW_SCHEMA = RAW_SCHEMA.add(_name, "string")
+RAW_SCHEMA = StructType(
+    [*TYPED_SCHEMA.fields, *[StructField(name, STRING) for name in CONTACT_COLUMNS]]
+)
 
 CLEAN_COLUMNS = [
     "Customer_ID", "Country", "Age", "Gender", "Income", "Customer_Segment", "Year", "Month",

@@ -79,7 +79,7 @@ def main(sf_dir: str, wanted: list[str]) -> None:
             else:
                 problem = None if build(spark, sf_dir).collect() else "no rows"
         except Exception as e:  # a report over all queries, not a handler
-            problem = f"{type(e).__name__}: {str(e)[:1500]}"
+            problem = f"{type(e).__name__}: {str(e)[:400]}"
         failed += problem is not None
         note = "" if name in sqls else " (no sql)"
         print(f"{time.time() - start:6.1f}s {name}{note}: {problem or 'ok'}", flush=True)
