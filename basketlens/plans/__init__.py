@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning", "profiling", "reports"]
+MODULES = ["cleaning", "profiling", "reports", "features", "recommend"]
 
 
 def load():

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.operators.cleaning import clean
+from basketlens.operators.features import INDEXED_COLUMNS, model_table
+from basketlens.operators.staging import staged
+from basketlens.schema import MODEL_COLUMNS
 from basketlens.sources.adapter import retail, retail_oracle_sql
 
 ROW_KEY = ["Transaction_ID", "Total_Amount"]
@@ -97,3 +100,63 @@ def over_profile(sql: str) -> str:
 
 def over_clean(sql: str) -> str:
     return f"WITH {CLEAN} {sql}"
+
+
+def model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model table, stored."""
+    return staged(model_table(staged(clean_table(spark, sf_dir))))
+
+
+def _index_sql(column: str) -> str:
+    return f"""index_{column} AS (
+  SELECT v, cast(row_number() OVER (ORDER BY n DESC, v) - 1 AS int) AS i FROM (
+    SELECT cast({column} AS varchar) AS v, count(*) AS n FROM clean WHERE {column} IS NOT NULL GROUP BY 1) c
+)"""
+
+
+def _indexed(column: str) -> str:
+    return f"coalesce(index_{column}.i, cast((SELECT count(*) FROM index_{column}) AS int))"
+
+
+def _model_sql() -> str:
+    feedback = (
+        "CASE Feedback WHEN 'Bad' THEN 1.0::double WHEN 'Average' THEN 2.0::double "
+        "WHEN 'Good' THEN 3.0::double WHEN 'Excellent' THEN 4.0::double END"
+    )
+    computed = {
+        **{c: _indexed(c) for c in INDEXED_COLUMNS if c != "products"},
+        "Month_Index": "cast(coalesce(Month, 0) AS int)",
+        "Products": "c.products",
+        "Feedback_Rating": feedback,
+        "Combined_Rating": f"0.5::double * Ratings + 0.5::double * ({feedback})",
+    }
+    columns = ", ".join(f"{computed.get(c, 'c.' + c)} AS {c}" for c in MODEL_COLUMNS)
+    joins = " ".join(
+        f"LEFT JOIN index_{c} ON cast(c.{c} AS varchar) = index_{c}.v" for c in INDEXED_COLUMNS
+    )
+    return (
+        f"{CLEAN}, {', '.join(_index_sql(c) for c in INDEXED_COLUMNS)}, "
+        f"model AS (SELECT {columns}, {_indexed('products')} AS Products_Index FROM clean c {joins})"
+    )
+
+
+MODEL = _model_sql()
+
+
+def over_model(sql: str) -> str:
+    return f"WITH {MODEL} {sql}"
+
+
+def scaled_sql(columns: list[str], keep: str, source: str = "model") -> str:
+    """SELECT of ``keep`` and v0, v1, ...: the columns scaled by their range."""
+    cells = []
+    for i, c in enumerate(columns):
+        low, high = f"(SELECT min({c}) FROM {source})", f"(SELECT max({c}) FROM {source})"
+        cells.append(
+            f"CASE WHEN {high} = {low} THEN 0.5 ELSE (cast({c} AS double) - {low}) / cast({high} - {low} AS double) END AS v{i}"
+        )
+    return f"SELECT {keep}, {', '.join(cells)} FROM {source}"
+
+
+def rounded_sql(size: int, prefix: str = "v") -> str:
+    return ", ".join(f"{round_sql(f'{prefix}{i}', 6)} AS {prefix}{i}" for i in range(size))
