@@ -47,17 +47,21 @@ def bucket_column(
 
     key_type = key_rows.schema["key"].dataType
     bounds = F.from_json(F.lit(f"[{','.join(splits)}]"), ArrayType(key_type))
-    steps = [2**i for i in reversed(range(len(splits).bit_length()))]
-    key = F.struct(*keys)
-    # Binary search: how many split points are at or below the key.
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= len(splits)) & (F.try_element_at(bounds, found + step) <= key),
-            found + step,
-        ).otherwise(found),
-    )
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(len(splits).bit_length()))])
+
+    def splits_at_or_below(key: Column) -> Column:
+        """Binary search in the sorted split points."""
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda found, step: F.when(
+                (found + step <= len(splits)) & (F.try_element_at(bounds, found + step) <= key),
+                found + step,
+            ).otherwise(found),
+        )
+
+    # The one-element transform builds the key once per row, not once per step.
+    return F.transform(F.array(F.struct(*keys)), splits_at_or_below)[0]
 
 
 def number_rows(

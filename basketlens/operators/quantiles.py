@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.operators.numbering import ROWS_PER_BUCKET, bucket_column
+from basketlens.operators.numbering import bucket_column
 from basketlens.operators.sizing import broadcast_if_small
 
+# Small buckets: only those with a wanted rank are looked into.
+ROWS_PER_BUCKET = 25_000
+
 
 def exact_quantiles(
     df: DataFrame,

@@ -15,6 +15,12 @@ TABLES = [
 ]
 
 
+SPARK_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -43,6 +49,10 @@ def compare(spark_df, con, sql: str) -> str | None:
     if sorted(columns) != names:
         return f"columns {names} != {sorted(columns)}"
     at = [columns.index(n) for n in names]
+    types = [str(cur.description[i][1]) for i in at]
+    kinds = [SPARK_TYPES[dict(spark_df.dtypes)[n]] for n in names]
+    if types != kinds:
+        return f"types differ: {[x for x in zip(names, kinds, types) if x[1] != x[2]]}"
     want = sorted((tuple(plain(r[i]) for i in at) for r in cur.fetchall()), key=repr)
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
