@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date notations tried in this order.
-DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy"]
+# Notations tried, in this order, on text that is not an ISO date.
+DATE_FORMATS = ["M/d/yyyy"]
+ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(\D|$)"
 
 
 def parse_timestamp(text: Column, formats: list[str] | None = None) -> Column:
-    """The first format that fits; null if none does."""
-    return reduce(
-        F.coalesce,
-        [F.try_to_timestamp(text, F.lit(f)) for f in (formats or DATE_FORMATS)],
-    )
+    """An ISO date with or without time, else the first format that fits, else null.
+
+    A plain cast would read a time of day as that time today.
+    """
+    iso = F.when(text.rlike(ISO_DATE), text.try_cast("timestamp"))
+    others = [F.try_to_timestamp(text, F.lit(f)) for f in formats or DATE_FORMATS]
+    return F.coalesce(iso, *others)
 
 
 def date_prefix(text: Column) -> Column:

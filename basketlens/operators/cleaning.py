@@ -10,6 +10,7 @@ from basketlens.functions.dates import date_prefix, parse_timestamp
 from basketlens.functions.labels import income_score
 from basketlens.functions.numeric import round_half_up
 from basketlens.operators.numbering import ROWS_PER_BUCKET, number_rows
+from basketlens.operators.staging import staged
 from basketlens.schema import CLEAN_COLUMNS, CONTACT_COLUMNS, drop_required, require_columns
 
 # Fixed values.
@@ -145,8 +146,10 @@ def customer_profile(df: DataFrame) -> DataFrame:
 def apply_profile(df: DataFrame, profile: DataFrame) -> DataFrame:
     """Replace the customer attributes of every row by those of the profile.
 
-    One equi-join. A customer with very many rows makes one skewed partition on the left, which
-    adaptive execution splits (the profile has one row per customer).
+    One equi-join, by broadcast if the profile is small. Otherwise a customer with very many rows
+    makes one skewed partition on the left, which adaptive execution splits. It does so only if
+    the profile is a table of its own, not if the join is planned right on its aggregation:
+    pass a stored profile.
     """
     attributes = [c for c in profile.columns if c != "Customer_ID"]
     joined = df.drop(*attributes).join(profile, "Customer_ID", "left")
@@ -176,7 +179,7 @@ def clean(
     require_columns(df, [c for c in CLEAN_COLUMNS if c != "Transaction_ID"])
     require_columns(df, ["Date", "Amount", "Total_Amount", *order])
     dated = derive_quantity(drop_undated(fill_year_month(df, source)))
-    profile = customer_profile(drop_unattributed(dated))
+    profile = staged(customer_profile(drop_unattributed(dated)))
 
     narrow = dated.select(
         *[c for c in CLEAN_COLUMNS if c != "Transaction_ID"],

@@ -44,11 +44,10 @@ def index_ids(spark, sf_dir):
     return f.value_indices(retail(spark, sf_dir), ID_COLUMNS)
 
 
-@query("replace_by_index", over_clean(f"""
-, cats AS ({_indices_sql("clean", ["Country", "Gender"])})
-SELECT c.Transaction_ID, a."index" AS Country_index, b."index" AS Gender_index FROM clean c
-JOIN cats a ON a."column" = 'Country' AND a.value = c.Country
-JOIN cats b ON b."column" = 'Gender' AND b.value = c.Gender"""))
+@query("replace_by_index", over_clean("""
+, counted AS (SELECT *, count(*) OVER (PARTITION BY Country) AS nc, count(*) OVER (PARTITION BY Gender) AS ng FROM clean)
+SELECT Transaction_ID, cast(dense_rank() OVER (ORDER BY nc DESC, Country) - 1 AS int) AS Country_index,
+  cast(dense_rank() OVER (ORDER BY ng DESC, Gender) - 1 AS int) AS Gender_index FROM counted"""))
 def replace_by_index(spark, sf_dir):
     clean = staged(clean_table(spark, sf_dir).select("Transaction_ID", "Country", "Gender"))
     columns = ["Country", "Gender"]

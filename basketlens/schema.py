@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
     DoubleType,
     IntegerType,
+    IntegralType,
     LongType,
     StringType,
     StructField,
@@ -32,9 +34,11 @@ TYPED_SCHEMA = StructType([StructField(name, kind) for name, kind in TYPED_COLUM
 
 CONTACT_COLUMNS = ["Email", "Phone", "Address"]
 
-RAW_SCHEMA = StructType(
-    [*TYPED_SCHEMA.fields, *[StructField(name, STRING) for name in CONTACT_COLUMNS]]
-)
+# As stored in text files: dates come in several notations and months also as names.
+RAW_COLUMNS = {
+    **TYPED_COLUMNS, "Date": STRING, "Month": STRING, **dict.fromkeys(CONTACT_COLUMNS, STRING),
+}
+RAW_SCHEMA = StructType([StructField(name, kind) for name, kind in RAW_COLUMNS.items()])
 
 CLEAN_COLUMNS = [
     "Customer_ID", "Country", "Age", "Gender", "Income", "Customer_Segment", "Year", "Month",
@@ -63,11 +67,18 @@ def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
+def cast_or_null(x: Column, kind: DataType) -> Column:
+    """``x`` as ``kind``; null if it does not fit. An integer may be written as "4.0"."""
+    if isinstance(kind, IntegralType):
+        return F.coalesce(x.try_cast(kind), x.try_cast("double").try_cast(kind))
+    return x.try_cast(kind)
+
+
 def apply_schema(df: DataFrame, schema: StructType = TYPED_SCHEMA) -> DataFrame:
     """Select and cast to ``schema``; a value that does not fit its type becomes null."""
     require_columns(df, schema.names)
     return df.select(
-        [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+        [cast_or_null(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
     )
 
 
