@@ -82,17 +82,25 @@ def with_ratings(df: DataFrame, alpha: float = 0.5) -> DataFrame:
 
 
 def model_table(
-    clean: DataFrame, alpha: float = 0.5, rows_per_bucket: int = ROWS_PER_BUCKET
+    clean: DataFrame,
+    columns: list[str] | None = None,
+    alpha: float = 0.5,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """The 19 model columns in their order, and Products_Index.
+    """The 19 model columns in their order, and Products_Index; or only the ``columns`` wanted.
 
-    ``clean`` is read several times: pass a stored table.
+    Only the wanted columns are indexed. ``clean`` is read several times: pass a stored table.
     """
     require_columns(clean, CLEAN_COLUMNS)
-    indices = staged(value_indices(clean, INDEXED_COLUMNS, rows_per_bucket), "column")
-    indexed = attach_indices(clean, indices, INDEXED_COLUMNS)
+    wanted = columns or [*MODEL_COLUMNS, "Products_Index"]
+    source = {"products": "Products_Index"}
+    to_index = [c for c in INDEXED_COLUMNS if source.get(c, c) in wanted]
+    indexed = clean
+    if to_index:
+        indices = staged(value_indices(clean, to_index, rows_per_bucket), "column")
+        indexed = attach_indices(clean, indices, to_index)
     rated = with_ratings(indexed, alpha)
-    replaced = {c: F.col(f"{c}_index") for c in INDEXED_COLUMNS if c != "products"}
+    replaced = {source.get(c, c): F.col(f"{c}_index") for c in to_index}
     computed = {
         **replaced,
         "Age": F.col("Age").try_cast("int"),
@@ -101,10 +109,7 @@ def model_table(
         "Month_Index": month_index(F.col("Month")),
         "Products": F.col("products"),
     }
-    return rated.select(
-        *[computed.get(c, F.col(c)).alias(c) for c in MODEL_COLUMNS],
-        F.col("products_index").alias("Products_Index"),
-    )
+    return rated.select(*[computed.get(c, F.col(c)).alias(c) for c in wanted])
 
 
 def product_lookup(model: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from basketlens.plans.tables import (
     over_profile,
     over_retail,
     round_sql,
+    stored_retail,
 )
 from basketlens.schema import TYPED_SCHEMA, apply_schema, drop_if_present
 from basketlens.sources.adapter import retail
@@ -118,14 +119,14 @@ def derive_quantity(spark, sf_dir):
 SELECT row_number() OVER (ORDER BY Transaction_ID, Total_Amount) AS position, Transaction_ID,
   Total_Amount FROM retail"""))
 def dense_ids(spark, sf_dir):
-    return number_rows(retail(spark, sf_dir).select(*ROW_KEY), ROW_KEY)
+    return number_rows(stored_retail(spark, sf_dir, *ROW_KEY), ROW_KEY)
 
 
 @query("rename_transaction_id", over_retail("""
 SELECT Transaction_ID AS Old_Transaction_ID, Total_Amount,
   row_number() OVER (ORDER BY Transaction_ID, Total_Amount) AS Transaction_ID FROM retail"""))
 def rename_transaction_id(spark, sf_dir):
-    return c.renumber(retail(spark, sf_dir).select(*ROW_KEY), ROW_KEY)
+    return c.renumber(stored_retail(spark, sf_dir, *ROW_KEY), ROW_KEY)
 
 
 @query("fill_defaults", over_retail("""

@@ -91,7 +91,7 @@ def model_columns(spark, sf_dir):
 
 @query("product_lookup", over_model("SELECT DISTINCT Products_Index, Products FROM model"))
 def product_lookup(spark, sf_dir):
-    return f.product_lookup(model(spark, sf_dir))
+    return f.product_lookup(model(spark, sf_dir, "Products", "Products_Index"))
 
 
 @query("train_test_split")
@@ -112,14 +112,14 @@ def _features_sql(columns: list[str], keep: str) -> str:
     "SELECT DISTINCT * FROM (" + _features_sql(f.USER_FEATURES, "Customer_ID") + ") t"
 ))
 def user_profile(spark, sf_dir):
-    users = f.user_profiles(model(spark, sf_dir))
+    users = f.user_profiles(model(spark, sf_dir, *f.USER_FEATURES))
     vectors = users.select("Customer_ID", f.feature_array(f.USER_FEATURES).alias("v"))
     return vectors.select("Customer_ID", *f.spread("v", len(f.USER_FEATURES), "v"))
 
 
 @query("product_features", over_model(_features_sql(f.PRODUCT_FEATURES, "Transaction_ID")))
 def product_features(spark, sf_dir):
-    vectors = model(spark, sf_dir).select(
+    vectors = model(spark, sf_dir, *f.PRODUCT_FEATURES).select(
         "Transaction_ID", f.feature_array(f.PRODUCT_FEATURES).alias("v")
     )
     return vectors.select("Transaction_ID", *f.spread("v", len(f.PRODUCT_FEATURES), "v"))
@@ -127,7 +127,7 @@ def product_features(spark, sf_dir):
 
 @query("transaction_features", over_model(_features_sql(f.TRANSACTION_FEATURES, "Transaction_ID")))
 def transaction_features(spark, sf_dir):
-    vectors = model(spark, sf_dir).select(
+    vectors = model(spark, sf_dir, *f.TRANSACTION_FEATURES).select(
         "Transaction_ID", f.feature_array(f.TRANSACTION_FEATURES).alias("v")
     )
     return vectors.select("Transaction_ID", *f.spread("v", len(f.TRANSACTION_FEATURES), "v"))
@@ -150,17 +150,17 @@ def _scaled_sql(columns: list[str], keep: str, before: str = "", source: str = "
     f", users AS (SELECT DISTINCT {', '.join(f.USER_FEATURES)} FROM model)", "users",
 ))
 def minmax_user(spark, sf_dir):
-    return _scaled(f.user_profiles(model(spark, sf_dir)), f.USER_FEATURES, "Customer_ID")
+    return _scaled(f.user_profiles(model(spark, sf_dir, *f.USER_FEATURES)), f.USER_FEATURES, "Customer_ID")
 
 
 @query("minmax_product", _scaled_sql(f.PRODUCT_FEATURES, "Transaction_ID"))
 def minmax_product(spark, sf_dir):
-    return _scaled(model(spark, sf_dir), f.PRODUCT_FEATURES, "Transaction_ID")
+    return _scaled(model(spark, sf_dir, *f.PRODUCT_FEATURES), f.PRODUCT_FEATURES, "Transaction_ID")
 
 
 @query("minmax_transaction", _scaled_sql(f.TRANSACTION_FEATURES, "Transaction_ID"))
 def minmax_transaction(spark, sf_dir):
-    return _scaled(model(spark, sf_dir), f.TRANSACTION_FEATURES, "Transaction_ID")
+    return _scaled(model(spark, sf_dir, *f.TRANSACTION_FEATURES), f.TRANSACTION_FEATURES, "Transaction_ID")
 
 
 HYBRID = (
@@ -206,7 +206,7 @@ SELECT t.Transaction_ID, t.Customer_ID, u.Age, u.Income FROM model t
 JOIN (SELECT DISTINCT Customer_ID, Age, Gender, Country, Income, Customer_Segment FROM model) u
   ON t.Customer_ID = u.Customer_ID"""))
 def join_user_profile(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *f.USER_FEATURES, "Transaction_ID")
     users = f.user_profiles(rows).select("Customer_ID", "Age", "Income")
     return rows.select("Transaction_ID", "Customer_ID").join(users, "Customer_ID")
 
@@ -215,6 +215,8 @@ def join_user_profile(spark, sf_dir):
     "SELECT Transaction_ID, Customer_ID, Products, Product_Brand FROM model"
 ))
 def join_tx_product(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(
+        spark, sf_dir, "Transaction_ID", "Customer_ID", "Products", "Product_Brand"
+    )
     left = rows.select("Transaction_ID", "Customer_ID")
     return left.join(rows.select("Transaction_ID", "Products", "Product_Brand"), "Transaction_ID")

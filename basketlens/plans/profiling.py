@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from basketlens.functions.labels import INCOME_SCORES, label_code
 from basketlens.operators import profiling as p
 from basketlens.plans.registry import query
-from basketlens.plans.tables import exact_avg_sql, over_retail, ten_digits_sql
+from basketlens.plans.tables import exact_avg_sql, over_retail, stored_retail, ten_digits_sql
 from basketlens.schema import RAW_SCHEMA
 from basketlens.sources.adapter import retail
 
@@ -78,7 +78,7 @@ def _quartiles(x: str) -> str:
     f"{_quartiles(c)}, cast(max({c}) AS double) AS max FROM retail" for c in NUMBERS
 ]))
 def describe_quartiles(spark, sf_dir):
-    return p.describe_quartiles(retail(spark, sf_dir))
+    return p.describe_quartiles(stored_retail(spark, sf_dir, *NUMBERS))
 
 
 @query("value_counts", over_retail(
@@ -102,12 +102,12 @@ _SUMMARY = f"""count(*) AS row_count, count(Amount) AS value_count,
 
 @query("amount_summary", over_retail(f"SELECT {_SUMMARY} FROM retail"))
 def amount_summary(spark, sf_dir):
-    return p.value_summary(retail(spark, sf_dir), "Amount")
+    return p.value_summary(stored_retail(spark, sf_dir, "Amount"), "Amount")
 
 
 @query("income_amount_stats", over_retail(f"SELECT Income, {_SUMMARY} FROM retail GROUP BY Income"))
 def income_amount_stats(spark, sf_dir):
-    return p.value_summary(retail(spark, sf_dir), "Amount", ["Income"])
+    return p.value_summary(stored_retail(spark, sf_dir, "Income", "Amount"), "Amount", ["Income"])
 
 
 @query("log_histogram", over_retail(f"""
@@ -119,7 +119,7 @@ SELECT cast(b.bin AS int) AS bin, {ten_digits_sql("low + b.bin * ((high - low) /
   {ten_digits_sql("low + (b.bin + 1) * ((high - low) / 50)")} AS high, coalesce(n, 0) AS count
 FROM (SELECT range AS bin FROM range(50)) b CROSS JOIN lim LEFT JOIN counts c ON b.bin = c.bin"""))
 def log_histogram(spark, sf_dir):
-    return p.log_histogram(retail(spark, sf_dir), "Amount")
+    return p.log_histogram(stored_retail(spark, sf_dir, "Amount"), "Amount")
 
 
 @query("log_density", over_retail(f"""
@@ -132,7 +132,7 @@ SELECT point, {ten_digits_sql("any_value(g)")} AS x,
   {ten_digits_sql("sum(n * exp(-0.5 * pow((x - g) / h, 2))) / (any_value(total) * any_value(h) * sqrt(2 * pi()))")} AS density
 FROM logs, grid GROUP BY point"""))
 def log_density(spark, sf_dir):
-    return p.log_density(retail(spark, sf_dir), "Amount")
+    return p.log_density(stored_retail(spark, sf_dir, "Amount"), "Amount")
 
 
 def _box(group: str, value: str) -> str:
@@ -153,7 +153,7 @@ FROM fenced GROUP BY {group}""")
 
 @query("box_income_amount", _box("Income", "Amount"))
 def box_income_amount(spark, sf_dir):
-    return p.box_summary(retail(spark, sf_dir), "Income", "Amount")
+    return p.box_summary(stored_retail(spark, sf_dir, "Income", "Amount"), "Income", "Amount")
 
 
 _SCORE = "CASE Income WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 END"
@@ -161,7 +161,8 @@ _SCORE = "CASE Income WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3
 
 @query("box_segment_income", _box("Customer_Segment", _SCORE))
 def box_segment_income(spark, sf_dir):
-    scored = retail(spark, sf_dir).withColumn("Income", label_code(F.col("Income"), INCOME_SCORES))
+    rows = stored_retail(spark, sf_dir, "Customer_Segment", "Income")
+    scored = rows.withColumn("Income", label_code(F.col("Income"), INCOME_SCORES))
     return p.box_summary(scored, "Customer_Segment", "Income")
 
 

@@ -17,6 +17,8 @@ from basketlens.plans.tables import model, over_model, round_sql
 from basketlens.sources.adapter import table
 
 EMBEDDING_SIZE = 64
+SEQUENCE_COLUMNS = ["Customer_ID", *s.ORDER, "Products"]
+EVALUATION_COLUMNS = [*SEQUENCE_COLUMNS, "Product_Category", "Products_Index"]
 
 
 def _embeddings(spark, sf_dir):
@@ -95,7 +97,9 @@ def hybrid_top5(spark, sf_dir):
 
 
 def _als_top5(spark, sf_dir, rating):
-    rows = model(spark, sf_dir)
+    rows = model(
+        spark, sf_dir, "Customer_ID", "Products_Index", "Products", "Transaction_ID", rating
+    )
     train, _ = f.train_test_split(rows)
     return r.recommend_for_all(r.fit_als(train, rating), f.product_lookup(rows))
 
@@ -117,7 +121,8 @@ def als_combined_top5(spark, sf_dir):
 
 @query("als_rmse")
 def als_rmse(spark, sf_dir):
-    train, test = f.train_test_split(model(spark, sf_dir))
+    columns = ["Customer_ID", "Products_Index", "Transaction_ID", "Combined_Rating"]
+    train, test = f.train_test_split(model(spark, sf_dir, *columns))
     predictions = r.predict(r.fit_als(train, "Combined_Rating"), test)
     return r.rmse(predictions, "Combined_Rating")
 
@@ -128,7 +133,7 @@ def als_rmse(spark, sf_dir):
 SELECT {round_sql("sqrt(avg((Ratings - prediction) * (Ratings - prediction)))", 6)} AS rmse
 FROM model JOIN by_product USING (Products)"""))
 def rmse(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, "Products", "Ratings")
     means = rows.groupBy("Products").agg(F.avg("Ratings").alias("prediction"))
     return r.rmse(rows.join(means, "Products"), "Ratings")
 
@@ -158,7 +163,8 @@ def kmeans_popular(spark, sf_dir):
 SELECT cluster, Products, {round_sql("avg(Combined_Rating)", 6)} AS avg_rating
 FROM model JOIN labels USING (Customer_ID) GROUP BY 1, 2"""))
 def popular_by_cluster(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    columns = ["Customer_ID", "Products", "Combined_Rating", "Month_Index"]
+    rows = model(spark, sf_dir, *columns)
     quarter = F.ceil(F.col("Month_Index") / 3).cast("int").alias("cluster")
     return r.popular_by_cluster(rows, rows.select("Customer_ID", quarter))
 
@@ -168,7 +174,7 @@ SELECT Customer_ID, 0 AS piece, cast(count(*) AS int) AS seq_length,
   string_agg(Products, '|' ORDER BY Year, Month_Index, Transaction_ID) AS product_sequence
 FROM model WHERE Products IS NOT NULL GROUP BY Customer_ID HAVING count(*) BETWEEN 2 AND 1000"""))
 def purchase_sequences(spark, sf_dir):
-    sequences = s.purchase_sequences(model(spark, sf_dir))
+    sequences = s.purchase_sequences(model(spark, sf_dir, *SEQUENCE_COLUMNS))
     return sequences.select(
         "Customer_ID",
         "piece",
@@ -182,7 +188,7 @@ SELECT Customer_ID, Products, row_number() OVER (
   PARTITION BY Customer_ID ORDER BY Year, Month_Index, Transaction_ID) AS position
 FROM model WHERE Products IS NOT NULL"""))
 def ordered_purchases(spark, sf_dir):
-    return s.ordered_purchases(model(spark, sf_dir))
+    return s.ordered_purchases(model(spark, sf_dir, *SEQUENCE_COLUMNS))
 
 
 CATEGORIES = """categories AS (SELECT Products, Product_Category FROM (
@@ -193,7 +199,7 @@ CATEGORIES = """categories AS (SELECT Products, Product_Category FROM (
 
 @query("product_category", over_model(f", {CATEGORIES} SELECT * FROM categories"))
 def product_category(spark, sf_dir):
-    return s.product_categories(model(spark, sf_dir))
+    return s.product_categories(model(spark, sf_dir, "Products", "Product_Category"))
 
 
 PLACED = """placed AS (SELECT Customer_ID, Products, Product_Category,
@@ -208,7 +214,7 @@ training AS (SELECT DISTINCT Customer_ID, Products FROM placed WHERE place < seq
 SELECT a.Customer_ID, actual_item, a.seq_length, count(*) AS training_products
 FROM actual a JOIN training t ON a.Customer_ID = t.Customer_ID GROUP BY 1, 2, 3"""))
 def leave_one_out(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *SEQUENCE_COLUMNS)
     last = s.last_purchases(rows)
     products = s.training_products(rows, last).groupBy("Customer_ID").agg(
         F.count(F.lit(1)).alias("training_products")
@@ -245,20 +251,20 @@ def _fixed_vectors(rows, spark, sf_dir):
     f"{round_sql(f'v[{i + 1}]', 6)} AS e{i}" for i in range(EMBEDDING_SIZE)
 ) + " FROM user_vectors"))
 def user_embeddings(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *EVALUATION_COLUMNS)
     vectors = s.user_embeddings(rows, _fixed_vectors(rows, spark, sf_dir))
     return vectors.select("Customer_ID", *f.spread("user_vector", EMBEDDING_SIZE, "e"))
 
 
 @query("nearest_products", over_model(f", {FIXED} {NEAREST}"))
 def nearest_products(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *EVALUATION_COLUMNS)
     return _rounded(s.nearest_products(rows, _fixed_vectors(rows, spark, sf_dir)))
 
 
 @query("category_hits", over_model(f", {HITS} SELECT * FROM hits"))
 def category_hits(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *EVALUATION_COLUMNS)
     return s.category_hits(rows, _fixed_vectors(rows, spark, sf_dir))
 
 
@@ -266,13 +272,13 @@ def category_hits(spark, sf_dir):
 SELECT {round_sql("avg(cat_hits)", 6)} AS avg_category_hits, {round_sql("avg(cat_hits) / 5", 6)} AS category_hit_rate
 FROM hits"""))
 def hit_rate(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *EVALUATION_COLUMNS)
     return s.hit_rate(s.category_hits(rows, _fixed_vectors(rows, spark, sf_dir)))
 
 
 @query("word2vec_hit_rate")
 def word2vec_hit_rate(spark, sf_dir):
-    rows = model(spark, sf_dir)
+    rows = model(spark, sf_dir, *EVALUATION_COLUMNS)
     sequences = staged(s.purchase_sequences(rows))
     embeddings = staged(s.embedding_table(s.fit_embeddings(sequences)))
     return s.hit_rate(s.category_hits(rows, embeddings))

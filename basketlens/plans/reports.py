@@ -13,6 +13,7 @@ from basketlens.plans.tables import (
     exact_sum_sql,
     over_retail,
     round_sql,
+    stored_retail,
 )
 from basketlens.sources.adapter import retail
 
@@ -97,7 +98,7 @@ SELECT Product_Category, count(*) AS count,
   {round_sql("count(*) * 100.0 / (SELECT cast(count(*) AS double) FROM retail)", 4)} AS percentage
 FROM retail WHERE Product_Category IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""))
 def top_category_share(spark, sf_dir):
-    return r.top_share(retail(spark, sf_dir), "Product_Category")
+    return r.top_share(stored_retail(spark, sf_dir, "Product_Category"), "Product_Category")
 
 
 MONTHS = f"""
@@ -231,7 +232,8 @@ def bottom_brands(spark, sf_dir):
 SELECT Transaction_ID, Total_Amount, Product_Brand FROM retail
 WHERE Product_Brand IN (SELECT Product_Brand FROM tops UNION ALL SELECT Product_Brand FROM bottoms)"""))
 def brand_membership(spark, sf_dir):
-    rows = r.brand_members(retail(spark, sf_dir))
+    columns = ["Transaction_ID", "Total_Amount", "Product_Brand", "Total_Purchases"]
+    rows = r.brand_members(stored_retail(spark, sf_dir, *columns))
     return rows.select("Transaction_ID", "Total_Amount", "Product_Brand")
 
 
@@ -243,7 +245,8 @@ FROM retail
 WHERE Product_Brand IN (SELECT Product_Brand FROM tops UNION ALL SELECT Product_Brand FROM bottoms)
 GROUP BY 1, 2"""))
 def brand_monthly_trend(spark, sf_dir):
-    return r.brand_monthly_trend(retail(spark, sf_dir))
+    rows = stored_retail(spark, sf_dir, "Month", "Product_Brand", "Total_Purchases")
+    return r.brand_monthly_trend(rows)
 
 
 @query("age_group", over_retail(
@@ -308,13 +311,13 @@ COUNT_CELL = "count(*) FILTER (WHERE {cond})"
 
 @query("pivot_age_gender_sum", _pivot_sql(AGE_GROUP, "Age_Group", "Gender", GENDERS, SUM_CELL, "0.0"))
 def pivot_age_gender_sum(spark, sf_dir):
-    rows = r.with_age_group(retail(spark, sf_dir))
+    rows = r.with_age_group(stored_retail(spark, sf_dir, "Age", "Gender", "Total_Purchases"))
     return pivot_wide(rows, "Age_Group", "Gender", F.sum("Total_Purchases"))
 
 
 @query("pivot_age_gender_avg", _pivot_sql(AGE_GROUP, "Age_Group", "Gender", GENDERS, AVG_CELL, "0.0"))
 def pivot_age_gender_avg(spark, sf_dir):
-    rows = r.with_age_group(retail(spark, sf_dir))
+    rows = r.with_age_group(stored_retail(spark, sf_dir, "Age", "Gender", "Total_Purchases"))
     return pivot_wide(rows, "Age_Group", "Gender", F.avg("Total_Purchases"))
 
 
@@ -322,18 +325,16 @@ def pivot_age_gender_avg(spark, sf_dir):
     "Product_Category", "Product_Category", "Country", COUNTRIES, SUM_CELL, "0.0"
 ))
 def pivot_category_country(spark, sf_dir):
-    return pivot_wide(
-        retail(spark, sf_dir), "Product_Category", "Country", F.sum("Total_Purchases")
-    )
+    rows = stored_retail(spark, sf_dir, "Product_Category", "Country", "Total_Purchases")
+    return pivot_wide(rows, "Product_Category", "Country", F.sum("Total_Purchases"))
 
 
 @query("pivot_segment_shipping", _pivot_sql(
     "Customer_Segment", "Customer_Segment", "Shipping_Method", SHIPPING, COUNT_CELL, "0"
 ))
 def pivot_segment_shipping(spark, sf_dir):
-    return pivot_wide(
-        retail(spark, sf_dir), "Customer_Segment", "Shipping_Method", F.count(F.lit(1))
-    )
+    rows = stored_retail(spark, sf_dir, "Customer_Segment", "Shipping_Method")
+    return pivot_wide(rows, "Customer_Segment", "Shipping_Method", F.count(F.lit(1)))
 
 
 @query("pivot_month_brand", _pivot_sql(
@@ -341,7 +342,8 @@ def pivot_segment_shipping(spark, sf_dir):
     where="WHERE Product_Brand IS NOT NULL",
 ))
 def pivot_month_brand(spark, sf_dir):
-    named = retail(spark, sf_dir).dropna(subset=["Product_Brand"])
+    rows = stored_retail(spark, sf_dir, "Month", "Product_Brand", "Total_Purchases")
+    named = rows.dropna(subset=["Product_Brand"])
     by_number = named.withColumn("Month", key_column("Month"))
     wide = pivot_wide(by_number, "Month", "Product_Brand", F.sum("Total_Purchases"))
     return wide.orderBy("Month")
@@ -351,6 +353,5 @@ def pivot_month_brand(spark, sf_dir):
     "Payment_Method", "Payment_Method", "Customer_Segment", SEGMENTS, COUNT_CELL, "0"
 ))
 def pivot_payment_segment(spark, sf_dir):
-    return pivot_wide(
-        retail(spark, sf_dir), "Payment_Method", "Customer_Segment", F.count(F.lit(1))
-    )
+    rows = stored_retail(spark, sf_dir, "Payment_Method", "Customer_Segment")
+    return pivot_wide(rows, "Payment_Method", "Customer_Segment", F.count(F.lit(1)))

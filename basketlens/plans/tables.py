@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketlens.operators.cleaning import clean
 from basketlens.operators.features import INDEXED_COLUMNS, model_table
 from basketlens.operators.staging import staged
-from basketlens.schema import MODEL_COLUMNS
+from basketlens.schema import CLEAN_COLUMNS, MODEL_COLUMNS
 from basketlens.sources.adapter import retail, retail_oracle_sql
 
 ROW_KEY = ["Transaction_ID", "Total_Amount"]
@@ -15,8 +15,18 @@ ROW_KEY = ["Transaction_ID", "Total_Amount"]
 RETAIL = f"retail AS ({retail_oracle_sql()})"
 
 
+def stored_retail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The columns of the retail table, joined once and stored.
+
+    For operators that read their input several times: the joins behind the table are the
+    costliest part of such a query.
+    """
+    return staged(retail(spark, sf_dir).select(*columns))
+
+
 def clean_table(spark: SparkSession, sf_dir: str, sort: bool = False) -> DataFrame:
-    return clean(retail(spark, sf_dir), order=ROW_KEY, sort=sort)
+    columns = [*CLEAN_COLUMNS, "Date", "Amount", "Total_Amount"]
+    return clean(stored_retail(spark, sf_dir, *columns), order=ROW_KEY, sort=sort)
 
 
 def over_retail(sql: str) -> str:
@@ -106,9 +116,9 @@ def over_clean(sql: str) -> str:
     return f"WITH {CLEAN} {sql}"
 
 
-def model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model table, stored."""
-    return staged(model_table(staged(clean_table(spark, sf_dir))))
+def model(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The model table, or the given columns of it, stored."""
+    return staged(model_table(staged(clean_table(spark, sf_dir)), list(columns)))
 
 
 def _indexed(column: str) -> str:
