@@ -11,16 +11,23 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(x: Column, digits: int) -> Column:
-    return F.round(x.try_cast("decimal(30,8)"), digits).cast("double")
+    """``x`` rounded by its decimal digits; a number too large for that is rounded as double."""
+    by_digits = F.round(x.try_cast("decimal(30,8)"), digits).cast("double")
+    return F.coalesce(by_digits, F.round(x.cast("double"), digits))
+
+
+def as_decimal(x: Column, precision: int, scale: int) -> Column:
+    """NaN counts as missing; a number that does not fit is an error, not a null."""
+    return F.when(~F.isnan(x.cast("double")), x).cast(f"decimal({precision},{scale})")
 
 
 def exact_sum(x: Column, scale: int = 2) -> Column:
-    return F.sum(x.try_cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(as_decimal(x, 18, scale)).cast("double")
 
 
 def exact_avg(x: Column, scale: int = 8) -> Column:
-    total = F.sum(x.try_cast(f"decimal(24,{scale})")).cast("double")
-    return F.try_divide(total, F.count(x))
+    exact = as_decimal(x, 24, scale)
+    return F.try_divide(F.sum(exact).cast("double"), F.count(exact))
 
 
 def ten_digits(x: Column) -> Column:

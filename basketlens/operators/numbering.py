@@ -74,7 +74,7 @@ def number_rows(
     """Add the 1-based position of each row in ``order``, counted within ``by``.
 
     ``by`` and ``order`` together must tell rows apart, or tied rows take their positions in
-    an arbitrary order.
+    an arbitrary order. ``df`` is read several times: pass a stored table.
     """
     by = by or []
     tagged = df.withColumn("_bucket", bucket_column(df, [*by, *order], rows_per_bucket))

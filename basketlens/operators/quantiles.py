@@ -24,10 +24,13 @@ def exact_quantiles(
     by: list[str] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Rows (by..., prob, quantile), with linear interpolation between neighbours."""
+    """Rows (by..., prob, quantile), with linear interpolation between neighbours.
+
+    Null and NaN count as missing. ``df`` is read several times: pass a stored table.
+    """
     by = by or []
     values = df.select(*by, F.col(value).cast("double").alias("_value")).where(
-        F.col("_value").isNotNull()
+        F.col("_value").isNotNull() & ~F.isnan("_value")
     )
     tagged = values.withColumn(
         "_bucket", bucket_column(values, [*by, "_value"], rows_per_bucket)

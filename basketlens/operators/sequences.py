@@ -17,6 +17,7 @@ from basketlens.operators.staging import staged
 ORDER = ["Year", "Month_Index", "Transaction_ID"]
 # Training cuts sentences at this length anyway, so longer sequences are kept in pieces.
 MAX_PIECE = 1000
+MAX_TRAINERS = 64
 
 
 def ordered_purchases(model: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -46,10 +47,14 @@ def purchase_sequences(
 def fit_embeddings(
     sequences: DataFrame, size: int = 50, seed: int = 42, partitions: int | None = None
 ) -> Word2VecModel:
-    """Word2Vec over the sequences, trained in parallel partitions."""
+    """Word2Vec over the sequences, trained in parallel partitions.
+
+    Each partition sends its changes of all vectors, so there are MAX_TRAINERS at most.
+    """
+    parallelism = sequences.sparkSession.sparkContext.defaultParallelism
     word2vec = Word2Vec(
         vectorSize=size, minCount=1, seed=seed, maxSentenceLength=MAX_PIECE,
-        numPartitions=partitions or sequences.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions or min(parallelism, MAX_TRAINERS),
         inputCol="product_sequence", outputCol="product_embedding",
     )
     return word2vec.fit(sequences)

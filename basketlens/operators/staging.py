@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STAGED: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session; on a single machine a new one if none is set."""
@@ -27,10 +29,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+    """Write ``df`` to the shared folder and return the written table.
+
+    The table stays until :func:`clear_staged`, as results computed later may read it.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = new_path(spark)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables this process has staged, once no result needs them any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = hadoop.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["cleaning", "profiling", "reports", "features", "recommend"]
+MODULES = ["cleaning", "profiling", "reports", "features", "recommend", "sources"]
 
 
 def load():

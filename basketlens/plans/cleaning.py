@@ -13,6 +13,7 @@ from basketlens.plans.registry import query
 from basketlens.plans.tables import (
     ROW_KEY,
     SCORED_INCOME,
+    TYPED_SQL,
     clean_table,
     over_clean,
     over_profile,
@@ -23,16 +24,7 @@ from basketlens.plans.tables import (
 from basketlens.schema import TYPED_SCHEMA, apply_schema, drop_if_present
 from basketlens.sources.adapter import retail
 
-_SQL_TYPES = {"bigint": "bigint", "int": "int", "double": "double", "string": "varchar",
-              "timestamp": "timestamp"}
-
-
-@query("typed_schema", over_retail(
-    "SELECT " + ", ".join(
-        f"try_cast({f.name} AS {_SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}"
-        for f in TYPED_SCHEMA.fields
-    ) + " FROM retail"
-))
+@query("typed_schema", over_retail(TYPED_SQL))
 def typed_schema(spark, sf_dir):
     return apply_schema(retail(spark, sf_dir))
 

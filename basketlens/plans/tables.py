@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketlens.operators.cleaning import clean
 from basketlens.operators.features import INDEXED_COLUMNS, model_table
 from basketlens.operators.staging import staged
-from basketlens.schema import CLEAN_COLUMNS, MODEL_COLUMNS
+from basketlens.schema import CLEAN_COLUMNS, MODEL_COLUMNS, TYPED_SCHEMA
 from basketlens.sources.adapter import retail, retail_oracle_sql
 
 ROW_KEY = ["Transaction_ID", "Total_Amount"]
@@ -15,6 +15,14 @@ ROW_KEY = ["Transaction_ID", "Total_Amount"]
 RETAIL = f"retail AS ({retail_oracle_sql()})"
 
 
+_SQL_TYPES = {"bigint": "bigint", "int": "int", "double": "double", "string": "varchar",
+              "timestamp": "timestamp"}
+TYPED_SQL = "SELECT " + ", ".join(
+    f"try_cast({f.name} AS {_SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}"
+    for f in TYPED_SCHEMA.fields
+) + " FROM retail"
+
+
 def stored_retail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The columns of the retail table, joined once and stored.
 

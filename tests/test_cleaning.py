@@ -1,11 +1,12 @@
 import datetime
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from basketlens.functions.dates import date_prefix, parse_timestamp
 from basketlens.functions.labels import age_group, feedback_rating, income_score, month_index
-from basketlens.functions.numeric import round_half_up
+from basketlens.functions.numeric import exact_avg, exact_sum, round_half_up
 from basketlens.operators import cleaning as c
 from basketlens.operators.staging import staged
 from basketlens.plans.tables import ROW_KEY
@@ -61,6 +62,19 @@ def test_rounding_is_half_up(spark):
     assert got == [3.0, 4.0, 1.0, -3.0, None]
 
 
+def test_rounding_keeps_large_numbers(spark):
+    df = one_column(spark, [1e25, float("nan")], "double")
+    large, missing = [r[0] for r in df.select(round_half_up(F.col("x"), 2)).collect()]
+    assert large == 1e25 and missing != missing
+
+
+def test_exact_sums(spark):
+    df = one_column(spark, [0.1] * 1000 + [float("nan"), None], "double")
+    assert tuple(df.agg(exact_sum(F.col("x")), exact_avg(F.col("x"))).head()) == (100.0, 0.1)
+    with pytest.raises(ArithmeticException):
+        one_column(spark, [1e20], "double").agg(exact_sum(F.col("x"))).collect()
+
+
 def test_quantity_from_total(spark):
     rows = [(None, 10.0, 25.0), (None, 0.0, 25.0), (None, None, 25.0), (None, -10.0, 25.0),
             (7.0, 10.0, 25.0), (None, 10.0, 35.0)]
