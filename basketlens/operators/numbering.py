@@ -60,8 +60,10 @@ def bucket_column(
             ).otherwise(found),
         )
 
-    # The one-element transform builds the key once per row, not once per step.
-    return F.transform(F.array(F.struct(*keys)), splits_at_or_below)[0]
+    # The one-element transform builds the key once per row, not once per step. The coalesce
+    # tells the optimizer that there is no null, or a join on the bucket would test for it and
+    # compute the bucket twice.
+    return F.coalesce(F.transform(F.array(F.struct(*keys)), splits_at_or_below)[0], F.lit(0))
 
 
 def number_rows(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.operators.staging import staged
+
 SMALL_ROWS = 20_000
 
 
@@ -12,10 +14,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
     Meant for aggregated results: the rows are fetched once (never more than the limit) so
-    that the aggregate behind them is not run again. A larger ``df`` comes back as it is and
-    is joined by shuffle.
+    that the aggregate behind them is not run again. A larger ``df`` is stored and joined by
+    shuffle; adaptive execution splits a hot key of the other side only if this side is a table
+    of its own.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        return df
+        return staged(df)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

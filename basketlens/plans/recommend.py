@@ -10,6 +10,7 @@ from basketlens.operators import features as f
 from basketlens.operators import recommend as r
 from basketlens.operators import sequences as s
 from basketlens.operators.similarity import top_k_similar
+from basketlens.operators.sizing import broadcast_if_small
 from basketlens.operators.staging import staged
 from basketlens.plans.features import HYBRID, HYBRID_SIZE, PRODUCT_MEANS
 from basketlens.plans.registry import query
@@ -42,7 +43,7 @@ SELECT vec_id, label, {round_sql("list_cosine_similarity(embedding, label_vector
 FROM vectors JOIN label_means USING (label)""")
 def cosine_pairs(spark, sf_dir):
     embeddings = _embeddings(spark, sf_dir)
-    pairs = embeddings.join(_label_means(embeddings), "label")
+    pairs = embeddings.join(broadcast_if_small(_label_means(embeddings)), "label")
     similarity = cosine_similarity(F.col("embedding"), F.col("label_vector"))
     return pairs.select("vec_id", "label", round_half_up(similarity, 6).alias("similarity"))
 
@@ -135,7 +136,7 @@ FROM model JOIN by_product USING (Products)"""))
 def rmse(spark, sf_dir):
     rows = model(spark, sf_dir, "Products", "Ratings")
     means = rows.groupBy("Products").agg(F.avg("Ratings").alias("prediction"))
-    return r.rmse(rows.join(means, "Products"), "Ratings")
+    return r.rmse(rows.join(broadcast_if_small(means), "Products"), "Ratings")
 
 
 def _user_vectors(spark, sf_dir):
