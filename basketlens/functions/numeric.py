@@ -1,7 +1,8 @@
 """Rounding, exact sums and averages.
 
 Sums of doubles depend on the order of addition, hence on partitioning. Money is therefore
-summed as decimal, which gives the same answer for any number of partitions.
+summed as decimal, which gives the same answer for any number of partitions. Nothing is rounded
+before it is summed; results are rounded once, by those who show them.
 """
 
 from __future__ import annotations
@@ -9,27 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# 18 places hold every double of a cent or more to its last digit; 20 digits are left in front.
+EXACT = "decimal(38,18)"
+
 
 def round_half_up(x: Column, digits: int) -> Column:
-    """``x`` rounded by its decimal digits; a number too large for that is rounded as double."""
-    by_digits = F.round(x.try_cast("decimal(30,8)"), digits).cast("double")
-    return F.coalesce(by_digits, F.round(x.cast("double"), digits))
+    """``x`` rounded by its decimal digits."""
+    return F.round(x.cast("double"), digits)
 
 
-def as_decimal(x: Column, precision: int, scale: int) -> Column:
+def as_decimal(x: Column) -> Column:
     """NaN counts as missing; a number that does not fit is an error, not a null."""
-    return F.when(~F.isnan(x.cast("double")), x).cast(f"decimal({precision},{scale})")
+    return F.when(~F.isnan(x.cast("double")), x).cast(EXACT)
 
 
-def exact_sum(x: Column, scale: int = 2) -> Column:
-    return F.sum(as_decimal(x, 18, scale)).cast("double")
+def exact_sum(x: Column) -> Column:
+    return F.sum(as_decimal(x)).cast("double")
 
 
-def exact_avg(x: Column, scale: int = 8) -> Column:
-    exact = as_decimal(x, 24, scale)
+def exact_avg(x: Column) -> Column:
+    exact = as_decimal(x)
     return F.try_divide(F.sum(exact).cast("double"), F.count(exact))
-
-
-def ten_digits(x: Column) -> Column:
-    """``x`` to ten significant digits, for statistics of any magnitude."""
-    return F.when(x.isNotNull(), F.format_string("%.9e", x).try_cast("double"))

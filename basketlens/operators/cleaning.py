@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from basketlens.functions.dates import date_prefix, parse_timestamp
 from basketlens.functions.labels import income_score
 from basketlens.functions.numeric import round_half_up
-from basketlens.operators.numbering import ROWS_PER_BUCKET, number_rows
+from basketlens.operators.numbering import number_rows
 from basketlens.operators.staging import staged
 from basketlens.schema import CLEAN_COLUMNS, CONTACT_COLUMNS, drop_required, require_columns
 
@@ -22,6 +24,7 @@ FILL_DEFAULTS = {
     "Payment_Method": "Credit Card",
     "Ratings": 3,
 }
+PROFILE_COLUMNS = ["Country", "Gender", "Customer_Segment", "Age", "Income"]
 CUSTOMER_DEFAULTS = {"Country": "USA", "Gender": "Female", "Customer_Segment": "Regular"}
 DROPPED_COLUMNS = [
     "Email", "Name", "Zipcode", "Address", "Phone", "City", "State", "Old_Transaction_ID",
@@ -40,12 +43,15 @@ def fill_year_month(df: DataFrame, source: str = "date") -> DataFrame:
     """Complete Year and Month from the date.
 
     ``source="date"`` takes the Date column, ``source="time"`` replaces it by the date at the
-    start of Time.
+    start of Time, ``source="either"`` takes that date where Date holds none.
     """
+    from_time = date_prefix(F.col("Time").cast("string")) if source != "date" else None
     if source == "time":
-        df = df.withColumn("Date", date_prefix(F.col("Time").cast("string")))
+        df = df.withColumn("Date", from_time)
     else:
         df = parse_date_column(df)
+    if source == "either":
+        df = df.withColumn("Date", F.coalesce("Date", from_time.cast(df.schema["Date"].dataType)))
     parts = {"Year": F.year("Date"), "Month": F.month("Date")}
     return df.withColumns(
         {
@@ -69,17 +75,15 @@ def derive_quantity(df: DataFrame) -> DataFrame:
     return df.withColumn("Total_Purchases", F.coalesce("Total_Purchases", quantity))
 
 
-def renumber(
-    df: DataFrame, order: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def renumber(df: DataFrame, order: list[str]) -> DataFrame:
     """Keep the old Transaction_ID as Old_Transaction_ID and number the rows 1..N."""
     renamed = df.withColumnRenamed("Transaction_ID", "Old_Transaction_ID")
     order = ["Old_Transaction_ID" if c == "Transaction_ID" else c for c in order]
-    return number_rows(renamed, order, name="Transaction_ID", rows_per_bucket=rows_per_bucket)
+    return number_rows(renamed, order, name="Transaction_ID")
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
-    return df.fillna(FILL_DEFAULTS)
+    return df.fillna({c: value for c, value in FILL_DEFAULTS.items() if c in df.columns})
 
 
 def customer_profile(df: DataFrame) -> DataFrame:
@@ -168,47 +172,74 @@ def clean(
     order: list[str],
     source: str = "date",
     sort: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    columns: list[str] | None = None,
+    watch: Callable[[str, DataFrame], DataFrame] = lambda step, rows: rows,
 ) -> DataFrame:
-    """The whole pipeline: 30 raw columns to 18 clean ones.
+    """The whole pipeline: 30 raw columns to 18 clean ones, or to the ``columns`` wanted.
 
     ``order`` is the row order that the new identifiers follow; its columns must identify a
     row. Identifiers are given before rows without customer or age are dropped, so they have
-    gaps.
+    gaps. Rows are numbered, and profiles built, only if a wanted column needs it. ``watch`` sees
+    the rows after each step and returns them.
     """
-    require_columns(df, [c for c in CLEAN_COLUMNS if c != "Transaction_ID"])
-    require_columns(df, ["Date", "Amount", "Total_Amount", *order])
-    dated = derive_quantity(drop_undated(fill_year_month(df, source)))
-    profile = staged(customer_profile(drop_unattributed(dated)))
-
-    narrow = dated.select(
-        *[c for c in CLEAN_COLUMNS if c != "Transaction_ID"],
-        *[c for c in order if c not in CLEAN_COLUMNS or c == "Transaction_ID"],
-    )
-    numbered = renumber(narrow, order, rows_per_bucket)
-    filled = fill_defaults(drop_unattributed(numbered).select(*CLEAN_COLUMNS))
-    result = apply_profile(filled, profile)
+    wanted = [c for c in CLEAN_COLUMNS if c in (columns or CLEAN_COLUMNS)]
+    attributes = [c for c in PROFILE_COLUMNS if c in wanted]
+    sources = {c for c in wanted if c != "Transaction_ID"} | {"Month", "Date", "Customer_ID", "Age"}
+    if "Total_Purchases" in wanted:
+        sources |= {"Amount", "Total_Amount"}
+    if "Transaction_ID" in wanted:
+        sources |= set(order)
+    require_columns(df, sorted(sources))
+    dated = watch("dates_processed", fill_year_month(watch("initial", df), source))
+    dated = watch("undated_dropped", drop_undated(dated))
+    if "Total_Purchases" in wanted:
+        dated = derive_quantity(dated)
+    dated = watch("quantity_derived", dated)
+
+    rows = dated.select(*dict.fromkeys([
+        *[c for c in wanted if c != "Transaction_ID"], "Customer_ID", "Age",
+        *(order if "Transaction_ID" in wanted else []),
+    ]))
+    if "Transaction_ID" in wanted:
+        rows = renumber(rows, order)
+    owned = watch("unattributed_dropped", drop_unattributed(rows))
+    result = fill_defaults(owned.select(*dict.fromkeys([*wanted, "Customer_ID"])))
+    if attributes:
+        profile = staged(customer_profile(drop_unattributed(dated)).select("Customer_ID", *attributes))
+        result = apply_profile(result, profile)
+    result = watch("final", result.select(*wanted))
     return result.orderBy("Customer_ID", "Transaction_ID") if sort else result
 
 
-def clean_step_counts(df: DataFrame, source: str = "date") -> DataFrame:
-    """Rows left after each step of :func:`clean`, from a single pass."""
-    dated = fill_year_month(df, source)
-    has_date = F.col("Month").isNotNull() & F.col("Date").isNotNull()
-    has_customer = F.col("Customer_ID").isNotNull() & F.col("Age").isNotNull()
-    steps = {
-        "initial": F.lit(True),
-        "dates_processed": F.lit(True),
-        "undated_dropped": has_date,
-        "quantity_derived": has_date,
-        "unattributed_dropped": has_date & has_customer,
-        "final": has_date & has_customer,
-    }
-    counts = dated.agg(*[F.count_if(kept).alias(name) for name, kept in steps.items()])
-    cells: list[Column] = []
-    for i, name in enumerate(steps, 1):
-        cells += [F.lit(i), F.lit(name), F.col(name)]
-    return counts.select(F.stack(F.lit(len(steps)), *cells).alias("step_no", "step", "row_count"))
+STEPS = [
+    "initial", "dates_processed", "undated_dropped", "quantity_derived", "unattributed_dropped",
+    "final",
+]
+
+
+def clean_counted(
+    df: DataFrame, order: list[str], source: str = "date", sort: bool = True
+) -> tuple[DataFrame, dict[str, Observation]]:
+    """:func:`clean`, and for each step an observation that counts its rows while it runs.
+
+    Rows are stored before they are numbered and before they are sorted: both look at a sample of
+    the rows first, and the steps before would count it too.
+    """
+    seen: dict[str, Observation] = {}
+
+    def watch(step: str, rows: DataFrame) -> DataFrame:
+        seen[step] = Observation(f"rows after {step}")
+        rows = rows.observe(seen[step], F.count(F.lit(1)).alias("rows"))
+        return staged(rows) if step in ("quantity_derived", "final") else rows
+
+    return clean(df, order, source, sort, watch=watch), seen
+
+
+def clean_step_counts(df: DataFrame, order: list[str], source: str = "date") -> DataFrame:
+    """Rows left after each step of :func:`clean`, counted by the steps themselves."""
+    _, seen = clean_counted(df, order, source, sort=False)
+    rows = [(i, step, seen[step].get["rows"]) for i, step in enumerate(STEPS, 1)]
+    return df.sparkSession.createDataFrame(rows, "step_no int, step string, row_count bigint")
 
 
 def clean_strict(df: DataFrame) -> DataFrame:

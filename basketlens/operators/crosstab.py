@@ -88,9 +88,12 @@ def pivot_wide(
 ) -> DataFrame:
     """Wide form, one column per value of ``columns``; empty cells are 0.
 
-    A null in ``columns`` becomes a column named "null". Without ``values`` Spark finds them
-    first, and fails beyond its limit of pivot columns.
+    A null in ``columns`` becomes a column named "null"; a value that reads so itself is an error.
+    Without ``values`` Spark finds them first, and fails beyond its limit of pivot columns.
     """
-    named = df.withColumn(columns, F.coalesce(F.col(columns).cast("string"), F.lit("null")))
+    label = F.col(columns).cast("string")
+    clash = F.raise_error(F.lit(f"a value of {columns} reads 'null', the name of the column of nulls"))
+    label = F.when(label == "null", clash.cast("string")).otherwise(label)
+    named = df.withColumn(columns, F.coalesce(label, F.lit("null")))
     wide = named.groupBy(rows).pivot(columns, values).agg(value)
     return wide.fillna(0, [c for c in wide.columns if c != rows])

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.labels import combined_rating, feedback_rating, month_index
-from basketlens.operators.numbering import ROWS_PER_BUCKET, number_rows
-from basketlens.operators.sizing import SMALL_ROWS
+from basketlens.operators.numbering import number_rows
+from basketlens.operators.similarity import whole_vectors
 from basketlens.operators.staging import staged
 from basketlens.schema import CLEAN_COLUMNS, MODEL_COLUMNS, require_columns
 
@@ -29,33 +27,27 @@ TRANSACTION_FEATURES = [
 ]
 
 
-def value_indices(
-    df: DataFrame, columns: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def value_indices(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (column, value, index): the most frequent value is 0, ties in text order.
 
     Values of all columns are counted in one pass. A column may have any number of values;
     none of them pass through the driver.
     """
     pairs = [c for name in columns for c in (F.lit(name), F.col(name).cast("string"))]
-    counts = staged(
+    counts = (
         df.select(F.stack(F.lit(len(columns)), *pairs).alias("column", "value"))
         .where("value IS NOT NULL")
         .groupBy("column", "value")
         .agg((-F.count(F.lit(1))).alias("minus_count"))
     )
-    numbered = number_rows(
-        counts, ["minus_count", "value"], ["column"], rows_per_bucket=rows_per_bucket
-    )
-    return numbered.select(
-        "column", "value", (F.col("position") - 1).cast("int").alias("index")
-    )
+    numbered = number_rows(counts, ["minus_count", "value"], ["column"])
+    return numbered.select("column", "value", (F.col("position") - 1).alias("index"))
 
 
 def attach_indices(df: DataFrame, indices: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``<column>_index`` for each column; a null or unknown value gets one index more.
+    """Add ``<column>_index`` (bigint) for each column; a null or unknown value gets one index more.
 
-    Lookups of at most SMALL_ROWS values are broadcast, larger ones joined by shuffle.
+    ``indices`` is a stored table: by its size Spark chooses between broadcast and shuffle.
     """
     counts = indices.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
     sizes = {row["column"]: row["n"] for row in counts}
@@ -64,15 +56,26 @@ def attach_indices(df: DataFrame, indices: DataFrame, columns: list[str]) -> Dat
         lookup = indices.where(F.col("column") == name).select(
             F.col("value").alias("_value"), F.col("index").alias("_index")
         )
-        if n <= SMALL_ROWS:
-            lookup = F.broadcast(lookup)
         joined = df.join(lookup, F.col(name).cast("string") == F.col("_value"), "left")
         df = joined.select(
-            *df.columns, F.coalesce("_index", F.lit(n)).cast("int").alias(f"{name}_index")
+            *df.columns, F.coalesce("_index", F.lit(n)).cast("bigint").alias(f"{name}_index")
         )
     return df
 
 
+RATED = {"Ratings", "Feedback_Rating", "Combined_Rating"}
+
+
+def model_sources(wanted: list[str]) -> list[str]:
+    """The clean columns that the wanted model columns are made of."""
+    made_of = {
+        "Month_Index": ["Month"], "Products": ["products"], "Products_Index": ["products"],
+        **dict.fromkeys(RATED, ["Ratings", "Feedback"]),
+    }
+    needed = {source for c in wanted for source in made_of.get(c, [c])}
+    return [c for c in CLEAN_COLUMNS if c in needed]
+
+
 def with_ratings(df: DataFrame, alpha: float = 0.5) -> DataFrame:
     rated = df.withColumn("Feedback_Rating", feedback_rating(F.col("Feedback")))
     ratings = F.col("Ratings").try_cast("double")
@@ -85,21 +88,21 @@ def model_table(
     clean: DataFrame,
     columns: list[str] | None = None,
     alpha: float = 0.5,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """The 19 model columns in their order, and Products_Index; or only the ``columns`` wanted.
 
-    Only the wanted columns are indexed. ``clean`` is read several times: pass a stored table.
+    Only the wanted columns are indexed, and ``clean`` needs to have their sources only
+    (:func:`model_sources`). If any is indexed, it is read several times: pass a stored table.
     """
-    require_columns(clean, CLEAN_COLUMNS)
     wanted = columns or [*MODEL_COLUMNS, "Products_Index"]
+    require_columns(clean, model_sources(wanted))
     source = {"products": "Products_Index"}
     to_index = [c for c in INDEXED_COLUMNS if source.get(c, c) in wanted]
     indexed = clean
     if to_index:
-        indices = staged(value_indices(clean, to_index, rows_per_bucket), "column")
+        indices = staged(value_indices(clean, to_index), "column")
         indexed = attach_indices(clean, indices, to_index)
-    rated = with_ratings(indexed, alpha)
+    rated = with_ratings(indexed, alpha) if RATED.intersection(wanted) else indexed
     replaced = {source.get(c, c): F.col(f"{c}_index") for c in to_index}
     computed = {
         **replaced,
@@ -117,8 +120,13 @@ def product_lookup(model: DataFrame) -> DataFrame:
 
 
 def training_flag(key: Column, share: float = 0.8, seed: int = 42) -> Column:
-    """True for about ``share`` of the keys. Depends on the key alone, not on partitioning."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(10_000)) < int(share * 10_000)
+    """True for about ``share`` of the keys. Depends on the key alone, not on partitioning.
+
+    By a hash that any engine has: the first eight hex digits of the MD5 of key:seed.
+    """
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}"))
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return number % 10_000 < int(share * 10_000)
 
 
 def train_test_split(
@@ -162,13 +170,18 @@ def hybrid_vectors(
     user: list[str] = USER_FEATURES,
     transaction: list[str] = TRANSACTION_FEATURES,
     product: list[str] = PRODUCT_FEATURES,
+    nulls: str = "skip",
 ) -> DataFrame:
     """One scaled vector per transaction: user, transaction and product parts.
 
+    Rows with a null feature are skipped; with ``nulls="keep"`` the null stands in the vector.
+
     All three parts are columns of the same row, and the range of a user column is the same
     over rows as over users, so neither a join nor a distinct is needed.
     """
     features = [*user, *transaction, *product]
+    if nulls == "skip":
+        model = model.dropna(subset=list(dict.fromkeys(features)))
     return model.select(
         "Transaction_ID", "Customer_ID", "Products", "Combined_Rating",
         scaled_array(model, features).alias("hybrid_vector"),
@@ -180,9 +193,12 @@ def distinct_user_vectors(hybrid: DataFrame) -> DataFrame:
 
 
 def mean_vectors(df: DataFrame, by: list[str], vector: str, name: str) -> DataFrame:
-    """Element-wise mean of an array column by group; the state has the size of one vector."""
+    """Element-wise mean of an array column by group; the state has the size of one vector.
+
+    Vectors that hold a null are left out.
+    """
     mean = Summarizer.mean(array_to_vector(F.col(vector)))
-    means = df.where(F.col(vector).isNotNull()).groupBy(*by).agg(mean.alias("_mean"))
+    means = whole_vectors(df, vector).groupBy(*by).agg(mean.alias("_mean"))
     return means.select(*by, vector_to_array("_mean").alias(name))
 
 

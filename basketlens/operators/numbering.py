@@ -1,111 +1,55 @@
 """Positions of rows in a total order, without putting all rows, or all rows of one large
 group, in one task.
 
-The key space is cut at sampled split points into ordered buckets. A row's bucket depends only
-on its key and on the literal split points, so every pass over the data, and every recomputed
-task, agrees on it. Rows are numbered inside their bucket and shifted by the sizes of the
-buckets before it.
+Rows are dealt once, by ranges of their key, sorted inside the ranges and written with their place
+in the range. The written table is read for everything else, so no recomputed task can disagree
+about places. Places are then shifted by the sizes of the ranges before.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
-
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 16_384
-SAMPLES_PER_BUCKET = 8
-SEED = 17
 
+from basketlens.operators.staging import staged
 
-def bucket_column(
-    df: DataFrame, keys: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> Column:
-    """An int column that grows with ``keys`` and cuts ``df`` into parts of like size.
-
-    Runs a count and a sample of the keys; at most SAMPLES_PER_BUCKET * MAX_BUCKETS sampled
-    keys (about) reach the driver.
-    """
-    key_rows = df.select(F.struct(*keys).alias("key"))
-    total = key_rows.count()
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    buckets = min(max(math.ceil(total / rows_per_bucket), parallelism), MAX_BUCKETS)
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / max(total, 1))
-    sample = (
-        key_rows.sample(fraction, seed=SEED)
-        .orderBy("key")
-        .select(F.to_json("key").alias("key"))
-        .collect()
-    )
-    stride = max(1, len(sample) // buckets)
-    splits = list(dict.fromkeys(row["key"] for row in sample[stride::stride]))
-    if not splits:
-        return F.lit(0)
+_PLACE_BITS = 33  # Spark's increasing ids: the partition above 33 bits of place
 
-    key_type = key_rows.schema["key"].dataType
-    bounds = F.from_json(F.lit(f"[{','.join(splits)}]"), ArrayType(key_type))
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(len(splits).bit_length()))])
 
-    def splits_at_or_below(key: Column) -> Column:
-        """Binary search in the sorted split points."""
-        return F.aggregate(
-            steps,
-            F.lit(0),
-            lambda found, step: F.when(
-                (found + step <= len(splits)) & (F.try_element_at(bounds, found + step) <= key),
-                found + step,
-            ).otherwise(found),
-        )
+def in_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with its 0-based position by ``keys`` as ``_at``: one shuffle, written once.
 
-    # The one-element transform builds the key once per row, not once per step. The coalesce
-    # tells the optimizer that there is no null, or a join on the bucket would test for it and
-    # compute the bucket twice.
-    return F.coalesce(F.transform(F.array(F.struct(*keys)), splits_at_or_below)[0], F.lit(0))
+    The shifts have one row for each range, and there are as many ranges as shuffle partitions.
+    """
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    stored = staged(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", _PLACE_BITS)
+    place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = stored.join(F.broadcast(shifts), part == F.col("_part"))
+    return placed.select(*df.columns, (place + F.col("_before")).alias("_at"))
 
 
 def number_rows(
-    df: DataFrame,
-    order: list[str],
-    by: list[str] | None = None,
-    name: str = "position",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    df: DataFrame, order: list[str], by: list[str] | None = None, name: str = "position"
 ) -> DataFrame:
     """Add the 1-based position of each row in ``order``, counted within ``by``.
 
     ``by`` and ``order`` together must tell rows apart, or tied rows take their positions in
-    an arbitrary order. ``df`` is read several times: pass a stored table.
+    an arbitrary order.
     """
     by = by or []
-    tagged = df.withColumn("_bucket", bucket_column(df, [*by, *order], rows_per_bucket))
-
-    sizes = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # Only one group can continue from one bucket into the next, so this table has fewer rows
-    # than there are buckets: MAX_BUCKETS bounds the broadcast.
-    offsets = (
-        sizes.withColumn("_before", F.sum("_rows").over(earlier))
-        .where(F.col("_before") > 0)
-        .select(
-            *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
-            F.col("_bucket").alias("_offset_bucket"),
-            "_before",
-        )
-    )
-
-    same = F.col("_bucket") == F.col("_offset_bucket")
+    placed = in_order(df, [*by, *order])
+    if not by:
+        return placed.select(*df.columns, (F.col("_at") + 1).alias(name))
+    # Rows of a group follow each other, so a position in the group is that in the table less
+    # the group's first. The firsts are stored: then adaptive execution can split a hot group.
+    groups = [F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)]
+    first = staged(placed.groupBy(*groups).agg(F.min("_at").alias("_first")))
+    same = F.lit(True)
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
-    within = Window.partitionBy(*by, "_bucket").orderBy(*order)
-    return (
-        tagged.withColumn("_row", F.row_number().over(within))
-        .join(F.broadcast(offsets), same, "left")
-        .select(
-            *df.columns,
-            (F.col("_row") + F.coalesce("_before", F.lit(0))).cast("long").alias(name),
-        )
-    )
+    position = (F.col("_at") - F.col("_first") + 1).alias(name)
+    return placed.join(first, same).select(*df.columns, position)

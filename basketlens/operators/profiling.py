@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from basketlens.functions.numeric import exact_avg, ten_digits
-from basketlens.operators.quantiles import ROWS_PER_BUCKET, exact_quantiles, quantile_columns
-from basketlens.operators.sizing import broadcast_if_small
+from basketlens.functions.numeric import exact_avg
+from basketlens.operators.quantiles import exact_quantiles, quantile_columns
+from basketlens.operators.staging import staged
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -53,7 +53,7 @@ def null_nan_counts(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Rows (column, distinct_values), nulls not counted.
+    """Rows (column, distinct_values), nulls and NaN not counted; 0.0 and -0.0 are one value.
 
     The exact form groups by (column, value) first, so that no task holds the values of a
     whole column.
@@ -64,7 +64,11 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
         return counts.select(
             _stacked(names, [[F.col(c)] for c in names], ["column", "distinct_values"])
         )
-    cells = [[F.col(c).cast("string")] for c in names]
+    # The text of a value tells apart what the type tells apart, once -0.0 and NaN are gone.
+    cells = [
+        [(F.when(~F.isnan(c), F.col(c) + 0.0) if kind in ("double", "float") else F.col(c)).cast("string")]
+        for c, kind in df.dtypes
+    ]
     return (
         df.select(_stacked(names, cells, ["column", "value"]))
         .groupBy("column", "value")
@@ -101,8 +105,8 @@ def describe(df: DataFrame) -> DataFrame:
         cells.append(
             [
                 F.col(f"{i}_count"),
-                ten_digits(F.col(f"{i}_mean")),
-                ten_digits(F.col(f"{i}_stddev")),
+                F.col(f"{i}_mean"),
+                F.col(f"{i}_stddev"),
                 pick("min", is_number, "double"),
                 pick("max", is_number, "double"),
                 pick("min", not is_number, "string"),
@@ -113,24 +117,24 @@ def describe(df: DataFrame) -> DataFrame:
     return df.agg(*aggregates).select(_stacked(names, cells, out))
 
 
-def describe_quartiles(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns."""
+def describe_quartiles(df: DataFrame) -> DataFrame:
+    """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns.
+
+    The moments come from one wide aggregate, the quartiles from two passes over the long form.
+    """
     names = numeric_columns(df)
-    long = df.select(
-        _stacked(names, [[F.col(c).cast("double")] for c in names], ["column", "value"])
+    cells = [[F.col(c).cast("double")] for c in names]
+    stats = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.agg(
+        *[make(cell).alias(f"{i}_{stat}") for i, (cell,) in enumerate(cells) for stat, make in stats.items()]
     )
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        ten_digits(F.avg("value")).alias("mean"),
-        ten_digits(F.stddev_samp("value")).alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = wide.select(
+        _stacked(names, [[F.col(f"{i}_{stat}") for stat in stats] for i in range(len(names))], ["column", *stats])
     )
-    quartiles = quantile_columns(long, "value", QUARTILES, ["column"], rows_per_bucket)
+    long = df.select(_stacked(names, cells, ["column", "value"]))
+    quartiles = quantile_columns(long, "value", QUARTILES, ["column"])
     return moments.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "stddev", "min",
-        *[ten_digits(F.col(q)).alias(q) for q in QUARTILES],
-        "max",
+        "column", "count", "mean", "stddev", "min", *QUARTILES, "max"
     )
 
 
@@ -140,23 +144,21 @@ def value_counts(df: DataFrame, name: str, dropna: bool = False) -> DataFrame:
     return counts.orderBy(F.desc("count"), name)
 
 
-def value_summary(
-    df: DataFrame, name: str, by: list[str] | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def value_summary(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Rows, mean, median, minimum, maximum and sample deviation of a column, by group."""
     by = by or []
     x = F.col(name)
     moments = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count(x).alias("value_count"),
-        ten_digits(exact_avg(x)).alias("mean"),
+        exact_avg(x).alias("mean"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
-        ten_digits(F.stddev_samp(x)).alias("std"),
+        F.stddev_samp(x).alias("std"),
     )
-    medians = exact_quantiles(df, name, [0.5], by, rows_per_bucket).select(
+    medians = exact_quantiles(df, name, [0.5], by).select(
         *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
-        ten_digits(F.col("quantile")).alias("median"),
+        F.col("quantile").alias("median"),
     )
     if not by:
         return moments.select("*", medians.select("median").scalar().alias("median"))
@@ -188,8 +190,8 @@ def log_histogram(df: DataFrame, name: str, bins: int = 50) -> DataFrame:
     every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     return every.join(counts, "bin", "left").select(
         F.col("bin").cast("int").alias("bin"),
-        ten_digits(low + F.col("bin") * width).alias("low"),
-        ten_digits(low + (F.col("bin") + 1) * width).alias("high"),
+        (low + F.col("bin") * width).alias("low"),
+        (low + (F.col("bin") + 1) * width).alias("high"),
         F.coalesce("count", F.lit(0)).alias("count"),
     )
 
@@ -197,8 +199,9 @@ def log_histogram(df: DataFrame, name: str, bins: int = 50) -> DataFrame:
 def log_density(df: DataFrame, name: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density of log10 of a column on an even grid from minimum to maximum.
 
-    Bandwidth by Scott's rule. A task adds up its distinct values into one sum per grid point,
-    so rows are never multiplied by the grid. Rows (point, x, density).
+    Bandwidth by Scott's rule. A task adds up its values into one sum per grid point, so rows are
+    never multiplied by the grid nor shuffled. Rows (point, x, density); none for a column
+    without spread.
     """
     logs = _log_values(df, name)
     stats = logs.agg(
@@ -209,8 +212,9 @@ def log_density(df: DataFrame, name: str, points: int = 200) -> DataFrame:
             (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("h"),
         ).alias("r")
     ).head()["r"]
+    out = "point int, x double, density double"
     if not stats["h"]:
-        raise ValueError(f"{name} has no spread to estimate a density from")
+        return df.sparkSession.createDataFrame([], out)
     low, n, h = stats["low"], stats["n"], stats["h"]
     step = (stats["high"] - low) / (points - 1)
 
@@ -220,30 +224,25 @@ def log_density(df: DataFrame, name: str, points: int = 200) -> DataFrame:
     def kernel_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(len(grid))
         for batch in batches:
-            weights = batch["n"].to_numpy(dtype=np.float64)
-            z = (grid[:, None] - batch["x"].to_numpy()[None, :]) / h
-            sums += np.exp(-0.5 * z * z) @ weights
+            values, weights = np.unique(batch["x"].to_numpy(), return_counts=True)
+            z = (grid[:, None] - values[None, :]) / h
+            sums += np.exp(-0.5 * z * z) @ weights.astype(np.float64)
         yield pd.DataFrame({"point": np.arange(len(grid), dtype=np.int32), "x": grid, "s": sums})
 
-    per_value = logs.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    sums = per_value.mapInPandas(kernel_sums, "point int, x double, s double")
+    sums = logs.mapInPandas(kernel_sums, "point int, x double, s double")
     density = F.sum("s") * F.lit(scale)
-    return sums.groupBy("point", "x").agg(density.alias("density")).select(
-        "point", ten_digits(F.col("x")).alias("x"), ten_digits(F.col("density")).alias("density")
-    )
+    return sums.groupBy("point", "x").agg(density.alias("density"))
 
 
-def box_summary(
-    df: DataFrame, group: str, value: str, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def box_summary(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, mean, whiskers and outlier count by group.
 
     A whisker ends at the last value within 1.5 interquartile ranges of the box.
     """
     rows = df.select(group, F.col(value).cast("double").alias("_v")).dropna()
-    boxes = quantile_columns(rows, "_v", QUARTILES, [group], rows_per_bucket)
+    boxes = quantile_columns(rows, "_v", QUARTILES, [group])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    boxes = broadcast_if_small(
+    boxes = staged(
         boxes.select(
             "*", (F.col("q1") - reach).alias("_low"), (F.col("q3") + reach).alias("_high")
         )
@@ -254,18 +253,12 @@ def box_summary(
         .groupBy(group, *QUARTILES)
         .agg(
             F.count(F.lit(1)).alias("count"),
-            ten_digits(exact_avg(F.col("_v"))).alias("mean"),
+            exact_avg(F.col("_v")).alias("mean"),
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
             F.count_if(~inside).alias("outliers"),
         )
-        .select(
-            group, "count", "mean",
-            *[ten_digits(F.col(q)).alias(q) for q in QUARTILES],
-            ten_digits(F.col("whisker_low")).alias("whisker_low"),
-            ten_digits(F.col("whisker_high")).alias("whisker_high"),
-            "outliers",
-        )
+        .select(group, "count", "mean", *QUARTILES, "whisker_low", "whisker_high", "outliers")
     )
 
 

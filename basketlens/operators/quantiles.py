@@ -1,8 +1,8 @@
 """Exact quantiles by group, for groups of any size.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. Here the values are
-cut into ordered buckets, the buckets are counted, and only the buckets that hold a wanted
-rank are looked into.
+Spark's ``percentile`` keeps every distinct value of a group in one task. Here a first pass finds
+approximate quantiles, which come with a bound of their rank error. So the wanted rank lies between two of them,
+and a second pass counts what is below and looks at the values in between only.
 """
 
 from __future__ import annotations
@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.operators.numbering import bucket_column
-from basketlens.operators.sizing import broadcast_if_small
+from basketlens.operators.staging import staged
 
-# Small buckets: only those with a wanted rank are looked into.
-ROWS_PER_BUCKET = 25_000
+ACCURACY = 10_000  # ranks are off by one part in so many; as many values lie between, about
 
 
 def exact_quantiles(
@@ -22,69 +20,73 @@ def exact_quantiles(
     value: str,
     probs: list[float],
     by: list[str] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Rows (by..., prob, quantile), with linear interpolation between neighbours.
 
-    Null and NaN count as missing. ``df`` is read several times: pass a stored table.
+    Null and NaN count as missing. ``df`` is read twice: pass a stored table.
     """
     by = by or []
     values = df.select(*by, F.col(value).cast("double").alias("_value")).where(
         F.col("_value").isNotNull() & ~F.isnan("_value")
     )
-    tagged = values.withColumn(
-        "_bucket", bucket_column(values, [*by, "_value"], rows_per_bucket)
+    margin = 2.0 / accuracy
+    asked = [p for prob in probs for p in (max(0.0, prob - margin), min(1.0, prob + margin))]
+    sketch = values.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_total"),
+        F.min("_value").alias("_min"),
+        F.max("_value").alias("_max"),
+        F.percentile_approx("_value", asked, accuracy).alias("_p"),
     )
-
-    group = Window.partitionBy(*by)
-    sizes = (
-        tagged.groupBy(*by, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
-            "_to",
-            F.sum("_rows").over(
-                group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-            ),
+    brackets = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(float(prob)).alias("prob"),
+                    (F.col("_min") if asked[2 * i] == 0 else F.col("_p")[2 * i]).alias("low"),
+                    (F.col("_max") if asked[2 * i + 1] == 1 else F.col("_p")[2 * i + 1]).alias("high"),
+                )
+                for i, prob in enumerate(probs)
+            ]
         )
-        .withColumn("_total", F.sum("_rows").over(group))
-        .withColumn("_from", F.col("_to") - F.col("_rows"))
     )
-    # The zero-based rank of a quantile lies between two rows: _low and _high.
-    wanted = (
-        sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_rank", (F.col("_total") - 1) * F.col("prob"))
-        .withColumn("_low", F.floor("_rank"))
-        .withColumn("_high", F.ceil("_rank"))
-        .where((F.col("_from") <= F.col("_high")) & (F.col("_to") > F.col("_low")))
-        .select(
-            *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
-            F.col("_bucket").alias("_wanted_bucket"),
-            "_from", "prob", "_rank", "_low", "_high",
-        )
+    wanted = sketch.select(
+        *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], "_total", brackets.alias("_b")
     )
-    wanted = broadcast_if_small(wanted)
-
-    same = F.col("_bucket") == F.col("_wanted_bucket")
+    # One row for each group: a table of its own lets adaptive execution split a hot group.
+    wanted = staged(wanted.groupBy(*[f"_by_{i}" for i in range(len(by))], "_total").agg(F.collect_list("_b").alias("_b")))
+    same = F.lit(True)
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{i}"))
-    rank_columns = ["prob", "_wanted_bucket", "_from", "_rank", "_low", "_high"]
-    per_value = (
-        tagged.join(wanted, same)
-        .groupBy(*by, *rank_columns, "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    if by:
+        joined = values.join(wanted, same)
+    else:  # a single row
+        joined = values.withColumns({c: wanted.select(c).scalar() for c in ("_total", "_b")})
+    each = joined.select(*by, "_total", "_value", F.explode("_b").alias("_b"))
+    # All values below a bracket become one row for each task, and so do all above. Of these only
+    # the value next to the bracket can be wanted.
+    side = F.when(F.col("_value") < F.col("_b.low"), -1).when(F.col("_value") > F.col("_b.high"), 1).otherwise(0)
+    each = each.select(*by, "_total", "_value", F.col("_b.prob").alias("prob"), side.alias("_side"))
+    counted = each.groupBy(
+        *by, "_total", "prob", "_side", F.when(F.col("_side") == 0, F.col("_value")).alias("_inside")
+    ).agg(F.count(F.lit(1)).alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
     up_to = (
-        Window.partitionBy(*by, "prob", "_wanted_bucket")
-        .orderBy("_value")
+        Window.partitionBy(*by, "prob")
+        .orderBy("_side", "_inside")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = per_value.withColumn("_end", F.col("_from") + F.sum("_n").over(up_to)).withColumn(
-        "_start", F.col("_end") - F.col("_n")
+    rank = (F.col("_total") - 1) * F.col("prob")
+    placed = (
+        counted.withColumn("_end", F.sum("_n").over(up_to))
+        .withColumn("_start", F.col("_end") - F.col("_n"))
+        .withColumns({"_rank": rank, "_low": F.floor(rank), "_high": F.ceil(rank)})
     )
 
-    def at(rank: str):
-        covers = (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
-        return F.max(F.when(covers, F.col("_value")))
+    def at(position: str):
+        first = F.when(F.col("_side") < 0, F.col("_end") - 1).otherwise(F.col("_start"))
+        last = F.when(F.col("_side") > 0, F.col("_start")).otherwise(F.col("_end") - 1)
+        value = F.when(F.col("_side") < 0, F.col("_most")).otherwise(F.col("_least"))
+        return F.max(F.when((first <= F.col(position)) & (F.col(position) <= last), value))
 
     return (
         placed.groupBy(*by, "prob")
@@ -106,11 +108,11 @@ def quantile_columns(
     value: str,
     named_probs: dict[str, float],
     by: list[str] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group, one column per named quantile."""
     by = by or []
-    rows = exact_quantiles(df, value, list(named_probs.values()), by, rows_per_bucket)
+    rows = exact_quantiles(df, value, list(named_probs.values()), by, accuracy)
     return rows.groupBy(*by).agg(
         *[
             F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name)

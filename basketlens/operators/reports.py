@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.labels import age_group, month_index, month_name, spend_tier
 from basketlens.functions.numeric import exact_avg, exact_sum, round_half_up
+from basketlens.operators.staging import staged
 from basketlens.schema import require_columns
 
 
@@ -66,18 +67,18 @@ def monthly_sales(df: DataFrame) -> DataFrame:
 
 
 def top_share(df: DataFrame, group: str, n: int = 10) -> DataFrame:
-    """The most frequent values and their share of all rows, in percent."""
-    counts = df.dropna(subset=[group]).groupBy(group).agg(F.count(F.lit(1)).alias("count"))
-    rows = df.agg(F.count(F.lit(1)).alias("rows"))
+    """The most frequent values and their share of all rows, in percent; one pass over the rows."""
+    counts = staged(df.groupBy(group).agg(F.count(F.lit(1)).alias("count")))
+    rows = counts.agg(F.sum("count").alias("rows"))
     share = round_half_up(F.col("count") * 100.0 / rows.scalar(), 4)
-    return counts.orderBy(F.desc("count"), group).limit(n).withColumn("percentage", share)
+    return counts.dropna(subset=[group]).orderBy(F.desc("count"), group).limit(n).withColumn("percentage", share)
 
 
 def monthly_trend(df: DataFrame, value: str = "Amount") -> DataFrame:
     """Sum, row count and their ratio for each calendar month that has a date."""
     dated = df.select(F.month("Date").alias("Month"), value).dropna(subset=["Month"])
     by_month = dated.groupBy("Month").agg(
-        exact_sum(F.col(value), 8).alias("sales"), F.count(F.lit(1)).alias("transactions")
+        exact_sum(F.col(value)).alias("sales"), F.count(F.lit(1)).alias("transactions")
     )
     return by_month.withColumn("average_sale", F.col("sales") / F.col("transactions"))
 
@@ -170,12 +171,12 @@ def brand_members(df: DataFrame, top: int = 10, bottom: int = 5) -> DataFrame:
 
 
 def brand_monthly_trend(df: DataFrame, top: int = 10, bottom: int = 5) -> DataFrame:
-    """Quantity by month for the top and bottom brands, in calendar order."""
-    monthly = (
+    """Quantity by month for the top and bottom brands, in calendar order; one pass over the rows."""
+    monthly = staged(
         df.groupBy(month_index(F.col("Month")).alias("Month_Index"), "Product_Brand")
         .agg(F.sum("Total_Purchases").alias("Total_Purchases"))
     )
-    marked = monthly.join(F.broadcast(selected_brands(df, top, bottom)), "Product_Brand")
+    marked = monthly.join(F.broadcast(selected_brands(monthly, top, bottom)), "Product_Brand")
     return marked.orderBy("Month_Index", "Product_Brand")
 
 

@@ -9,55 +9,59 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import round_half_up
 from basketlens.operators.features import mean_vectors
-from basketlens.operators.numbering import ROWS_PER_BUCKET, number_rows
+from basketlens.operators.numbering import number_rows
 from basketlens.operators.similarity import top_k_similar
-from basketlens.operators.sizing import broadcast_if_small
 from basketlens.operators.staging import staged
 
 ORDER = ["Year", "Month_Index", "Transaction_ID"]
-# Training cuts sentences at this length anyway, so longer sequences are kept in pieces.
-MAX_PIECE = 1000
-MAX_TRAINERS = 64
 
 
-def ordered_purchases(model: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def ordered_purchases(model: DataFrame) -> DataFrame:
     """Rows (Customer_ID, position, Products): every purchase with its place in the sequence."""
     named = model.select("Customer_ID", *ORDER, "Products").dropna(subset=["Products"])
-    numbered = number_rows(named, ORDER, ["Customer_ID"], rows_per_bucket=rows_per_bucket)
+    numbered = number_rows(named, ORDER, ["Customer_ID"])
     return numbered.select("Customer_ID", "position", "Products")
 
 
-def purchase_sequences(
-    model: DataFrame, max_piece: int = MAX_PIECE, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """Rows (Customer_ID, piece, product_sequence) of customers with two purchases or more.
+def purchase_sequences(model: DataFrame) -> DataFrame:
+    """Rows (Customer_ID, seq_length, position, Products) of customers with two purchases or more.
 
-    A sequence longer than ``max_piece`` continues in the next piece, so no row grows with the
-    number of purchases of a customer.
+    The whole sequence of a customer, in the long form: no row grows with the number of purchases.
     """
-    purchases = ordered_purchases(model, rows_per_bucket)
-    piece = F.floor((F.col("position") - 1) / F.lit(max_piece)).cast("int").alias("piece")
+    purchases = staged(ordered_purchases(model))
+    lengths = purchases.groupBy("Customer_ID").agg(F.max("position").alias("seq_length"))
+    several = staged(lengths.where("seq_length >= 2"))
+    same = purchases["Customer_ID"].eqNullSafe(several["Customer_ID"])
+    return purchases.join(several, same).select(
+        purchases["Customer_ID"], "seq_length", "position", "Products"
+    )
+
+
+def training_sentences(sequences: DataFrame, most: int = 1000) -> DataFrame:
+    """Rows (Customer_ID, piece, product_sequence): the sequences as sentences for training.
+
+    Word2Vec cuts sentences longer than ``most`` itself; here a longer sequence comes as several rows.
+    """
+    piece = F.floor((F.col("position") - 1) / F.lit(most)).cast("int").alias("piece")
     collected = F.array_sort(F.collect_list(F.struct("position", "Products")))
-    pieces = purchases.groupBy("Customer_ID", piece).agg(
+    return sequences.groupBy("Customer_ID", piece).agg(
         F.transform(collected, lambda p: p["Products"].cast("string")).alias("product_sequence")
     )
-    return pieces.where((F.col("piece") > 0) | (F.size("product_sequence") >= 2))
 
 
 def fit_embeddings(
-    sequences: DataFrame, size: int = 50, seed: int = 42, partitions: int | None = None
+    sentences: DataFrame, partitions: int, size: int = 50, seed: int = 42, most: int = 1000
 ) -> Word2VecModel:
-    """Word2Vec over the sequences, trained in parallel partitions.
+    """Word2Vec over the sentences.
 
-    Each partition sends its changes of all vectors, so there are MAX_TRAINERS at most.
+    ``partitions`` are trained side by side and averaged, so the vectors depend on it; it is the caller's choice and not
+    that of the cluster. The vocabulary lies on the driver and grows with the number of products.
     """
-    parallelism = sequences.sparkSession.sparkContext.defaultParallelism
     word2vec = Word2Vec(
-        vectorSize=size, minCount=1, seed=seed, maxSentenceLength=MAX_PIECE,
-        numPartitions=partitions or min(parallelism, MAX_TRAINERS),
+        vectorSize=size, minCount=1, seed=seed, maxSentenceLength=most, numPartitions=partitions,
         inputCol="product_sequence", outputCol="product_embedding",
     )
-    return word2vec.fit(sequences)
+    return word2vec.fit(sentences)
 
 
 def embedding_table(model: Word2VecModel) -> DataFrame:
@@ -77,13 +81,21 @@ def product_categories(model: DataFrame) -> DataFrame:
 
 
 def last_purchases(model: DataFrame) -> DataFrame:
-    """Rows (Customer_ID, actual_item, seq_length) of customers with two purchases or more."""
-    named = model.dropna(subset=["Products"])
+    """Rows (Customer_ID, actual_item, seq_length) of customers with two purchases or more.
+
+    The last key of a customer is found with fixed-size states; its product is joined to it.
+    """
+    year, month, transaction = (F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,0)") for c in ORDER)
+    # The order as one number, which a hash aggregate can keep the maximum of.
+    key = (year * 16 + month).cast("decimal(17,0)") * F.lit("1e20").cast("decimal(21,0)") + transaction
+    named = model.dropna(subset=["Products"]).select(
+        "Customer_ID", F.col("Products").alias("actual_item"), key.cast("decimal(38,0)").alias("_key")
+    )
     last = named.groupBy("Customer_ID").agg(
-        F.max_by("Products", F.struct(*ORDER)).alias("actual_item"),
-        F.count(F.lit(1)).alias("seq_length"),
+        F.max("_key").alias("_key"), F.count(F.lit(1)).alias("seq_length")
     )
-    return last.where("seq_length >= 2")
+    # The key identifies a purchase, so this join has no hot value.
+    return named.join(last.where("seq_length >= 2"), ["Customer_ID", "_key"]).drop("_key")
 
 
 def training_products(model: DataFrame, last: DataFrame) -> DataFrame:
@@ -94,13 +106,15 @@ def training_products(model: DataFrame, last: DataFrame) -> DataFrame:
     named = model.dropna(subset=["Products"])
     counts = named.groupBy("Customer_ID", "Products").agg(F.count(F.lit(1)).alias("n"))
     kept = (F.col("Products") != F.col("actual_item")) | (F.col("n") > 1)
+    # Stored, so that adaptive execution can split a customer with very many products.
+    last = staged(last.select("Customer_ID", "actual_item"))
     return counts.join(last, "Customer_ID").where(kept).select("Customer_ID", "Products")
 
 
 def user_embeddings(model: DataFrame, embeddings: DataFrame) -> DataFrame:
     """Mean embedding of each customer's training products."""
     products = training_products(model, last_purchases(model))
-    known = products.join(broadcast_if_small(embeddings), "Products")
+    known = products.join(embeddings, "Products")
     return mean_vectors(known, ["Customer_ID"], "embedding", "user_vector")
 
 
@@ -115,15 +129,10 @@ def category_hits(model: DataFrame, embeddings: DataFrame, k: int = 5) -> DataFr
     ``model`` and ``embeddings`` are read more than once: pass stored tables.
     """
     categories = staged(product_categories(model))
-    predicted = nearest_products(model, embeddings, k).join(
-        broadcast_if_small(categories), "Products"
-    )
+    predicted = nearest_products(model, embeddings, k).join(categories, "Products")
     actual = last_purchases(model).join(
-        broadcast_if_small(
-            categories.select(
-                F.col("Products").alias("actual_item"),
-                F.col("Product_Category").alias("actual_cat"),
-            )
+        categories.select(
+            F.col("Products").alias("actual_item"), F.col("Product_Category").alias("actual_cat")
         ),
         "actual_item",
     )

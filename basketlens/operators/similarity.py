@@ -1,159 +1,118 @@
 """The most similar items for many query vectors, by cosine.
 
-Items that fit a measured size go to every task as one matrix. Otherwise queries and items are
-cut into blocks of bounded size and each pair of blocks is one task. Either way a task returns
-at most k items per query and block, never all pairs.
+Items are numbered and cut into blocks of bounded size. One block after the other goes to all tasks, which
+return at most k items per query and block, never all pairs, and the partial results are merged.
+There is one way for all sizes: few items are one block.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-MAX_MATRIX_BYTES = 64 * 1024 * 1024
+from basketlens.operators.numbering import in_order
+from basketlens.operators.staging import staged
+
+BLOCK_BYTES = 64 * 1024 * 1024
 CELLS_PER_STEP = 4_000_000
-DIGITS = 9
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _unit_rows(vectors: pd.Series | list) -> np.ndarray:
+def _matrix(vectors: pa.Array) -> np.ndarray:
     """A matrix of rows of length 1; a zero vector stays zero."""
-    matrix = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(queries: pd.DataFrame, ids: np.ndarray, units: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best items of each query id in a batch.
-
-    ``queries`` has an id and a vector column; items come in ascending order of id, so that
-    the first of equal similarities is the one to keep.
-    """
-    id_name, vector_name = queries.columns
-    k = min(k, len(ids))
-    found = []
-    step = max(1, CELLS_PER_STEP // max(len(ids), 1))
+def _best(queries: np.ndarray, items: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best item rows of each query row, the first of equal ones, and their similarity."""
+    k = min(k, len(items))
+    at = np.empty((len(queries), k), dtype=np.int64)
+    found = np.empty((len(queries), k))
+    step = max(1, CELLS_PER_STEP // max(len(items), 1))
     for start in range(0, len(queries), step):
-        part = queries.iloc[start : start + step]
-        scores = np.round(_unit_rows(part[vector_name]) @ units.T, DIGITS)
-        rows = np.arange(len(part))
-        for _ in range(k):
+        scores = queries[start : start + step] @ items.T
+        rows = np.arange(len(scores))
+        for place in range(k):
             top = scores.argmax(axis=1)
-            found.append(
-                pd.DataFrame(
-                    {
-                        id_name: part[id_name].to_numpy(),
-                        "item": ids[top],
-                        "similarity": scores[rows, top] + 0.0,
-                    }
-                )
-            )
+            at[start : start + step, place] = top
+            found[start : start + step, place] = scores[rows, top]
             scores[rows, top] = -np.inf
-    pairs = pd.concat(found).groupby([id_name, "item"], as_index=False)["similarity"].max()
-    pairs = pairs.sort_values([id_name, "similarity", "item"], ascending=[True, False, True])
-    return pairs.groupby(id_name).head(k)
+    return at, found + 0.0
+
+
+def whole_vectors(df: DataFrame, vector: str, nulls: str = "skip") -> DataFrame:
+    """Rows whose vector is there and holds no null; ``nulls="error"`` fails on one that does."""
+    df = df.where(F.col(vector).isNotNull())
+    holds_null = F.exists(vector, lambda x: x.isNull())
+    if nulls == "error":
+        return df.where(~F.when(holds_null, F.raise_error(F.lit(f"a null in {vector}")).cast("boolean")).otherwise(F.lit(False)))
+    return df.where(~holds_null)
 
 
 def top_k_similar(
     queries: DataFrame,
     items: DataFrame,
     k: int = 5,
-    max_matrix_bytes: int = MAX_MATRIX_BYTES,
+    block_bytes: int = BLOCK_BYTES,
+    distinct: bool = True,
+    nulls: str = "skip",
 ) -> DataFrame:
-    """Rows (query id, item id, similarity, rank): the k most similar distinct items.
+    """Rows (query id, item id, similarity, rank): the k most similar items.
 
-    Both inputs have two columns, an id and an ``array<double>``. A query id may have several
-    vectors: an item counts with its best similarity. Ties go to the smaller item id. The
-    items are read more than once: pass a stored table.
+    Both inputs have two columns, an id (which may be null) and an ``array<double>``; all vectors
+    have one length. Item ids are distinct. A query id may have several vectors: an item counts with its best
+    similarity, or, unless ``distinct``, once for each of them. Ties go to the smaller item id.
 
     The k best of a part of the data contain that part's members of the k best of all, so
     partial results are merged without loss.
     """
     (query_id, query_vector), (item_id, item_vector) = queries.columns, items.columns
-    queries = queries.where(F.col(query_vector).isNotNull())
-    items = items.where(F.col(item_vector).isNotNull())
+    spark = queries.sparkSession
+    queries = whole_vectors(queries, query_vector, nulls)
+    items = staged(in_order(whole_vectors(items, item_vector, nulls), [item_id]))
     schema = StructType(
-        [
-            queries.schema[query_id],
-            StructField("item", items.schema[item_id].dataType),
-            StructField("similarity", DoubleType()),
-        ]
+        [queries.schema[query_id], StructField("_at", LongType()), StructField("similarity", DoubleType())]
     )
     size = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(item_vector)).alias("d")).head()
-    item_bytes = 8 * size["n"] * (size["d"] or 0)
-    if item_bytes <= max_matrix_bytes:
-        partial = _against_one_matrix(queries, items, k, schema)
-    else:
-        partial = _against_blocks(queries, items, k, schema, item_bytes, max_matrix_bytes)
-
-    merged = partial.groupBy(query_id, "item").agg(F.max("similarity").alias("similarity"))
-    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), "item")
+    per_block = max(1, block_bytes // (8 * max(1, size["d"] or 1)))
+
+    def against(first: int) -> DataFrame:
+        block = items.where((F.col("_at") >= first) & (F.col("_at") < first + per_block))
+        table = block.select("_at", item_vector).orderBy("_at").toArrow()
+        shared = spark.sparkContext.broadcast(_matrix(table[item_vector]))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    at, found = _best(_matrix(batch.column(query_vector)), shared.value, k)
+                    ids = batch.column(query_id).take(pa.array(np.repeat(np.arange(len(at)), at.shape[1])))
+                    columns = [ids, pa.array(at.ravel() + first), pa.array(found.ravel())]
+                    yield pa.RecordBatch.from_arrays(columns, [query_id, "_at", "similarity"])
+
+        return queries.mapInArrow(score, schema)
+
+    firsts = range(0, size["n"], per_block)
+    if not firsts:
+        return queries.limit(0).select(
+            query_id, F.lit(None).cast(items.schema[item_id].dataType).alias(item_id),
+            F.lit(None).cast("double").alias("similarity"), F.lit(None).cast("int").alias("rank"),
+        )
+    merged = reduce(DataFrame.unionByName, [against(first) for first in firsts])
+    if distinct:
+        merged = merged.groupBy(query_id, "_at").agg(F.max("similarity").alias("similarity"))
+    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), "_at")
     ranked = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.withColumnRenamed("item", item_id)
-
-
-def _against_one_matrix(
-    queries: DataFrame, items: DataFrame, k: int, schema: StructType
-) -> DataFrame:
-    table = items.toPandas().sort_values(items.columns[0])
-    if table.empty:
-        return queries.sparkSession.createDataFrame([], schema)
-    ids, vectors = (table[c] for c in items.columns)
-    shared = queries.sparkSession.sparkContext.broadcast((ids.to_numpy(), _unit_rows(vectors)))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        item_ids, units = shared.value
-        for batch in batches:
-            if len(batch):
-                yield _best(batch, item_ids, units, k)
-
-    return queries.mapInPandas(score, schema)
-
-
-def _against_blocks(
-    queries: DataFrame,
-    items: DataFrame,
-    k: int,
-    schema: StructType,
-    item_bytes: int,
-    block_bytes: int,
-) -> DataFrame:
-    (query_id, query_vector), (item_id, item_vector) = queries.columns, items.columns
-    queries = queries.distinct()
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector)).alias("d")).head()
-    query_parts = max(1, math.ceil(8 * size["n"] * (size["d"] or 0) / block_bytes))
-    item_parts = max(1, math.ceil(item_bytes / block_bytes))
-
-    def part(count: int, *columns: str):
-        return F.pmod(F.xxhash64(*columns), F.lit(count)).cast("int")
-
-    def every(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    left = queries.withColumn("_q", part(query_parts, query_id, query_vector)).withColumn(
-        "_i", every(item_parts)
-    )
-    right = items.withColumn("_i", part(item_parts, item_id)).withColumn("_q", every(query_parts))
-
-    def score(some: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if some.empty or block.empty:
-            return pd.DataFrame(columns=schema.names)
-        block = block.sort_values(item_id)
-        return _best(
-            some[[query_id, query_vector]],
-            block[item_id].to_numpy(),
-            _unit_rows(block[item_vector]),
-            k,
-        )
-
-    return left.groupBy("_q", "_i").cogroup(right.groupBy("_q", "_i")).applyInPandas(score, schema)
+    return ranked.join(items.select("_at", item_id), "_at").select(query_id, item_id, "similarity", "rank")

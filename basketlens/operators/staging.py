@@ -1,14 +1,15 @@
 """Tables written once and read many times.
 
 Iterative fits and multi-pass operators read their input several times. They read it from a
-table in the shared checkpoint folder, which outlives the executors and still lets Spark prune
-columns.
+table in a folder that all executors share, which outlives the executors and still lets Spark
+prune columns. As such a table has a known size, Spark can choose by itself whether to broadcast it.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +17,19 @@ _STAGED: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; on a single machine a new one if none is set."""
+    """The folder in spark.checkpoint.dir.
+
+    Where that is not set, a folder in the warehouse, which must then be shared: a warehouse on
+    the local disk is accepted on a single machine only.
+    """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        single = context.master == "local" or context.master.startswith("local[")
+        if not single and (":" not in warehouse or warehouse.startswith("file:")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="basketlens-")
+        folder = f"{warehouse.rstrip('/')}/_staged"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
         folder = context.getCheckpointDir() or folder
@@ -30,7 +37,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
 
 
 def staged(df: DataFrame, *partition_by: str) -> DataFrame:
@@ -38,18 +47,26 @@ def staged(df: DataFrame, *partition_by: str) -> DataFrame:
 
     The table stays until :func:`clear_staged`, as results computed later may read it.
     """
-    spark = df.sparkSession
-    path = new_path(spark)
+    path = new_path(df.sparkSession)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    _STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Delete the tables this process has staged, once no result needs them any more."""
+def clear_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Delete what this process has staged (but the first ``keep``), once no result needs it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
+    while len(_STAGED) > keep:
         path = hadoop.Path(_STAGED.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside is deleted at the end: use results before that."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        clear_staged(spark, before)

@@ -179,14 +179,22 @@ UNION ALL SELECT 4, 'quantity_derived', b FROM counts
 UNION ALL SELECT 5, 'unattributed_dropped', c FROM counts
 UNION ALL SELECT 6, 'final', c FROM counts"""))
 def clean_step_counts(spark, sf_dir):
-    return c.clean_step_counts(retail(spark, sf_dir))
+    return c.clean_step_counts(stored_retail(spark, sf_dir), ROW_KEY)
 
 
 @query("dedupe_rows", over_retail("""
-SELECT DISTINCT Customer_ID, Country, Gender, Product_Category, Product_Brand, Month FROM retail"""))
+SELECT DISTINCT * FROM (SELECT * FROM retail UNION ALL SELECT * FROM retail WHERE Transaction_ID % 3 = 0) d"""))
 def dedupe_rows(spark, sf_dir):
-    columns = ["Customer_ID", "Country", "Gender", "Product_Category", "Product_Brand", "Month"]
-    return retail(spark, sf_dir).select(*columns).dropDuplicates()
+    rows = retail(spark, sf_dir)
+    return rows.unionAll(rows.where("Transaction_ID % 3 = 0")).dropDuplicates()
+
+
+@query("fill_year_month_from_either", over_retail("""
+SELECT Transaction_ID, Total_Amount, cast(coalesce(Year, year(d)) AS int) AS Year,
+  cast(coalesce(Month, month(d)) AS int) AS Month
+FROM (SELECT *, coalesce(Date, try_cast(substring(Time, 1, 10) AS timestamp)) AS d FROM retail) e"""))
+def fill_year_month_from_either(spark, sf_dir):
+    return c.fill_year_month(retail(spark, sf_dir), "either").select(*ROW_KEY, "Year", "Month")
 
 
 @query("clean_strict", over_retail(

@@ -16,6 +16,7 @@ from basketlens.plans.tables import (
     over_retail,
     rounded_sql,
     scaled_sql,
+    training_sql,
 )
 from basketlens.schema import MODEL_COLUMNS
 from basketlens.sources.adapter import retail
@@ -28,7 +29,7 @@ HYBRID_SIZE = len(HYBRID_FEATURES)
 
 def _indices_sql(table: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", v AS value, cast(row_number() OVER (ORDER BY n DESC, v) - 1 AS int) AS "index"
+        f"""SELECT '{c}' AS "column", v AS value, cast(row_number() OVER (ORDER BY n DESC, v) - 1 AS bigint) AS "index"
         FROM (SELECT cast({c} AS varchar) AS v, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY 1) t"""
         for c in columns
     )
@@ -46,11 +47,11 @@ def index_ids(spark, sf_dir):
 
 @query("replace_by_index", over_clean("""
 , counted AS (SELECT *, count(*) OVER (PARTITION BY Country) AS nc, count(*) OVER (PARTITION BY Gender) AS ng FROM clean)
-SELECT Transaction_ID, cast(dense_rank() OVER (ORDER BY nc DESC, Country) - 1 AS int) AS Country_index,
-  cast(dense_rank() OVER (ORDER BY ng DESC, Gender) - 1 AS int) AS Gender_index FROM counted"""))
+SELECT Transaction_ID, cast(dense_rank() OVER (ORDER BY nc DESC, Country) - 1 AS bigint) AS Country_index,
+  cast(dense_rank() OVER (ORDER BY ng DESC, Gender) - 1 AS bigint) AS Gender_index FROM counted"""))
 def replace_by_index(spark, sf_dir):
-    clean = staged(clean_table(spark, sf_dir).select("Transaction_ID", "Country", "Gender"))
     columns = ["Country", "Gender"]
+    clean = staged(clean_table(spark, sf_dir, columns=["Transaction_ID", *columns]))
     indices = staged(f.value_indices(clean, columns), "column")
     return f.attach_indices(clean, indices, columns).drop(*columns)
 
@@ -81,7 +82,8 @@ SELECT Transaction_ID, 0.5::double * Ratings + 0.5::double * CASE Feedback WHEN
   WHEN 'Average' THEN 2 WHEN 'Good' THEN 3 WHEN 'Excellent' THEN 4 END AS Combined_Rating FROM clean"""))
 def combined_ratings(spark, sf_dir):
     rating = combined_rating(F.col("Ratings"), feedback_rating(F.col("Feedback")))
-    return clean_table(spark, sf_dir).select("Transaction_ID", rating.alias("Combined_Rating"))
+    rows = clean_table(spark, sf_dir, columns=["Transaction_ID", "Ratings", "Feedback"])
+    return rows.select("Transaction_ID", rating.alias("Combined_Rating"))
 
 
 @query("model_columns", over_model(f"SELECT {', '.join(MODEL_COLUMNS)} FROM model"))
@@ -94,13 +96,12 @@ def product_lookup(spark, sf_dir):
     return f.product_lookup(model(spark, sf_dir, "Products", "Products_Index"))
 
 
-@query("train_test_split")
+@query("train_test_split", over_retail(f"""
+SELECT Transaction_ID, Total_Amount, CASE WHEN {training_sql("Transaction_ID")} THEN 'train' ELSE 'test' END AS part
+FROM retail"""))
 def train_test_split(spark, sf_dir):
-    train, test = f.train_test_split(retail(spark, sf_dir))
-    tagged = train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
-    return tagged.groupBy("part").agg(F.count(F.lit(1)).alias("row_count"))
+    train, test = f.train_test_split(retail(spark, sf_dir).select("Transaction_ID", "Total_Amount"))
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 def _features_sql(columns: list[str], keep: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from basketlens.functions.labels import INCOME_SCORES, label_code
 from basketlens.operators import profiling as p
 from basketlens.plans.registry import query
-from basketlens.plans.tables import exact_avg_sql, over_retail, stored_retail, ten_digits_sql
+from basketlens.plans.tables import over_retail, stored_retail, ten_digits, ten_digits_sql
 from basketlens.schema import RAW_SCHEMA
 from basketlens.sources.adapter import retail
 
@@ -43,11 +43,19 @@ def null_nan_counts(spark, sf_dir):
     return p.null_nan_counts(retail(spark, sf_dir).withColumn("Amount", amount))
 
 
-@query("distinct_counts", _union(
-    [f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values FROM retail" for c in RAW]
-))
+def _with_odd_amounts(spark, sf_dir):
+    """Negative amounts become NaN, and zeros -0.0 or 0.0."""
+    zero = F.when(F.col("Transaction_ID") % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0))
+    amount = F.when(F.col("Amount") < 0, F.lit(float("nan"))).when(F.col("Amount") == 0, zero)
+    return retail(spark, sf_dir).withColumn("Amount", amount.otherwise(F.col("Amount")))
+
+
+@query("distinct_counts", over_retail(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values FROM retail"
+    + (" WHERE Amount >= 0" if c == "Amount" else "") for c in RAW
+)))
 def distinct_counts(spark, sf_dir):
-    return p.distinct_counts(retail(spark, sf_dir))
+    return p.distinct_counts(_with_odd_amounts(spark, sf_dir))
 
 
 def _moments(c: str) -> str:
@@ -63,7 +71,7 @@ def _moments(c: str) -> str:
     f"SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}) FROM retail" for c in TEXTS
 ]))
 def describe(spark, sf_dir):
-    return p.describe(retail(spark, sf_dir))
+    return ten_digits(p.describe(retail(spark, sf_dir)), "mean", "stddev")
 
 
 def _quartiles(x: str) -> str:
@@ -78,7 +86,8 @@ def _quartiles(x: str) -> str:
     f"{_quartiles(c)}, cast(max({c}) AS double) AS max FROM retail" for c in NUMBERS
 ]))
 def describe_quartiles(spark, sf_dir):
-    return p.describe_quartiles(stored_retail(spark, sf_dir, *NUMBERS))
+    described = p.describe_quartiles(stored_retail(spark, sf_dir, *NUMBERS))
+    return ten_digits(described, "mean", "stddev", *p.QUARTILES)
 
 
 @query("value_counts", over_retail(
@@ -95,19 +104,22 @@ def value_counts_dropna(spark, sf_dir):
     return p.value_counts(retail(spark, sf_dir), "Product_Category", dropna=True)
 
 
+SUMMARY = ["mean", "std", "median"]
 _SUMMARY = f"""count(*) AS row_count, count(Amount) AS value_count,
-  {ten_digits_sql(exact_avg_sql("Amount"))} AS mean, min(Amount) AS min, max(Amount) AS max,
+  {ten_digits_sql("fsum(Amount) / count(Amount)")} AS mean, min(Amount) AS min, max(Amount) AS max,
   {ten_digits_sql("stddev_samp(Amount)")} AS std, {ten_digits_sql("quantile_cont(Amount, 0.5)")} AS median"""
 
 
 @query("amount_summary", over_retail(f"SELECT {_SUMMARY} FROM retail"))
 def amount_summary(spark, sf_dir):
-    return p.value_summary(stored_retail(spark, sf_dir, "Amount"), "Amount")
+    summary = p.value_summary(stored_retail(spark, sf_dir, "Amount"), "Amount")
+    return ten_digits(summary, *SUMMARY)
 
 
 @query("income_amount_stats", over_retail(f"SELECT Income, {_SUMMARY} FROM retail GROUP BY Income"))
 def income_amount_stats(spark, sf_dir):
-    return p.value_summary(stored_retail(spark, sf_dir, "Income", "Amount"), "Amount", ["Income"])
+    rows = stored_retail(spark, sf_dir, "Income", "Amount")
+    return ten_digits(p.value_summary(rows, "Amount", ["Income"]), *SUMMARY)
 
 
 @query("log_histogram", over_retail(f"""
@@ -119,7 +131,7 @@ SELECT cast(b.bin AS int) AS bin, {ten_digits_sql("low + b.bin * ((high - low) /
   {ten_digits_sql("low + (b.bin + 1) * ((high - low) / 50)")} AS high, coalesce(n, 0) AS count
 FROM (SELECT range AS bin FROM range(50)) b CROSS JOIN lim LEFT JOIN counts c ON b.bin = c.bin"""))
 def log_histogram(spark, sf_dir):
-    return p.log_histogram(stored_retail(spark, sf_dir, "Amount"), "Amount")
+    return ten_digits(p.log_histogram(stored_retail(spark, sf_dir, "Amount"), "Amount"), "low", "high")
 
 
 @query("log_density", over_retail(f"""
@@ -132,7 +144,7 @@ SELECT point, {ten_digits_sql("any_value(g)")} AS x,
   {ten_digits_sql("sum(n * exp(-0.5 * pow((x - g) / h, 2))) / (any_value(total) * any_value(h) * sqrt(2 * pi()))")} AS density
 FROM logs, grid GROUP BY point"""))
 def log_density(spark, sf_dir):
-    return p.log_density(stored_retail(spark, sf_dir, "Amount"), "Amount")
+    return ten_digits(p.log_density(stored_retail(spark, sf_dir, "Amount"), "Amount"), "x", "density")
 
 
 def _box(group: str, value: str) -> str:
@@ -142,7 +154,7 @@ boxes AS (SELECT {group}, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS
   quantile_cont(v, 0.75) AS q3 FROM rows_in GROUP BY 1),
 fenced AS (SELECT r.*, q1, median, q3, v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) AS inside
   FROM rows_in r JOIN boxes b USING ({group}))
-SELECT {group}, count(*) AS count, {ten_digits_sql(exact_avg_sql("v"))} AS mean,
+SELECT {group}, count(*) AS count, {ten_digits_sql("fsum(v) / count(v)")} AS mean,
   {ten_digits_sql("any_value(q1)")} AS q1, {ten_digits_sql("any_value(median)")} AS median,
   {ten_digits_sql("any_value(q3)")} AS q3,
   {ten_digits_sql("min(v) FILTER (WHERE inside)")} AS whisker_low,
@@ -151,9 +163,13 @@ SELECT {group}, count(*) AS count, {ten_digits_sql(exact_avg_sql("v"))} AS mean,
 FROM fenced GROUP BY {group}""")
 
 
+BOX = ["mean", *p.QUARTILES, "whisker_low", "whisker_high"]
+
+
 @query("box_income_amount", _box("Income", "Amount"))
 def box_income_amount(spark, sf_dir):
-    return p.box_summary(stored_retail(spark, sf_dir, "Income", "Amount"), "Income", "Amount")
+    rows = stored_retail(spark, sf_dir, "Income", "Amount")
+    return ten_digits(p.box_summary(rows, "Income", "Amount"), *BOX)
 
 
 _SCORE = "CASE Income WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3 END"
@@ -163,7 +179,7 @@ _SCORE = "CASE Income WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3
 def box_segment_income(spark, sf_dir):
     rows = stored_retail(spark, sf_dir, "Customer_Segment", "Income")
     scored = rows.withColumn("Income", label_code(F.col("Income"), INCOME_SCORES))
-    return p.box_summary(scored, "Customer_Segment", "Income")
+    return ten_digits(p.box_summary(scored, "Customer_Segment", "Income"), *BOX)
 
 
 @query("preview_by_date", over_retail("""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import round_half_up
@@ -10,14 +13,14 @@ from basketlens.operators import features as f
 from basketlens.operators import recommend as r
 from basketlens.operators import sequences as s
 from basketlens.operators.similarity import top_k_similar
-from basketlens.operators.sizing import broadcast_if_small
 from basketlens.operators.staging import staged
 from basketlens.plans.features import HYBRID, HYBRID_SIZE, PRODUCT_MEANS
 from basketlens.plans.registry import query
-from basketlens.plans.tables import model, over_model, round_sql
+from basketlens.plans.tables import model, over_model, round_sql, training_sql
 from basketlens.sources.adapter import table
 
 EMBEDDING_SIZE = 64
+TRAINERS = 8  # partitions trained side by side; the vectors depend on it
 SEQUENCE_COLUMNS = ["Customer_ID", *s.ORDER, "Products"]
 EVALUATION_COLUMNS = [*SEQUENCE_COLUMNS, "Product_Category", "Products_Index"]
 
@@ -43,7 +46,7 @@ SELECT vec_id, label, {round_sql("list_cosine_similarity(embedding, label_vector
 FROM vectors JOIN label_means USING (label)""")
 def cosine_pairs(spark, sf_dir):
     embeddings = _embeddings(spark, sf_dir)
-    pairs = embeddings.join(broadcast_if_small(_label_means(embeddings)), "label")
+    pairs = embeddings.join(staged(_label_means(embeddings)), "label")
     similarity = cosine_similarity(F.col("embedding"), F.col("label_vector"))
     return pairs.select("vec_id", "label", round_half_up(similarity, 6).alias("similarity"))
 
@@ -53,7 +56,7 @@ def _top5_sql(query_id: str, item_id: str, scored: str) -> str:
     return f"""
 SELECT {query_id}, {item_id}, {round_sql("similarity", 6)} AS similarity, cast(place AS int) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY {query_id} ORDER BY similarity DESC, {item_id}) AS place FROM (
-    SELECT {query_id}, {item_id}, max(round(similarity, 9)) AS similarity FROM ({scored}) s GROUP BY 1, 2) m
+    SELECT {query_id}, {item_id}, max(similarity) AS similarity FROM ({scored}) s GROUP BY 1, 2) m
 ) p WHERE place <= 5"""
 
 
@@ -66,8 +69,7 @@ SELECT vec_id, m.label, list_cosine_similarity(embedding, label_vector) AS simil
 FROM vectors v CROSS JOIN label_means m"""))
 def embedding_top5(spark, sf_dir):
     embeddings = _embeddings(spark, sf_dir)
-    labels = staged(_label_means(embeddings))
-    return _rounded(top_k_similar(embeddings.select("vec_id", "embedding"), labels))
+    return _rounded(top_k_similar(embeddings.select("vec_id", "embedding"), _label_means(embeddings)))
 
 
 @query("nearest_embeddings", f"WITH {VECTORS}" + _top5_sql("label", "vec_id", """
@@ -92,9 +94,21 @@ FROM ({_hybrid_lists("hybrid", "Customer_ID")}) u CROSS JOIN ({_hybrid_lists("pr
 def hybrid_top5(spark, sf_dir):
     hybrid = f.hybrid_vectors(model(spark, sf_dir))
     means = f.mean_vectors(hybrid, ["Products"], "hybrid_vector", "product_vector")
-    return _rounded(
-        top_k_similar(hybrid.select("Customer_ID", "hybrid_vector"), staged(means))
-    )
+    return _rounded(top_k_similar(hybrid.select("Customer_ID", "hybrid_vector"), means))
+
+
+@query("hybrid_top5_repeats", over_model(f"""{HYBRID}{PRODUCT_MEANS}
+SELECT Customer_ID, {round_sql("similarity", 6)} AS similarity, cast(place AS int) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY similarity DESC) AS place FROM (
+    SELECT u.Customer_ID, list_cosine_similarity(u.v, p.v) AS similarity
+    FROM ({_hybrid_lists("hybrid", "Customer_ID")}) u CROSS JOIN ({_hybrid_lists("product_means", "Products")}) p) m
+) t WHERE place <= 5"""))
+def hybrid_top5_repeats(spark, sf_dir):
+    """The five best (vector, product) pairs of a customer: a product may come up repeatedly."""
+    hybrid = f.hybrid_vectors(model(spark, sf_dir))
+    means = f.mean_vectors(hybrid, ["Products"], "hybrid_vector", "product_vector")
+    top = top_k_similar(hybrid.select("Customer_ID", "hybrid_vector"), means, distinct=False)
+    return _rounded(top).select("Customer_ID", "similarity", "rank")
 
 
 def _als_top5(spark, sf_dir, rating):
@@ -120,12 +134,61 @@ def als_combined_top5(spark, sf_dir):
     return _als_top5(spark, sf_dir, "Combined_Rating")
 
 
+RATINGS = ["Ratings", "Feedback_Rating", "Combined_Rating"]
+
+
 @query("als_rmse")
 def als_rmse(spark, sf_dir):
-    columns = ["Customer_ID", "Products_Index", "Transaction_ID", "Combined_Rating"]
+    """The error on the held-out rows, for each of the three ratings."""
+    columns = ["Customer_ID", "Products_Index", "Transaction_ID", *RATINGS]
     train, test = f.train_test_split(model(spark, sf_dir, *columns))
-    predictions = r.predict(r.fit_als(train, "Combined_Rating"), test)
-    return r.rmse(predictions, "Combined_Rating")
+    errors = [
+        r.rmse(r.predict(r.fit_als(train, rating), test), rating).select(F.lit(rating).alias("rating"), "rmse")
+        for rating in RATINGS
+    ]
+    return reduce(DataFrame.unionByName, errors)
+
+
+@query("als_top5_shape", over_model(f"""
+SELECT cast(Customer_ID AS int) AS Customer_ID, cast(5 AS bigint) AS items, cast(1 AS int) AS first_rank,
+  cast(5 AS int) AS last_rank, cast(0 AS bigint) AS unknown_items
+FROM (SELECT DISTINCT Customer_ID FROM model WHERE {training_sql("Transaction_ID")} AND Ratings IS NOT NULL) t"""))
+def als_top5_shape(spark, sf_dir):
+    """Five different known products, ranked 1 to 5, for every customer of the training part.
+
+    Customers without any training row have no factors, so no recommendation either.
+    """
+    return _als_top5(spark, sf_dir, "Ratings").groupBy("Customer_ID").agg(
+        F.count_distinct("Products_Index").alias("items"),
+        F.min("rank").alias("first_rank"),
+        F.max("rank").alias("last_rank"),
+        F.count_if(F.col("Products").isNull()).alias("unknown_items"),
+    )
+
+
+@query("kmeans_shape", over_model("""
+SELECT cast(5 AS bigint) AS clusters, count(DISTINCT Customer_ID) AS customers, true AS better_than_one FROM model"""))
+def kmeans_shape(spark, sf_dir):
+    """Five clusters with every customer in them, closer to their centres than to the mean."""
+    _, vectors = _user_vectors(spark, sf_dir)
+    fitted = r.fit_clusters(vectors)
+    labels = r.assign_clusters(fitted, vectors)
+    one = r.fit_clusters(vectors, k=1).summary.trainingCost
+    return labels.agg(
+        F.count_distinct("cluster").alias("clusters"),
+        F.count_distinct("Customer_ID").alias("customers"),
+        F.lit(fitted.summary.trainingCost < one).alias("better_than_one"),
+    )
+
+
+@query("word2vec_shape", over_model("""
+SELECT DISTINCT Products, cast(50 AS int) AS size FROM model WHERE Products IS NOT NULL AND Customer_ID IN (
+  SELECT Customer_ID FROM model WHERE Products IS NOT NULL GROUP BY 1 HAVING count(*) >= 2)"""))
+def word2vec_shape(spark, sf_dir):
+    """A vector of the asked size for every product of a sequence."""
+    sentences = staged(s.training_sentences(s.purchase_sequences(model(spark, sf_dir, *SEQUENCE_COLUMNS))))
+    vectors = s.embedding_table(s.fit_embeddings(sentences, TRAINERS))
+    return vectors.select("Products", F.size("embedding").alias("size"))
 
 
 # The prediction checked in SQL is the mean rating of the product.
@@ -136,7 +199,7 @@ FROM model JOIN by_product USING (Products)"""))
 def rmse(spark, sf_dir):
     rows = model(spark, sf_dir, "Products", "Ratings")
     means = rows.groupBy("Products").agg(F.avg("Ratings").alias("prediction"))
-    return r.rmse(rows.join(broadcast_if_small(means), "Products"), "Ratings")
+    return r.rmse(rows.join(staged(means), "Products"), "Ratings")
 
 
 def _user_vectors(spark, sf_dir):
@@ -171,17 +234,11 @@ def popular_by_cluster(spark, sf_dir):
 
 
 @query("purchase_sequences", over_model("""
-SELECT Customer_ID, 0 AS piece, cast(count(*) AS int) AS seq_length,
-  string_agg(Products, '|' ORDER BY Year, Month_Index, Transaction_ID) AS product_sequence
-FROM model WHERE Products IS NOT NULL GROUP BY Customer_ID HAVING count(*) BETWEEN 2 AND 1000"""))
+SELECT * FROM (SELECT Customer_ID, count(*) OVER (PARTITION BY Customer_ID) AS seq_length, row_number() OVER (
+  PARTITION BY Customer_ID ORDER BY Year, Month_Index, Transaction_ID) AS position, Products
+FROM model WHERE Products IS NOT NULL) q WHERE seq_length >= 2"""))
 def purchase_sequences(spark, sf_dir):
-    sequences = s.purchase_sequences(model(spark, sf_dir, *SEQUENCE_COLUMNS))
-    return sequences.select(
-        "Customer_ID",
-        "piece",
-        F.size("product_sequence").alias("seq_length"),
-        F.array_join("product_sequence", "|").alias("product_sequence"),
-    )
+    return s.purchase_sequences(model(spark, sf_dir, *SEQUENCE_COLUMNS))
 
 
 @query("ordered_purchases", over_model("""
@@ -223,7 +280,8 @@ def leave_one_out(spark, sf_dir):
     return last.join(products, "Customer_ID")
 
 
-# Fixed product vectors for the SQL checks: product i has the vector with vec_id i.
+# Fixed product vectors for the SQL checks: product i has the vector with vec_id i. Vectors whose
+# vec_id is no product index have no product to stand for.
 FIXED = f"""{PLACED}, {CATEGORIES},
 product_vectors AS (SELECT DISTINCT Products, cast(embedding AS double[]) AS embedding
   FROM model JOIN embeddings ON vec_id = Products_Index),
@@ -280,6 +338,6 @@ def hit_rate(spark, sf_dir):
 @query("word2vec_hit_rate")
 def word2vec_hit_rate(spark, sf_dir):
     rows = model(spark, sf_dir, *EVALUATION_COLUMNS)
-    sequences = staged(s.purchase_sequences(rows))
-    embeddings = staged(s.embedding_table(s.fit_embeddings(sequences)))
+    sentences = staged(s.training_sentences(s.purchase_sequences(rows)))
+    embeddings = staged(s.embedding_table(s.fit_embeddings(sentences, TRAINERS)))
     return s.hit_rate(s.category_hits(rows, embeddings))

@@ -9,15 +9,16 @@ from basketlens.operators import reports as r
 from basketlens.operators.crosstab import Spec, crosstab, crosstab_many, key_column, pivot_wide
 from basketlens.plans.registry import query
 from basketlens.plans.tables import (
-    exact_avg_sql,
-    exact_sum_sql,
     over_retail,
     round_sql,
+    rounded,
+    rounded_avg_sql,
+    rounded_sum_sql,
     stored_retail,
 )
 from basketlens.sources.adapter import retail
 
-TOTAL = round_sql(exact_sum_sql("Total_Amount"), 2)
+TOTAL = rounded_sum_sql("Total_Amount", 2)
 MONTH = "coalesce(cast(Month AS int), 0)"
 AGE_GROUP = (
     "concat_ws('-', cast(floor(Age / 10) * 10 AS int), cast(floor(Age / 10) * 10 + 9 AS int))"
@@ -25,10 +26,11 @@ AGE_GROUP = (
 
 
 @query("avg_amount_by_category", over_retail(
-    f"SELECT Product_Category, {exact_avg_sql('Amount')} AS Avg_Amount FROM retail GROUP BY 1"
+    f"SELECT Product_Category, {rounded_avg_sql('Amount', 6)} AS Avg_Amount FROM retail GROUP BY 1"
 ))
 def avg_amount_by_category(spark, sf_dir):
-    return r.average_by(retail(spark, sf_dir), "Product_Category", "Amount", "Avg_Amount")
+    averages = r.average_by(retail(spark, sf_dir), "Product_Category", "Amount", "Avg_Amount")
+    return rounded(averages, 6, "Avg_Amount")
 
 
 @query("customer_spending", over_retail(
@@ -62,10 +64,11 @@ def monthly_sales(spark, sf_dir):
 
 
 @query("sales_by_category", over_retail(
-    f"SELECT Product_Category, {exact_sum_sql('Total_Amount')} AS Total_Sales FROM retail GROUP BY 1"
+    f"SELECT Product_Category, {TOTAL} AS Total_Sales FROM retail GROUP BY 1"
 ))
 def sales_by_category(spark, sf_dir):
-    return r.total_by(retail(spark, sf_dir), "Product_Category", "Total_Amount", "Total_Sales")
+    totals = r.total_by(retail(spark, sf_dir), "Product_Category", "Total_Amount", "Total_Sales")
+    return rounded(totals, 2, "Total_Sales")
 
 
 @query("tx_by_payment", over_retail(
@@ -78,7 +81,7 @@ def tx_by_payment(spark, sf_dir):
 
 
 @query("payment_avg_amount", over_retail(
-    f"SELECT Payment_Method, {round_sql(exact_avg_sql('Amount'), 2)} AS Avg_Amount, "
+    f"SELECT Payment_Method, {rounded_avg_sql('Amount', 2)} AS Avg_Amount, "
     "count(Transaction_ID) AS Transaction_Count FROM retail GROUP BY 1"
 ))
 def payment_avg_amount(spark, sf_dir):
@@ -102,22 +105,23 @@ def top_category_share(spark, sf_dir):
 
 
 MONTHS = f"""
-, months AS (SELECT cast(month(Date) AS int) AS Month, {exact_sum_sql("Amount", 8)} AS sales,
+, months AS (SELECT cast(month(Date) AS int) AS Month, fsum(Amount) AS sales,
   count(*) AS transactions FROM retail WHERE Date IS NOT NULL GROUP BY 1)"""
 
 
 @query("monthly_trend", over_retail(
-    f"{MONTHS} SELECT Month, sales, transactions, sales / transactions AS average_sale FROM months"
+    f"{MONTHS} SELECT Month, round(sales, 4) AS sales, transactions, "
+    "round(sales / transactions, 4) AS average_sale FROM months"
 ))
 def monthly_trend(spark, sf_dir):
-    return r.monthly_trend(retail(spark, sf_dir))
+    return rounded(r.monthly_trend(retail(spark, sf_dir)), 4, "sales", "average_sale")
 
 
 @query("monthly_moving_avg", over_retail(f"""{MONTHS}
-SELECT Month, sales, {round_sql('''CASE WHEN count(sales) OVER w = 2 THEN avg(sales) OVER w END''', 4)} AS moving_average
+SELECT Month, round(sales, 4) AS sales, {round_sql('''CASE WHEN count(sales) OVER w = 2 THEN avg(sales) OVER w END''', 4)} AS moving_average
 FROM months WINDOW w AS (ORDER BY Month ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"""))
 def monthly_moving_avg(spark, sf_dir):
-    return r.monthly_moving_average(retail(spark, sf_dir))
+    return rounded(r.monthly_moving_average(retail(spark, sf_dir)), 4, "sales")
 
 
 NAMES = "[" + ", ".join(f"'{m}'" for m in MONTH_NAMES) + "]"
@@ -131,11 +135,11 @@ SELECT (SELECT {round_sql("(arg_max(sales, Month) - arg_min(sales, Month)) * 100
   (SELECT string_agg(name, ', ' ORDER BY rn) FROM best WHERE rn <= 3) AS peak_season,
   (SELECT string_agg(name, ', ' ORDER BY rn) FROM worst WHERE rn <= 3) AS slow_season,
   (SELECT name FROM best WHERE rn = 1) AS highest_month,
-  (SELECT sales FROM best WHERE rn = 1) AS highest_sales,
+  (SELECT round(sales, 4) FROM best WHERE rn = 1) AS highest_sales,
   (SELECT name FROM worst WHERE rn = 1) AS lowest_month,
-  (SELECT sales FROM worst WHERE rn = 1) AS lowest_sales"""))
+  (SELECT round(sales, 4) FROM worst WHERE rn = 1) AS lowest_sales"""))
 def trend_facts(spark, sf_dir):
-    return r.trend_facts(retail(spark, sf_dir))
+    return rounded(r.trend_facts(retail(spark, sf_dir)), 4, "highest_sales", "lowest_sales")
 
 
 BOTH = "Product_Category IS NOT NULL AND Product_Brand IS NOT NULL"

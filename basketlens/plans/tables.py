@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketlens.operators.cleaning import clean
-from basketlens.operators.features import INDEXED_COLUMNS, model_table
+from basketlens.functions.numeric import round_half_up
+from basketlens.operators.cleaning import PROFILE_COLUMNS, clean
+from basketlens.operators.features import INDEXED_COLUMNS, model_sources, model_table
 from basketlens.operators.staging import staged
 from basketlens.schema import CLEAN_COLUMNS, MODEL_COLUMNS, TYPED_SCHEMA
 from basketlens.sources.adapter import retail, retail_oracle_sql
@@ -29,12 +31,26 @@ def stored_retail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     For operators that read their input several times: the joins behind the table are the
     costliest part of such a query.
     """
-    return staged(retail(spark, sf_dir).select(*columns))
+    rows = retail(spark, sf_dir)
+    return staged(rows.select(*columns) if columns else rows)
 
 
-def clean_table(spark: SparkSession, sf_dir: str, sort: bool = False) -> DataFrame:
-    columns = [*CLEAN_COLUMNS, "Date", "Amount", "Total_Amount"]
-    return clean(stored_retail(spark, sf_dir, *columns), order=ROW_KEY, sort=sort)
+def clean_table(
+    spark: SparkSession, sf_dir: str, sort: bool = False, columns: list[str] | None = None
+) -> DataFrame:
+    """The clean table, or the given columns of it.
+
+    Rows are stored first only if they are read several times, for identifiers or profiles.
+    """
+    wanted = columns or CLEAN_COLUMNS
+    names = dict.fromkeys(
+        [*wanted, "Customer_ID", "Age", "Year", "Month", "Date", "Amount", "Total_Amount"]
+    )
+    if {"Transaction_ID", *PROFILE_COLUMNS}.intersection(wanted):
+        rows = stored_retail(spark, sf_dir, *names)
+    else:
+        rows = retail(spark, sf_dir).select(*names)
+    return clean(rows, order=ROW_KEY, sort=sort, columns=wanted)
 
 
 def over_retail(sql: str) -> str:
@@ -45,12 +61,24 @@ def round_sql(x: str, digits: int) -> str:
     return f"cast(round(cast({x} AS decimal(30,8)), {digits}) AS double)"
 
 
-def exact_sum_sql(x: str, scale: int = 2) -> str:
-    return f"cast(sum(cast({x} AS decimal(18,{scale}))) AS double)"
+def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """``df`` with some columns rounded for comparison, as two engines add doubles differently."""
+    return df.withColumns({c: round_half_up(F.col(c), digits) for c in columns})
+
+
+def rounded_sum_sql(x: str, digits: int) -> str:
+    """Added up with compensation in double precision, then rounded."""
+    return f"round(fsum({x}), {digits})"
+
 
+def rounded_avg_sql(x: str, digits: int) -> str:
+    return f"round(fsum({x}) / nullif(count({x}), 0), {digits})"
 
-def exact_avg_sql(x: str, scale: int = 8) -> str:
-    return f"(cast(sum(cast({x} AS decimal(24,{scale}))) AS double) / nullif(count({x}), 0))"
+
+def ten_digits(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with some columns to ten significant digits, for statistics of any magnitude."""
+    text = {c: F.format_string("%.9e", F.col(c)).try_cast("double") for c in columns}
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), x) for c, x in text.items()})
 
 
 def ten_digits_sql(x: str) -> str:
@@ -125,13 +153,20 @@ def over_clean(sql: str) -> str:
 
 
 def model(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The model table, or the given columns of it, stored."""
-    return staged(model_table(staged(clean_table(spark, sf_dir)), list(columns)))
+    """The model table, or the given columns of it, stored.
+
+    Nothing but the clean columns behind the wanted ones is built. These are stored too if values
+    are indexed, as they are read again for that.
+    """
+    wanted = list(columns) or [*MODEL_COLUMNS, "Products_Index"]
+    rows = clean_table(spark, sf_dir, columns=model_sources(wanted))
+    indexed = {"Products_Index", *INDEXED_COLUMNS}.intersection(wanted)
+    return staged(model_table(staged(rows) if indexed else rows, wanted))
 
 
 def _indexed(column: str) -> str:
     return (
-        f"cast(dense_rank() OVER (ORDER BY n_{column} DESC, cast(c.{column} AS varchar)) - 1 AS int)"
+        f"cast(dense_rank() OVER (ORDER BY n_{column} DESC, cast(c.{column} AS varchar)) - 1 AS bigint)"
     )
 
 
@@ -159,6 +194,11 @@ def _model_sql() -> str:
 MODEL = _model_sql()
 
 
+def training_sql(key: str, share: float = 0.8, seed: int = 42) -> str:
+    digits = f"substr(md5(concat(cast({key} AS varchar), ':{seed}')), 1, 8)"
+    return f"cast(concat('0x', {digits}) AS bigint) % 10000 < {int(share * 10_000)}"
+
+
 def over_model(sql: str) -> str:
     return f"WITH {MODEL} {sql}"
 

@@ -57,13 +57,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per purchase, 30 columns, with nulls, zero and negative amounts."""
-    tables = {name: table(spark, sf_dir, name) for name in RETAIL_TABLES}
-    lines = tables["lineitem"]
-    parallelism = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < parallelism:
-        # A small file in one row group would leave everything after the scan to one task.
-        tables["lineitem"] = lines.repartition(parallelism, "l_orderkey", "l_linenumber")
-    return spark.sql(RETAIL_SQL, **tables)
+    return spark.sql(RETAIL_SQL, **{name: table(spark, sf_dir, name) for name in RETAIL_TABLES})
 
 
 def retail_oracle_sql() -> str:

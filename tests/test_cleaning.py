@@ -60,6 +60,8 @@ def test_rounding_is_half_up(spark):
     df = one_column(spark, [2.5, 3.5, 1.005, -2.5, None], "double")
     got = [r[0] for r in df.select(round_half_up(F.col("x"), 0)).collect()]
     assert got == [3.0, 4.0, 1.0, -3.0, None]
+    df = one_column(spark, [1.005, 0.00499999999999], "double")
+    assert [r[0] for r in df.select(round_half_up(F.col("x"), 2)).collect()] == [1.01, 0.0]
 
 
 def test_rounding_keeps_large_numbers(spark):
@@ -71,6 +73,8 @@ def test_rounding_keeps_large_numbers(spark):
 def test_exact_sums(spark):
     df = one_column(spark, [0.1] * 1000 + [float("nan"), None], "double")
     assert tuple(df.agg(exact_sum(F.col("x")), exact_avg(F.col("x"))).head()) == (100.0, 0.1)
+    small = one_column(spark, [0.004] * 1000, "double")
+    assert small.agg(exact_sum(F.col("x"))).head()[0] == 4.0
     with pytest.raises(ArithmeticException):
         one_column(spark, [1e20], "double").agg(exact_sum(F.col("x"))).collect()
 
@@ -138,6 +142,32 @@ def test_time_source_replaces_the_date(spark):
     assert [tuple(r) for r in got] == [(2020, 1), (2020, 1)]
 
 
+def test_time_helps_out_where_there_is_no_date(spark):
+    rows = [("2020-01-01", "2021-05-06 10:00:00"), (None, "2021-05-06 10:00:00"), ("x", "10:00:00")]
+    df = spark.createDataFrame([(*r, None, None) for r in rows], "Date string, Time string, Year int, Month int")
+    got = c.fill_year_month(df, source="either").select("Year", "Month").collect()
+    assert [tuple(r) for r in got] == [(2020, 1), (2021, 5), (None, None)]
+
+
+def test_only_what_is_wanted_is_built(spark, sf_dir):
+    raw = retail(spark, sf_dir)
+    whole = c.clean(staged(raw), ROW_KEY)
+    for columns in (["products", "Ratings"], ["Customer_ID", "Income"], ["Transaction_ID", "Year"]):
+        some = c.clean(raw, ROW_KEY, sort=False, columns=columns)
+        assert some.columns == [x for x in whole.columns if x in columns]
+        assert sorted(map(str, some.collect())) == sorted(map(str, whole.select(*some.columns).collect()))
+
+
+def test_steps_are_counted_by_the_steps(spark, sf_dir):
+    raw = staged(retail(spark, sf_dir))
+    got = {r.step: r.row_count for r in c.clean_step_counts(raw, ROW_KEY).collect()}
+    dated = c.drop_undated(c.fill_year_month(raw))
+    assert list(got) == c.STEPS
+    assert got["initial"] == got["dates_processed"] == raw.count()
+    assert got["undated_dropped"] == got["quantity_derived"] == dated.count()
+    assert got["final"] == got["unattributed_dropped"] == c.drop_unattributed(dated).count()
+
+
 def test_month_as_text_stays_text(spark):
     df = spark.createDataFrame([("2020-03-01", "t", 2020, None), ("2020-03-01", "t", 2020, "May")],
                                "Date string, Time string, Year int, Month string")
@@ -172,7 +202,7 @@ def test_clean_does_not_depend_on_partitions_or_buckets(spark, sf_dir):
     try:
         for partitions in ("1", "7"):
             spark.conf.set("spark.sql.shuffle.partitions", partitions)
-            got = c.clean(raw.repartition(int(partitions)), ROW_KEY, rows_per_bucket=100)
+            got = c.clean(raw.repartition(int(partitions)), ROW_KEY)
             assert sorted(map(str, got.collect())) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

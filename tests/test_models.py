@@ -19,7 +19,7 @@ def rows(spark):
 def test_index_order_is_that_of_the_library(spark):
     values = ["b", "b", "a", "c", "c", None, "d"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    indices = f.value_indices(df, ["v"], rows_per_bucket=1)
+    indices = staged(f.value_indices(df, ["v"]))
     ours = f.attach_indices(df, indices, ["v"])
     theirs = StringIndexer(inputCol="v", outputCol="k", handleInvalid="keep").fit(df).transform(df)
     got = ours.join(theirs.select("i", "k"), "i").select("v_index", "k").collect()
@@ -137,16 +137,43 @@ def purchases(spark):
 
 
 def test_sequences(purchases):
-    got = {(x.Customer_ID, x.piece): x.product_sequence for x in s.purchase_sequences(purchases).collect()}
-    assert got == {(1, 0): ["c", "b", "a", "a"], (3, 0): ["a", "a"]}
-
-
-def test_long_sequences_come_in_pieces(purchases):
-    pieces = s.purchase_sequences(purchases, max_piece=3, rows_per_bucket=2).collect()
+    sequences = s.purchase_sequences(purchases)
+    got = {(x.Customer_ID, x.position): (x.Products, x.seq_length) for x in sequences.collect()}
+    assert got == {
+        (1, 1): ("c", 4), (1, 2): ("b", 4), (1, 3): ("a", 4), (1, 4): ("a", 4), (3, 1): ("a", 2), (3, 2): ("a", 2)}
+    pieces = s.training_sentences(sequences, most=3).collect()
     assert {(x.Customer_ID, x.piece): x.product_sequence for x in pieces} == {
         (1, 0): ["c", "b", "a"], (1, 1): ["a"], (3, 0): ["a", "a"]}
 
 
+def test_a_customer_with_many_purchases_has_one_sequence(spark):
+    rows = [(1, 2020, 1, i, f"p{i % 7}") for i in range(1001)]
+    df = spark.createDataFrame(rows, "Customer_ID int, Year int, Month_Index int, Transaction_ID int, Products string")
+    got = s.purchase_sequences(df).orderBy("position").collect()
+    assert [(x.position, x.Products, x.seq_length) for x in got] == [(i + 1, f"p{i % 7}", 1001) for i in range(1001)]
+
+
+def test_the_last_purchase_of_large_ids_and_null_dates(spark):
+    big = 2**62
+    rows = [(1, 2020, 1, big, "a"), (1, 2020, 1, big + 1, "b"), (1, None, 12, big + 2, "c"), (1, 2019, None, 5, "d")]
+    df = spark.createDataFrame(rows, "Customer_ID int, Year int, Month_Index int, Transaction_ID long, Products string")
+    assert [tuple(x) for x in s.last_purchases(df).select("actual_item", "seq_length").collect()] == [("b", 4)]
+
+
+def test_rows_with_a_null_feature_are_skipped(spark, rows):
+    some = rows.withColumn("Combined_Rating", F.when(F.col("Transaction_ID") > 10, F.col("Combined_Rating")))
+    assert f.hybrid_vectors(some).count() == rows.where("Transaction_ID > 10").count()
+    assert f.hybrid_vectors(some, nulls="keep").count() == rows.count()
+    vectors = spark.createDataFrame([("a", [1.0, None]), ("a", [1.0, 3.0])], "g string, v array<double>")
+    assert f.mean_vectors(vectors, ["g"], "v", "m").head().m == [1.0, 3.0]
+
+
+def test_an_index_beyond_the_library_is_an_error(spark):
+    train = spark.createDataFrame([(2**31, 1, 1.0)], "Customer_ID long, Products_Index long, Ratings double")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        r.fit_als(train)
+
+
 def test_leave_one_out(purchases):
     last = s.last_purchases(purchases)
     assert {x.Customer_ID: (x.actual_item, x.seq_length) for x in last.collect()} == {
@@ -156,7 +183,7 @@ def test_leave_one_out(purchases):
 
 
 def test_embeddings_of_every_product(rows):
-    sequences = staged(s.purchase_sequences(rows))
+    sequences = staged(s.training_sentences(s.purchase_sequences(rows)))
     first = s.embedding_table(s.fit_embeddings(sequences, size=10, partitions=1)).collect()
     again = s.embedding_table(s.fit_embeddings(sequences, size=10, partitions=1)).collect()
     assert {x.Products for x in first} == {

@@ -6,9 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from basketlens.operators.numbering import bucket_column, number_rows
+from basketlens.operators import staging
+from basketlens.operators.numbering import in_order, number_rows
 from basketlens.operators.quantiles import exact_quantiles
-from basketlens.operators.sizing import broadcast_if_small
 
 
 def hot_groups(spark, n=3000):
@@ -20,18 +20,24 @@ def hot_groups(spark, n=3000):
     return spark.createDataFrame(rows, "g string, k long, t string").repartition(5), rows
 
 
-@pytest.mark.parametrize("rows_per_bucket", [20, 500, 10**6])
-def test_numbers_whole_table(spark, rows_per_bucket):
+@pytest.fixture(params=["1", "7", "40"])
+def partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_numbers_whole_table(spark, partitions):
     df, rows = hot_groups(spark)
-    got = number_rows(df, ["k"], rows_per_bucket=rows_per_bucket).collect()
+    got = number_rows(df, ["k"]).collect()
     assert sorted(r.position for r in got) == list(range(1, len(rows) + 1))
     assert all(r.position == r.k + 1 for r in got)
 
 
-@pytest.mark.parametrize("rows_per_bucket", [20, 500, 10**6])
-def test_numbers_within_groups(spark, rows_per_bucket):
+def test_numbers_within_groups(spark, partitions):
     df, rows = hot_groups(spark)
-    got = number_rows(df, ["k"], ["g"], rows_per_bucket=rows_per_bucket).collect()
+    got = number_rows(df, ["k"], ["g"]).collect()
     by_group = {}
     for r in got:
         by_group.setdefault(r.g, []).append((r.k, r.position))
@@ -40,18 +46,17 @@ def test_numbers_within_groups(spark, rows_per_bucket):
         assert [p for _, p in sorted(members)] == list(range(1, len(members) + 1))
 
 
-def test_large_group_spans_buckets(spark):
-    df, rows = hot_groups(spark)
-    buckets = df.withColumn("b", bucket_column(df, ["g", "k"], 50)).where("g = 'hot'")
-    sizes = [r["count"] for r in buckets.groupBy("b").count().collect()]
-    assert len(sizes) > 10 and max(sizes) < 300
-
-
-def test_buckets_grow_with_the_key(spark):
-    df, _ = hot_groups(spark)
-    rows = df.withColumn("b", bucket_column(df, ["k"], 50)).orderBy("k").collect()
-    buckets = [r.b for r in rows]
-    assert buckets == sorted(buckets)
+def test_large_group_spans_ranges(spark):
+    """A range holds a bounded part of the hot group: its sizes are those of the whole table's ranges."""
+    df, rows = hot_groups(spark, 40_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        in_order(df, ["g", "k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(staging._STAGED[-1])
+    parts = stored.where("g = 'hot'").groupBy(F.input_file_name()).count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 0.6 * 40_000 / 3
 
 
 def test_empty_table(spark):
@@ -60,14 +65,14 @@ def test_empty_table(spark):
     assert exact_quantiles(empty, "k", [0.5], ["g"]).collect() == []
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10, 200, 10**6])
-def test_quantiles_with_a_hot_value_and_a_hot_group(spark, rows_per_bucket):
+@pytest.mark.parametrize("accuracy", [5, 50, 10_000])
+def test_quantiles_with_a_hot_value_and_a_hot_group(spark, accuracy):
     rng = random.Random(2)
     rows = [("a" if i % 3 else "b", 0.0 if i % 3 == 1 else rng.gauss(0, 1000)) for i in range(2000)]
     rows += [("c", 5.0), (None, 1.0), (None, 2.0), ("a", None)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = exact_quantiles(df, "v", probs, ["g"], rows_per_bucket).collect()
+    got = exact_quantiles(df, "v", probs, ["g"], accuracy).collect()
     assert len(got) == 4 * len(probs)
     for r in got:
         values = [v for g, v in rows if g == r.g and v is not None]
@@ -78,16 +83,6 @@ def test_quantiles_with_a_hot_value_and_a_hot_group(spark, rows_per_bucket):
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=60))
 def test_quantiles_of_anything(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = {r.prob: r["quantile"] for r in exact_quantiles(df, "v", [0.25, 0.5, 0.9], rows_per_bucket=5).collect()}
+    got = {r.prob: r["quantile"] for r in exact_quantiles(df, "v", [0.25, 0.5, 0.9], accuracy=5).collect()}
     for prob, quantile in got.items():
         assert quantile == pytest.approx(np.quantile(values, prob))
-
-
-def test_only_small_tables_are_marked_for_broadcast(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-    small, large = spark.range(10), spark.range(1000)
-    assert hinted(broadcast_if_small(small.select(F.col("id") + 1), 10))
-    assert not hinted(broadcast_if_small(large, 10))
-    assert broadcast_if_small(large, 10).count() == 1000

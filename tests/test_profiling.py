@@ -28,6 +28,8 @@ def test_null_counts(nan_rows):
 def test_distinct_counts(spark):
     df = spark.range(3000).select((F.col("id") % 7).alias("a"), F.lit(None).cast("int").alias("b"), "id")
     assert as_dict(p.distinct_counts(df)) == {"a": 7, "b": 0, "id": 3000}
+    odd = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (1.0,), (None,)], "x double")
+    assert as_dict(p.distinct_counts(odd)) == {"x": 2}
     rough = as_dict(p.distinct_counts(df, approximate=True))
     assert rough["a"] == 7 and rough["id"] == pytest.approx(3000, rel=0.1)
 
@@ -60,6 +62,16 @@ def test_density_is_that_of_the_definition(spark):
         assert row.density == pytest.approx(want / (len(logs) * h * math.sqrt(2 * math.pi)), rel=1e-6)
 
 
+def test_density_without_spread_is_empty(spark):
+    assert p.log_density(spark.createDataFrame([(2.0,), (2.0,)], "v double"), "v").collect() == []
+
+
+def test_statistics_keep_all_digits(spark):
+    df = spark.createDataFrame([(123456789.123456,)], "v double")
+    assert p.describe(df).head()["mean"] == 123456789.123456
+    assert p.describe_quartiles(df).head()["median"] == 123456789.123456
+
+
 def test_box_outliers(spark):
     rows = [("a", float(v)) for v in [1, 2, 3, 4, 5, 100]] + [("b", 7.0), ("a", None), (None, 3.0)]
     df = spark.createDataFrame(rows, "g string, v double")
@@ -88,6 +100,18 @@ def test_pivot_fills_and_keeps_null_labels(spark):
     assert [tuple(x) for x in wide.collect()] == [("x", 2, 1, 0), ("y", 0, 0, 3)]
 
 
+def test_pivot_rejects_a_label_that_reads_null(spark):
+    df = spark.createDataFrame([("x", "null", 1), ("x", None, 2)], "r string, c string, v int")
+    with pytest.raises(Exception, match="reads 'null'"):
+        pivot_wide(df, "r", "c", F.sum("v"))
+
+
+def test_small_amounts_are_summed_before_they_are_rounded(spark):
+    df = spark.createDataFrame([(1, 1.004)] * 1000, "Customer_ID long, Total_Amount double")
+    assert as_dict(r.customer_spending(df)) == {1: 1004.0}
+    assert as_dict(r.spend_tiers(df)) == {"Regular": 1}
+
+
 def test_spend_tiers(spark):
     rows = [(1, 5000.0), (2, 5000.01), (3, 1000.0), (4, 1000.01), (5, None)]
     df = spark.createDataFrame(rows, "Customer_ID long, Total_Amount double")

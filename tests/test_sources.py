@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from basketlens.operators.cleaning import parse_date_column
+from basketlens.operators import staging
 from basketlens.operators.staging import shared_folder, staged
 from basketlens.pipeline import process_csv
 from basketlens.plans.tables import clean_table
@@ -113,5 +115,28 @@ def test_whole_job(spark, raw, sf_dir, tmp_path):
     assert out.agg(F.sum("Transaction_ID")).head()[0] == expected.agg(F.sum("Transaction_ID")).head()[0]
 
 
+def test_what_is_staged_inside_a_block_goes_with_it(spark, raw, tmp_path):
+    with staging.staging(spark):
+        path = staged(spark.range(3)).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path) and raw.count()
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.sql.warehouse.dir": "file:/tmp/warehouse", "spark.checkpoint.dir": None}
+
+    Session.conf = type("Conf", (), {"get": lambda self, key, default=None: {"spark.sql.warehouse.dir": "file:/tmp/w"}.get(key, default)})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
+
+
 def test_staged_tables_lie_in_the_shared_folder(spark, raw):
     assert shared_folder(spark).rsplit("/", 1)[1] in raw.inputFiles()[0]
