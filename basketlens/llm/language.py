@@ -90,6 +90,8 @@ def fit(
 ) -> Model:
     """One step of gradient descent for each text and epoch; a fifth is kept for calibration."""
     many = len(languages)
+    if not many:
+        return Model([], np.zeros((0, BUCKETS)), np.zeros(0), 0.0)
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.3, (BUCKETS, DIMENSIONS))
     out = rng.normal(0, 0.3, (DIMENSIONS, many))
