@@ -86,8 +86,8 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df.fillna({c: value for c, value in FILL_DEFAULTS.items() if c in df.columns})
 
 
-def customer_profile(df: DataFrame) -> DataFrame:
-    """One row per customer: the attributes that every row of the customer gets.
+def customer_profile(df: DataFrame, wanted: list[str] = PROFILE_COLUMNS) -> DataFrame:
+    """One row per customer: the (wanted) attributes that every row of the customer gets.
 
     Country, Gender and Customer_Segment are the most frequent value if it occurs more than
     once, else a default; Age is the most frequent age if it repeats, else the mean; Income is
@@ -97,16 +97,11 @@ def customer_profile(df: DataFrame) -> DataFrame:
     very many rows is collapsed by partial aggregation before anything is keyed by customer
     alone.
     """
-    attributes = {
-        "Country": F.col("Country"),
-        "Gender": F.col("Gender"),
-        "Customer_Segment": F.col("Customer_Segment"),
-        "Age": F.col("Age").cast("string"),
-        "Income": income_score(F.col("Income")).cast("string"),
-    }
+    attributes = [name for name in PROFILE_COLUMNS if name in wanted]
     pairs: list[Column] = []
-    for name, value in attributes.items():
-        pairs += [F.lit(name), value]
+    for name in attributes:
+        value = income_score(F.col(name)) if name == "Income" else F.col(name)
+        pairs += [F.lit(name), value.cast("string")]
     counts = (
         df.select("Customer_ID", F.stack(F.lit(len(attributes)), *pairs).alias("attribute", "value"))
         .groupBy("Customer_ID", "attribute", "value")
@@ -125,26 +120,24 @@ def customer_profile(df: DataFrame) -> DataFrame:
         total = F.sum(only(name, F.col("number") * F.col("n")))
         return F.try_divide(total, F.sum(only(name, F.col("n")))).alias(f"{name}_mean")
 
-    tops = [*CUSTOMER_DEFAULTS, "Age"]
     profile = counts.groupBy("Customer_ID").agg(
-        *[winner(name) for name in tops], mean("Age"), mean("Income")
+        *[winner(name) for name in attributes if name != "Income"],
+        *[mean(name) for name in attributes if name in ("Age", "Income")],
     )
 
     def repeated(name: str, field: str) -> Column:
         top = F.col(f"{name}_top")
         return F.when(top["rank"] < -1, top[field])
 
-    return profile.select(
-        "Customer_ID",
-        *[
-            F.coalesce(repeated(name, "value"), F.lit(default)).alias(name)
-            for name, default in CUSTOMER_DEFAULTS.items()
-        ],
-        round_half_up(F.coalesce(repeated("Age", "number"), F.col("Age_mean")), 0)
-        .cast("int")
-        .alias("Age"),
-        round_half_up(F.col("Income_mean"), 1).alias("Income"),
-    )
+    def found(name: str) -> Column:
+        if name == "Income":
+            return round_half_up(F.col("Income_mean"), 1)
+        if name == "Age":
+            age = F.coalesce(repeated("Age", "number"), F.col("Age_mean"))
+            return round_half_up(age, 0).cast("int")
+        return F.coalesce(repeated(name, "value"), F.lit(CUSTOMER_DEFAULTS[name]))
+
+    return profile.select("Customer_ID", *[found(name).alias(name) for name in attributes])
 
 
 def apply_profile(df: DataFrame, profile: DataFrame) -> DataFrame:
@@ -205,7 +198,7 @@ def clean(
     owned = watch("unattributed_dropped", drop_unattributed(rows))
     result = fill_defaults(owned.select(*dict.fromkeys([*wanted, "Customer_ID"])))
     if attributes:
-        profile = staged(customer_profile(drop_unattributed(dated)).select("Customer_ID", *attributes))
+        profile = staged(customer_profile(drop_unattributed(dated), attributes))
         result = apply_profile(result, profile)
     result = watch("final", result.select(*wanted))
     return result.orderBy("Customer_ID", "Transaction_ID") if sort else result

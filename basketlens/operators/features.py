@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.labels import combined_rating, feedback_rating, month_index
+from basketlens.functions.numeric import round_half_up
 from basketlens.operators.numbering import number_rows
 from basketlens.operators.similarity import whole_vectors
 from basketlens.operators.staging import staged
@@ -204,7 +205,4 @@ def mean_vectors(df: DataFrame, by: list[str], vector: str, name: str) -> DataFr
 
 def spread(array: str, size: int, prefix: str) -> list[Column]:
     """The elements of an array as columns, rounded for comparison."""
-    return [
-        F.round(F.col(array)[i].cast("decimal(30,8)"), 6).cast("double").alias(f"{prefix}{i}")
-        for i in range(size)
-    ]
+    return [round_half_up(F.col(array)[i], 6).alias(f"{prefix}{i}") for i in range(size)]

@@ -173,7 +173,7 @@ def kmeans_shape(spark, sf_dir):
     _, vectors = _user_vectors(spark, sf_dir)
     fitted = r.fit_clusters(vectors)
     labels = r.assign_clusters(fitted, vectors)
-    one = r.fit_clusters(vectors, k=1).summary.trainingCost
+    one = r.cost_around_mean(vectors)
     return labels.agg(
         F.count_distinct("cluster").alias("clusters"),
         F.count_distinct("Customer_ID").alias("customers"),

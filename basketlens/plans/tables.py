@@ -58,7 +58,8 @@ def over_retail(sql: str) -> str:
 
 
 def round_sql(x: str, digits: int) -> str:
-    return f"cast(round(cast({x} AS decimal(30,8)), {digits}) AS double)"
+    """Ties of decimals are kept by more places than are asked for; small numbers have room for many."""
+    return f"cast(round(cast({x} AS decimal(38,{8 if digits < 6 else 14})), {digits}) AS double)"
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
