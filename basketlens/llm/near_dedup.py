@@ -12,11 +12,20 @@ At a similarity of 0.8 a row agrees with probability 0.33, at least one of 32 ro
 at 0.3, as where a third of two texts is a common passage, a row agrees with 0.002.
 
 Documents with equal words are one text; only one of them is compared. To join groups of many
-near-copies without comparing all their pairs, every text is first compared with the best
-connected text of its buckets, the one in the largest buckets altogether. That is repeated for what is still apart
-(``STAR_ROUNDS``); in the end all pairs of one bucket that are still in different classes are compared, so no
-candidate pair is left out. The classes are found by hooking to smaller neighbours and pointer
-jumping over tables in the shared folder. Nothing but counts reaches the driver.
+near-copies without comparing all their pairs, every text is first compared with one text, the hub: of all
+texts in its buckets that in the largest buckets altogether, and then, where the hub is itself linked to
+others, with the best connected one of that class. What this leaves apart is settled exactly, without
+loss among the candidates:
+
+* Two texts close to one hub (``CLOSE``) have their shingles in common either through the hub's or
+  through some that both have added. A bound from the counts alone (no more can be in common through the
+  hub than either has of it) tells which pairs can reach the threshold without added ones
+  (:func:`_through_the_hub`); all others must share one of the rarest of their added shingles, by
+  prefix filtering (:func:`_through_added`).
+* Pairs of one bucket without a common hub are compared directly (:func:`_without_common_hub`).
+
+The classes are found by hooking to smaller neighbours and pointer jumping over tables in the
+shared folder. Nothing but counts reaches the driver.
 
 A text's words are those of its lower case (ASCII letters, digits and everything beyond ASCII). Fewer words than a
 shingle make one shingle. Texts without words are compared as they are; a null text
@@ -31,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import free_name
@@ -41,7 +50,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS = 32
 PICKS = 5
-STAR_ROUNDS = 3
+CLOSE = 0.4  # share of common shingles from which a text counts as close to its hub
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -204,21 +213,33 @@ def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "node bigint, words binary")
 
 
-def verified(pairs: DataFrame, lists: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose texts are similar."""
+def compared(pairs: DataFrame, lists: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Of each pair (a, b): linked; n, common (labelled shingles of a, and those b has too); close
+    (whether ``CLOSE`` of all are common), and if so, added: those of a that b lacks."""
+    kind = "a bigint, b bigint, linked boolean, n int, common int, close boolean, added array<bigint>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            good = [
-                similar(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64), least)
-                for x, y in zip(left, right, strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            out: list[tuple] = []
+            for x, y in zip(batch.column("left"), batch.column("right"), strict=True):
+                left = np.frombuffer(x.as_py(), dtype=np.uint64)
+                right = np.frombuffer(y.as_py(), dtype=np.uint64)
+                one, two = labelled(shingles(left)), labelled(shingles(right))
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                total = len(one) + len(two)
+                close = both >= CLOSE * (total - both)
+                added = np.setdiff1d(one, two, assume_unique=True).view(np.int64).tolist() if close else []
+                linked = both >= least / (1 + least) * total and similar(left, right, least)
+                out.append((linked, len(one), both, close, added))
+            kinds = (pa.bool_(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
+            made = [pa.array([row[i] for row in out], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *made], ["a", "b", "linked", "n", "common", "close", "added"]
+            )
 
     one = lists.select(F.col("node").alias("a"), F.col("words").alias("left"))
     two = lists.select(F.col("node").alias("b"), F.col("words").alias("right"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(work, "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(work, kind)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -245,13 +266,67 @@ def components(links: DataFrame) -> DataFrame:
     return staged(found.join(smallest, "root").select("node", F.col("least").alias("root")))
 
 
-def _rooted(df: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _rooted(df: DataFrame, roots: DataFrame) -> DataFrame:
     """``df`` with the root of each node, the node itself where nothing is linked to it."""
-    if roots is None:
-        return df.withColumn("root", F.col("node"))
     return df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _apart(one: DataFrame, two: DataFrame, on: list[str], also: Column) -> DataFrame:
+    """The pairs (a, b) of nodes in different classes with equal ``on``, once each."""
+    left = one.select(*on, *[F.col(c).alias(f"{c}_a") for c in one.columns if c not in on])
+    right = two.select(*on, *[F.col(c).alias(f"{c}_b") for c in two.columns if c not in on])
+    met = left.join(right, on).where((F.col("root_a") != F.col("root_b")) & also)
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _minority(rows: DataFrame, on: list[str], label: str) -> DataFrame:
+    """The rows whose label is not the most frequent one among those with equal ``on``.
+
+    A pair with different labels has at least one such row.
+    """
+    counts = rows.groupBy(*on, label).agg(F.count("*").alias("many"))
+    most = counts.groupBy(*on).agg(F.max(F.struct("many", label)).alias("most"), F.count("*").alias("labels"))
+    most = most.where("labels > 1").select(*on, F.col(f"most.{label}").alias("most"))
+    return rows.join(most, on).where(F.col(label) != F.col("most")).drop("most")
+
+
+def _without_common_hub(entries: DataFrame, near: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of a bucket that are not both close to one hub."""
+    label = near.where("close").select("node", F.col("top").alias("label"))
+    rows = entries.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = staged(_rooted(rows.select("bucket", "node", "label"), roots))
+    return _apart(_minority(rows, ["bucket"], "label"), rows, ["bucket"], F.col("label_a") != F.col("label_b"))
+
+
+def _through_the_hub(entries: DataFrame, near: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Pairs of a bucket close to one hub that may have enough in common through it alone."""
+    rich = near.where(F.col("close") & (F.col("common") >= least * F.col("n") - 1e-6))
+    rows = entries.select("bucket", "node").join(rich.select("node", "top", "n", "common"), "node")
+    rows = staged(_rooted(rows, roots))
+    need = least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    on = ["bucket", "top"]
+    return _apart(_minority(rows, on, "root"), rows, on, F.least("common_a", "common_b") >= need)
+
+
+def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Pairs close to one hub that share one of their rarest added shingles.
+
+    A text of n shingles needs at least ``least`` * n in common with any other; what it has not in
+    common with the hub must come from the shared added ones, so all but that many less one, rarest
+    first, are enough to meet in.
+    """
+    each = _rooted(near.where("close").select("node", "top", "n", "common", F.explode("added").alias("gram")), roots)
+    counts = each.groupBy("top", "gram").agg(F.count("*").alias("many")).where("many > 1")
+    each = staged(each.join(staged(counts), ["top", "gram"]))
+    order = Window.partitionBy("node").orderBy(F.desc("many"), F.desc("gram"))
+    spare = F.greatest(F.ceil(least * F.col("n") - 1e-6) - F.col("common"), F.lit(1))
+    # Numbered from the most frequent one, so the last ``spare`` - 1 to be left out come first.
+    prefix = each.withColumn("place", F.row_number().over(order)).where(F.col("place") >= spare)
+    prefix = prefix.select("top", "gram", "node", "root", "n")
+    sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-6
+    return _apart(prefix, prefix, ["top", "gram"], (F.col("node_a") < F.col("node_b")) & sizes)
+
+
 def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class), kept (its one document that stays).
 
@@ -265,32 +340,37 @@ def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFr
     entries = texts.select("node", F.explode("sketch").alias("bucket")).distinct()
     shared = entries.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1")
     entries = staged(entries.join(shared, "bucket"))
-    degree = entries.groupBy("node").agg(F.sum("many").alias("degree"))
-    entries = staged(entries.join(degree, "node").select("bucket", "node", "degree"))
-    lists = staged(_word_lists(docs, entries.select("node").distinct()))
-
-    links, roots = None, None
-    for round_ in range(STAR_ROUNDS):
-        # In every bucket the best connected text; later among those outside the hub's class.
-        now = _rooted(entries, roots)
-        rank = F.struct("degree", (-F.col("node")).alias("back"), "root")
-        if round_:
-            top = now.groupBy("bucket").agg(F.max(rank).alias("hub")).select("bucket", F.col("hub.root").alias("hub_root"))
-            now = now.join(top, "bucket").where(F.col("root") != F.col("hub_root")).drop("hub_root")
-        hubs = now.groupBy("bucket").agg(F.max(rank).alias("hub"))
-        stars = now.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
-        pairs = stars.groupBy(F.col("node").alias("a")).agg(F.max("hub").alias("hub"))
-        new = staged(verified(pairs.select("a", (-F.col("hub.back")).alias("b")), lists, least))
-        links = new if links is None else links.union(new)
-        roots = components(links)
-
-    now = staged(_rooted(entries.select("bucket", "node"), roots))
-    mixed = now.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    now = now.join(mixed, "bucket")
-    one = now.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    two = now.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    rest = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
-    links = links.union(staged(verified(rest.select("a", "b").distinct(), lists, least)))
+    degree = staged(entries.groupBy("node").agg(F.sum("many").alias("degree")))
+    lists = staged(_word_lists(docs, degree.select("node")))
+
+    # Every text against the best connected text of its buckets.
+    rank = F.struct("degree", (-F.col("node")).alias("back"))
+    ranked = entries.join(degree, "node")
+    hubs = ranked.groupBy("bucket").agg(F.max(rank).alias("hub"))
+    stars = entries.join(hubs, "bucket").groupBy("node").agg(F.max("hub").alias("hub"))
+    stars = stars.select(F.col("node").alias("a"), (-F.col("hub.back")).alias("b")).where("a <> b")
+    first = staged(compared(stars, lists, least))
+    links = first.where("linked").select("a", "b")
+    roots = components(links)
+
+    # And against the best connected text of that one's class.
+    tops = _rooted(degree, roots).groupBy("root").agg(F.max(rank).alias("top")).select("root", (-F.col("top.back")).alias("top"))
+    of_hub = _rooted(first.select("a", F.col("b").alias("node")), roots).join(staged(tops), "root").select("a", "top")
+    first = first.join(of_hub, "a")
+    again = compared(first.where("b <> top and a <> top").select("a", F.col("top").alias("b")), lists, least)
+    near = first.where("b = top").drop("top").unionByName(again)
+    near = staged(near.withColumnRenamed("a", "node").withColumnRenamed("b", "top"))
+    links = links.union(near.where("linked").select("node", "top"))
+    roots = components(links)
+
+    # What is still apart.
+    rest = (
+        _without_common_hub(entries, near, roots)
+        .union(_through_the_hub(entries, near, roots, least))
+        .union(_through_added(near, roots, least))
+        .distinct()
+    )
+    links = links.union(staged(compared(rest, lists, least).where("linked").select("a", "b")))
     roots = components(links.union(copies.select(F.col("node").alias("a"), F.col("first").alias("b"))))
 
     ids = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("node"))

@@ -61,14 +61,8 @@ def near(text, rng, many):
     return " ".join(words)
 
 
-def test_groups_of_copies_become_one_class(spark):
-    rng = random.Random(4)
-    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
-    texts = [(i, near(base, rng, 3)) for i in range(10, 60)] + [(60, base), (61, base)]
-    texts += [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " " + PASSAGE) for i in range(100, 140)]
-    docs = odd(spark, texts)
-    found = {r.doc_id: r for r in nd.near_duplicate_classes(docs).collect()}
-    words = {i: nd.word_hashes(t) for i, t in texts}
+def brute_classes(words):
+    """The smallest linked id of every id, all pairs compared."""
     ids = sorted(words)
     parent = {i: i for i in ids}
 
@@ -82,11 +76,39 @@ def test_groups_of_copies_become_one_class(spark):
             if nd.similar(words[a], words[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
-    assert {i: r.class_id for i, r in found.items()} == {i: root(i) for i in ids}
+    return {i: root(i) for i in ids}
+
+
+def test_groups_of_copies_become_one_class(spark):
+    rng = random.Random(4)
+    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    texts = [(i, near(base, rng, 3)) for i in range(10, 60)] + [(60, base), (61, base)]
+    texts += [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " " + PASSAGE) for i in range(100, 140)]
+    docs = odd(spark, texts)
+    found = {r.doc_id: r for r in nd.near_duplicate_classes(docs).collect()}
+    classes = brute_classes({i: nd.word_hashes(t) for i, t in texts})
+    assert {i: r.class_id for i, r in found.items()} == classes
     assert len({r.class_id for r in found.values()}) == 41
     assert sum(r.kept for r in found.values()) == 41
 
 
+def test_copies_of_far_copies_are_found(spark):
+    """Texts too far from the hub to be linked to it, but close to each other."""
+    rng = random.Random(9)
+    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))
+    far = [near(base, rng, 6) for _ in range(40)]
+    texts = [(0, base), *((100 + i, near(base, rng, 1)) for i in range(30))]
+    texts += [(200 + i, t) for i, t in enumerate(far)] + [(300 + i, near(t, rng, 1)) for i, t in enumerate(far)]
+    half = " ".join(base.split()[:80])
+    texts += [(400, half), (401, near(half, rng, 1))]
+    found = {r.doc_id: r.class_id for r in nd.near_duplicate_classes(odd(spark, texts)).collect()}
+    words = {i: nd.word_hashes(t) for i, t in texts}
+    assert not nd.similar(words[0], words[200]) and nd.similar(words[200], words[300])
+    assert all(found[200 + i] == found[300 + i] for i in range(40)) and found[400] == found[401]
+    assert len({found[100 + i] for i in range(30)}) == 1
+    assert len(set(found.values())) == len({root for root in brute_classes(words).values()})
+
+
 def test_long_chains_of_links(spark):
     pairs = [(i, i + 1) for i in range(0, 60, 2)] + [(i + 1, i + 2) for i in range(0, 58, 2)] + [(100, 101)]
     links = spark.createDataFrame(pairs, "a bigint, b bigint")
