@@ -103,20 +103,37 @@ def window_minima(values: np.ndarray, size: int) -> np.ndarray:
     return values
 
 
+def _anchors(seeds: np.ndarray) -> np.ndarray:
+    """For every start the position of its anchor, the leftmost smallest hash of its window."""
+    # Half of the hash above the position, so that one minimum finds both.
+    placed = (seeds >> np.uint64(32) << np.uint64(32)) | np.arange(len(seeds), dtype=np.uint64)
+    return (window_minima(placed, LENGTH - SEED + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def anchor_seeds(raw: np.ndarray) -> np.ndarray:
+    """The seeds of a text's anchors, in order."""
+    if len(raw) < LENGTH:
+        return np.zeros(0, dtype=np.uint64)
+    seeds = window_hashes(raw, SEED)
+    anchor = _anchors(seeds)
+    return seeds[anchor[np.concatenate(([True], anchor[1:] != anchor[:-1]))]]
+
+
 def anchored_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a text: the starts that repeat none before them, their anchors, seeds; and the repeated starts.
 
-    A start is where ``LENGTH`` bytes begin. The leftmost of equal hashes is the anchor.
+    A start is where ``LENGTH`` bytes begin.
     """
     none = np.zeros(0, dtype=np.int64)
     if len(raw) < LENGTH:
         return none, none, none.astype(np.uint64), none
     seeds = window_hashes(raw, SEED)
-    # Half of the hash above the position: the minimum of a window is its leftmost smallest hash.
-    placed = (seeds >> np.uint64(32) << np.uint64(32)) | np.arange(len(seeds), dtype=np.uint64)
-    anchor = (window_minima(placed, LENGTH - SEED + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    anchor = _anchors(seeds)
     starts = np.arange(len(anchor))
     whole = window_hashes(raw, LENGTH)
+    values = np.sort(whole)
+    if not (values[1:] == values[:-1]).any():
+        return starts, anchor, seeds[anchor], none
     by_hash = np.argsort(whole, kind="stable")
     same = np.concatenate(([False], whole[by_hash][1:] == whole[by_hash][:-1]))
     repeated = np.zeros(len(starts), dtype=bool)
@@ -145,7 +162,9 @@ class SuffixBlock:
         padded[: len(raw)] = raw
         self.raw = padded
         #: words[i]: the bytes i .. i+7 as one number of the same order.
-        self.words = np.lib.stride_tricks.as_strided(padded, (len(padded) - 8, 8), (1, 1))
+        self.words = np.zeros(len(padded) - 8, dtype=np.uint64)
+        for i in range(8):
+            self.words = (self.words << np.uint64(8)) | padded[i : len(padded) - 8 + i]
         self.distance = np.zeros((PERIOD, PERIOD), dtype=np.int64)
         for i in range(PERIOD):
             for j in range(PERIOD):
@@ -155,7 +174,7 @@ class SuffixBlock:
         self._rank_sample()
 
     def _word(self, at: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(self.words[at]).view(">u8").ravel().astype(np.uint64)
+        return self.words[at]
 
     def _prefix(self, at: np.ndarray) -> list[np.ndarray]:
         """The first ``PERIOD`` bytes as numbers, the most significant last (as lexsort wants)."""
@@ -277,10 +296,9 @@ def repeated_seeds(texts: DataFrame, hot: int = HOT) -> DataFrame:
             found = []
             for group, text in zip(batch.column("group"), batch.column("text"), strict=True):
                 raw = np.frombuffer(text.as_py().encode(), dtype=np.uint8)
-                _, anchor, seed, _ = anchored_starts(raw)
-                new = np.concatenate(([True], anchor[1:] != anchor[:-1])) if len(anchor) else slice(0)
-                rows = np.zeros(len(seed[new]), dtype=_KEY)
-                rows["key"], rows["group"], rows["many"] = seed[new] >> np.uint64(16), group.as_py(), 1
+                seed = anchor_seeds(raw)
+                rows = np.zeros(len(seed), dtype=_KEY)
+                rows["key"], rows["group"], rows["many"] = seed >> np.uint64(16), group.as_py(), 1
                 found.append(rows)
             rows = _summed(np.concatenate(found)) if found else np.zeros(0, dtype=_KEY)
             shard = (rows["key"] % np.uint64(shards)).astype(np.int64)
@@ -383,6 +401,10 @@ class _Rows:
         return out
 
 
+def _tuples(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    return zip(*[batch.column(name).to_pylist() for name in names], strict=True)
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
@@ -404,19 +426,18 @@ def _contexts(seeds: DataFrame, packed: DataFrame) -> DataFrame:
         seen: dict[tuple[int, int, bytes], tuple[int, int, int]] = {}
         done: set[tuple[int, int]] = set()
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["group"] != group:
-                    group, blobs, keys, seen, done = row["group"], [], None, {}, set()
-                if not row["order"]:
-                    blobs.append(row["payload"])
+            for now, order, doc, text_id, payload in _tuples(batch, "group", "order", "doc", "text_id", "payload"):
+                if now != group:
+                    group, blobs, keys, seen, done = now, [], None, {}, set()
+                if not order:
+                    blobs.append(payload)
                     continue
                 if keys is None:
                     keys = np.unique(np.frombuffer(b"".join(blobs), dtype=np.uint64))
-                doc, text_id = row["doc"], row["text_id"]
                 if (doc, text_id) in done:
                     continue  # a repeated row
                 done.add((doc, text_id))
-                raw = _unpacked(row["payload"])
+                raw = _unpacked(payload)
                 starts, anchor, seed, repeated = anchored_starts(raw)
                 local = [repeated]
                 if len(keys) and len(starts):
@@ -452,57 +473,55 @@ def _settled(contexts: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _Rows()
-        seen: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        seen: dict[tuple[int, bytes], tuple[int, int, int]] = {}  # where a context comes first
         first: dict[bytes, tuple[int, int, int]] = {}
-        waiting: list[dict] = []
+        own: list[tuple] = []  # the different contexts of one route
+        waiting: list[tuple] = []  # those of routes that have more than one
         size, now = 0, None
 
         def sort_waiting() -> None:
             if not waiting:
                 return
-            raw = np.frombuffer(b"".join(r["payload"] for r in waiting), dtype=np.uint8)
-            length = np.array([len(r["payload"]) for r in waiting])
+            raw = np.frombuffer(b"".join(context for _, _, _, context in waiting), dtype=np.uint8)
+            length = np.array([len(context) for _, _, _, context in waiting])
             base = np.concatenate(([0], np.cumsum(length)[:-1]))
             many = length - LENGTH + 1
             which = np.repeat(np.arange(len(waiting)), many)
             offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             # Documents by their order among those that wait.
-            place = {d: i for i, d in enumerate(sorted({(r["doc"], r["text_id"]) for r in waiting}))}
-            doc = np.array([place[r["doc"], r["text_id"]] for r in waiting])
-            position = np.array([r["start"] for r in waiting])[which] + offset
+            place = {d: i for i, d in enumerate(sorted({w[:2] for w in waiting}))}
+            doc = np.array([place[w[:2]] for w in waiting])
+            position = np.array([start for _, _, start, _ in waiting])[which] + offset
             removed = repeated_starts(raw, base[which] + offset, doc[which], position)
-            for i, part in enumerate(np.split(removed, np.cumsum(many)[:-1])):
-                r = waiting[i]
-                _add_ranges(rows, r["doc"], r["text_id"], r["start"] + np.flatnonzero(part))
+            for (doc_, text_id, start, _), part in zip(waiting, np.split(removed, np.cumsum(many)[:-1]), strict=True):
+                _add_ranges(rows, doc_, text_id, start + np.flatnonzero(part))
             waiting.clear()
 
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["route"] != now:
+            for route, kind, doc, text_id, start, anchor, payload in _tuples(batch, *_ROW_ARROW.names):
+                if route != now:
+                    if len(own) > 1:  # a single context has nothing to repeat
+                        waiting += own
+                        size += sum(len(context) for _, _, _, context in own)
                     if size > BLOCK_BYTES:
                         sort_waiting()
                         size = 0
-                    now = r["route"]
-                    seen, first = {}, {}
-                if r["kind"] == RANGE:
-                    rows.add(r["route"], RANGE, r["doc"], r["text_id"], r["start"], r["anchor"], b"")
-                elif r["kind"] == STRING:
+                    now, seen, first, own = route, {}, {}, []
+                place = (doc, text_id, start)
+                if kind == RANGE:
+                    rows.add(route, RANGE, doc, text_id, start, anchor, b"")
+                elif kind == STRING:
                     # Sorted by document and start within a route: the first one stays.
-                    place = (r["doc"], r["text_id"], r["start"])
-                    if first.setdefault(r["payload"], place) != place:
-                        _add_ranges(rows, r["doc"], r["text_id"], np.array([r["start"]]))
+                    if first.setdefault(payload, place) != place:
+                        _add_ranges(rows, doc, text_id, np.array([start]))
+                elif seen.setdefault((anchor, payload), place) != place:
+                    _add_ranges(rows, doc, text_id, start + np.arange(len(payload) - LENGTH + 1))
                 else:
-                    key = (r["anchor"], r["payload"])
-                    place = (r["doc"], r["text_id"], r["start"])
-                    if seen.setdefault(key, place) != place:
-                        _add_ranges(
-                            rows, r["doc"], r["text_id"], r["start"] + np.arange(len(r["payload"]) - LENGTH + 1)
-                        )
-                    else:
-                        waiting.append(r)
-                        size += len(r["payload"])
+                    own.append((doc, text_id, start, payload))
                 if rows.bytes > 4 << 20:
                     yield rows.batch()
+        if len(own) > 1:
+            waiting += own
         sort_waiting()
         yield rows.batch()
 
@@ -539,25 +558,26 @@ def deduplicated(docs: DataFrame, groups: int | None = None, hot: int = HOT) ->
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names)
 
         for batch in batches:
-            for r in batch.to_pylist():
-                if (r["doc"], r["text_id"]) != now:
-                    now, spans = (r["doc"], r["text_id"]), []
-                if not r["order"]:
+            for order, doc, text_id, begin, end, payload in _tuples(
+                batch, "order", "doc", "text_id", "begin", "end", "payload"
+            ):
+                if (doc, text_id) != now:
+                    now, spans = (doc, text_id), []
+                if not order:
                     # Sorted by begin: join what overlaps or touches.
-                    if spans and r["begin"] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], r["end"])
+                    if spans and begin <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], end)
                     else:
-                        spans.append([r["begin"], r["end"]])
+                        spans.append([begin, end])
                     continue
-                raw = _unpacked(r["payload"])
+                raw = _unpacked(payload)
                 kept, at = [], 0
-                for begin, end in spans:
-                    kept.append(raw[at:begin].tobytes())
-                    at = end
+                for span in spans:
+                    kept.append(raw[at : span[0]].tobytes())
+                    at = span[1]
                 kept.append(raw[at:].tobytes())
                 rest = b"".join(kept)
-                doc = None if r["doc"] == -(2**63) else r["doc"]
-                out.append((doc, len(raw), len(raw) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest))
+                out.append((None if doc == -(2**63) else doc, len(raw), len(raw) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest))
                 size += len(rest)
                 if size > 4 << 20:
                     yield batch_of()
