@@ -54,7 +54,11 @@ def combined_rating(ratings: Column, feedback: Column, alpha: float = 0.5) -> Co
     return F.lit(alpha) * ratings + F.lit(1 - alpha) * feedback
 
 
+# The spending above which a customer is in a tier, and the tier of all others.
+SPEND_TIERS = {"VIP": 5000, "Regular": 1000}
+LOWEST_TIER = "Low Spender"
+
+
 def spend_tier(spending: Column) -> Column:
-    return (
-        F.when(spending > 5000, "VIP").when(spending > 1000, "Regular").otherwise("Low Spender")
-    )
+    (top, above), (middle, at_least) = SPEND_TIERS.items()
+    return F.when(spending > above, top).when(spending > at_least, middle).otherwise(LOWEST_TIER)

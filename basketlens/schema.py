@@ -32,6 +32,7 @@ TYPED_COLUMNS = {
 }
 TYPED_SCHEMA = StructType([StructField(name, kind) for name, kind in TYPED_COLUMNS.items()])
 
+# The columns that identify a person.
 CONTACT_COLUMNS = ["Email", "Phone", "Address"]
 
 # As stored in text files: dates come in several notations and months also as names.
@@ -40,12 +41,14 @@ RAW_COLUMNS = {
 }
 RAW_SCHEMA = StructType([StructField(name, kind) for name, kind in RAW_COLUMNS.items()])
 
+# Fixed values.
 CLEAN_COLUMNS = [
     "Customer_ID", "Country", "Age", "Gender", "Income", "Customer_Segment", "Year", "Month",
     "Total_Purchases", "Product_Category", "Product_Brand", "Product_Type", "Feedback",
     "Shipping_Method", "Payment_Method", "Ratings", "products", "Transaction_ID",
 ]
 
+# Fixed values.
 MODEL_COLUMNS = [
     "Customer_ID", "Age", "Gender", "Country", "Income", "Customer_Segment", "Transaction_ID",
     "Year", "Month_Index", "Payment_Method", "Shipping_Method", "Total_Purchases", "Products",
