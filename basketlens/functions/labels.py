@@ -60,5 +60,5 @@ LOWEST_TIER = "Low Spender"
 
 
 def spend_tier(spending: Column) -> Column:
-    (top, above), (middle, at_least) = SPEND_TIERS.items()
-    return F.when(spending > above, top).when(spending > at_least, middle).otherwise(LOWEST_TIER)
+    (top, high), (middle, low) = SPEND_TIERS.items()
+    return F.when(spending > high, top).when(spending > low, middle).otherwise(LOWEST_TIER)
