@@ -162,16 +162,21 @@ def banded_lcs(left: list, right: list, band: int) -> int:
     return begin + end + done + (high - low) - row.bit_count()
 
 
+def _needed(total: int, least: float) -> float:
+    """How many of all the shingles of two texts must be in common; rounding must not raise it above a whole number."""
+    return least / (1 + least) * total - 1e-9
+
+
 def similar(left: np.ndarray, right: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether the shingles of two texts' words have ``least`` of all in common, in order."""
     a, b = shingles(left).tolist(), shingles(right).tolist()
     total = len(a) + len(b)
     if not a or not b:
         return False
-    need = least / (1 + least) * total
+    need = _needed(total, least)
     if min(len(a), len(b)) < need or (Counter(a) & Counter(b)).total() < need:
         return False
-    return banded_lcs(a, b, int(total - 2 * need) + 1) >= need - 1e-9
+    return banded_lcs(a, b, int(total - 2 * need) + 1) >= need
 
 
 # ---- Spark ----------------------------------------------------------------------------------
@@ -229,7 +234,7 @@ def compared(pairs: DataFrame, lists: DataFrame, least: float = SIMILARITY) -> D
                 total = len(one) + len(two)
                 close = both >= CLOSE * (total - both)
                 added = np.setdiff1d(one, two, assume_unique=True).view(np.int64).tolist() if close else []
-                linked = both >= least / (1 + least) * total and similar(left, right, least)
+                linked = both >= _needed(total, least) and similar(left, right, least)
                 out.append((linked, len(one), both, close, added))
             kinds = (pa.bool_(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
             made = [pa.array([row[i] for row in out], k) for i, k in enumerate(kinds)]

@@ -47,6 +47,25 @@ def test_similar_agrees_with_the_whole_alignment():
     assert both == {True, False}
 
 
+def lists_of(spark, words):
+    return spark.createDataFrame([(i, bytearray(w.tobytes())) for i, w in words.items()], "node bigint, words binary")
+
+
+def test_pairs_at_exactly_the_threshold(spark):
+    rng = np.random.default_rng(6)
+    words, pairs = {}, []
+    for total in (63, 117, 126, 135, 234):
+        many, extra = total // 9 * 4, total // 9
+        left = rng.integers(0, 1 << 40, many + 4, dtype=np.uint64)
+        right = np.concatenate((left, rng.integers(0, 1 << 40, extra, dtype=np.uint64)))
+        assert nd.similar(left, right) and nd.similar(right, left) and brute(left, right)
+        assert not nd.similar(left, np.append(right, np.uint64(1)))
+        words |= {total: left, -total: right}
+        pairs.append((total, -total))
+    found = nd.compared(spark.createDataFrame(pairs, "a bigint, b bigint"), lists_of(spark, words)).collect()
+    assert len(found) == 5 and all(r.linked for r in found)
+
+
 def test_words_and_labels():
     a, b = nd.word_hashes("Foo, bar foo"), nd.word_hashes("x foo!")
     assert a[0] == a[2] == b[1] and a[0] != a[1]
