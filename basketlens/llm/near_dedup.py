@@ -29,7 +29,9 @@ shared folder. Nothing but counts reaches the driver.
 
 A text's words are those of its lower case (ASCII letters, digits and everything beyond ASCII). Fewer words than a
 shingle make one shingle. Texts without words are compared as they are; a null text
-counts as an empty one. Rows that share a doc_id are one document. A null doc_id counts as the smallest.
+counts as an empty one. What is compared and joined are texts, not ids: rows that share a doc_id, or have none, fall
+together only if their texts are near. A class is named by its smallest doc_id, a null one counting as the smallest,
+so classes that share an id or hold a null one may have the same name.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from basketlens.llm.common import free_name
 from basketlens.operators.staging import staged
@@ -182,8 +185,14 @@ def similar(left: np.ndarray, right: np.ndarray, least: float = SIMILARITY) -> b
 # ---- Spark ----------------------------------------------------------------------------------
 
 
+def _identity() -> tuple[Column, Column]:
+    """doc (doc_id, null as the smallest) and text_key: rows that have both in common hold the same text."""
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
+    return doc.alias("doc"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("text_key")
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """node (doc_id), words_key, sketch of every row."""
+    """doc_id, doc, text_key, words_key, sketch of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,27 +203,38 @@ def sketches(docs: DataFrame) -> DataFrame:
                 raw = b"w" + words.tobytes() if len(words) else b"t" + text.encode()
                 keys.append(hashlib.blake2b(raw, digest_size=16).digest())
                 rows.append(sketch(words) if len(words) else [])
+            made = [pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))],
-                ["node", "words_key", "sketch"],
+                [*(batch.column(c) for c in ("doc_id", "doc", "text_key")), *made],
+                ["doc_id", "doc", "text_key", "words_key", "sketch"],
             )
 
-    return _nodes(docs).mapInArrow(work, "node bigint, words_key binary, sketch array<bigint>")
+    kept = docs.select("doc_id", *_identity(), "text")
+    kind = StructType(kept.schema.fields[:3]).add("words_key", "binary").add("sketch", ArrayType(LongType()))
+    return kept.mapInArrow(work, kind)
 
 
-def _nodes(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("node"), "text")
+def _texts(rows: DataFrame) -> DataFrame:
+    """words_key, node (its number), first (smallest doc and text_key of its rows), sketch of every different text."""
+    texts = rows.groupBy("words_key").agg(
+        F.min(F.struct("doc", "text_key")).alias("first"), F.any_value("sketch").alias("sketch")
+    )
+    # 56 bits of the key, then a place among the texts that share them (nearly always one text).
+    head = F.conv(F.hex(F.substring("words_key", 1, 7)), 16, 10).cast("bigint")
+    place = F.row_number().over(Window.partitionBy("head").orderBy("words_key")) - 1
+    return texts.withColumn("head", head).withColumn("node", F.shiftleft("head", 7) + place).drop("head")
 
 
 def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, words (hashes as bytes) of the wanted nodes."""
+    """node, words (hashes as bytes) of the wanted texts (node, doc, text_key)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [word_hashes(t.as_py()).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(rows, pa.binary())], ["node", "words"])
 
-    texts = _nodes(docs).join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    on = ["doc", "text_key"]
+    texts = docs.select(*_identity(), "text").join(wanted, on).dropDuplicates(on).select("node", "text")
     return texts.mapInArrow(work, "node bigint, words binary")
 
 
@@ -332,21 +352,17 @@ def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame
     return _apart(prefix, prefix, ["top", "gram"], (F.col("node_a") < F.col("node_b")) & sizes)
 
 
-def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of the class), kept (its one document that stays).
-
-    One row for each row of ``docs``; ``kept`` is true for the rows of that smallest doc_id.
-    """
+def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The rows with their words_key, and words_key, first, head (smallest first of its class) of every text."""
     # The sketch of equal texts is the same, whichever row it comes from.
     rows = staged(sketches(docs))
-    texts = staged(rows.groupBy("words_key").agg(F.min("node").alias("node"), F.any_value("sketch").alias("sketch")))
-    copies = rows.select("node", "words_key").distinct().join(texts.select("words_key", F.col("node").alias("first")), "words_key")
-    copies = staged(copies.select("node", "first").distinct())
+    texts = staged(_texts(rows))
     entries = texts.select("node", F.explode("sketch").alias("bucket")).distinct()
     shared = entries.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1")
     entries = staged(entries.join(shared, "bucket"))
     degree = staged(entries.groupBy("node").agg(F.sum("many").alias("degree")))
-    lists = staged(_word_lists(docs, degree.select("node")))
+    wanted = texts.select("node", "first.doc", "first.text_key").join(degree.select("node"), "node", "left_semi")
+    lists = staged(_word_lists(docs, wanted))
 
     # Every text against the best connected text of its buckets.
     rank = F.struct("degree", (-F.col("node")).alias("back"))
@@ -376,19 +392,30 @@ def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFr
         .distinct()
     )
     links = links.union(staged(compared(rest, lists, least).where("linked").select("a", "b")))
-    roots = components(links.union(copies.select(F.col("node").alias("a"), F.col("first").alias("b"))))
 
-    ids = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("node"))
-    found = _rooted(ids, roots)
-    return found.select(
-        "doc_id", F.nullif(F.col("root"), F.lit(-(2**63))).alias("class_id"), (F.col("node") == F.col("root")).alias("kept")
+    placed = staged(_rooted(texts.select("words_key", "node", "first"), components(links)))
+    heads = staged(placed.groupBy("root").agg(F.min("first").alias("head")))
+    return rows, staged(placed.join(heads, "root").select("words_key", "first", "head"))
+
+
+def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (smallest doc_id of the class), kept (its one document that stays).
+
+    One row for each row of ``docs``; ``kept`` is true for the rows of that smallest doc_id with one and
+    the same text.
+    """
+    rows, placed = _classes(docs, least)
+    return rows.join(placed, "words_key").select(
+        "doc_id",
+        F.nullif(F.col("head.doc"), F.lit(-(2**63))).alias("class_id"),
+        ((F.col("doc") == F.col("head.doc")) & (F.col("text_key") == F.col("head.text_key"))).alias("kept"),
     )
 
 
 def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row of each class of near-duplicates: that with the smallest doc_id, one of equal rows."""
-    kept = near_duplicate_classes(docs, least).where("kept").select("doc_id").distinct()
-    key = free_name(docs, "__node")
-    ids = kept.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias(key))
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))))
-    return keyed.join(ids, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    """One row of each class of near-duplicates: that with the smallest doc_id, one of those equal in id and text."""
+    _, placed = _classes(docs, least)
+    on = [free_name(docs, "__doc"), free_name(docs, "__text_key")]
+    kept = placed.where("first = head").select(F.col("first.doc").alias(on[0]), F.col("first.text_key").alias(on[1]))
+    keyed = docs.select("*", *(c.alias(name) for c, name in zip(_identity(), on, strict=True)))
+    return keyed.join(kept, on, "left_semi").dropDuplicates(on).select(*docs.columns)

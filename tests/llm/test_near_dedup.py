@@ -147,3 +147,22 @@ def test_odd_rows(spark):
     assert len(ids) == len(set(ids)) == len(set(classes.values()))
     assert nd.near_duplicate_classes(empty(spark)).count() == 0
     assert nd.without_near_duplicates(empty(spark)).count() == 0
+
+
+def test_null_and_shared_ids_tie_nothing(spark):
+    rng = random.Random(12)
+    clean = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(90)) for _ in range(14)]
+    texts = [(None, t) for t in clean[:6]] + [(None, near(clean[0], rng, 1)), (None, clean[1])]
+    texts += [(7, t) for t in clean[6:10]] + [(7, clean[6].upper() + "!"), (7, near(clean[7], rng, 1))]
+    texts += [(8, near(clean[8], rng, 1)), (9, clean[9]), (3, near(clean[13], rng, 1)), (5, clean[13]), (6, clean[12])]
+    docs = odd(spark, texts)
+    kept = sorted((str(r.doc_id), r.text) for r in nd.without_near_duplicates(docs).collect())
+    assert len(kept) == len({t for _, t in kept}) == 12
+    assert sum(i == "None" for i, _ in kept) == 6 and sum(i == "7" for i, _ in kept) == 4
+    assert [i for i, _ in kept if i not in ("None", "7")] == ["3", "6"]
+    words = dict(enumerate(nd.word_hashes(t) for _, t in kept))
+    assert brute_classes(words) == {i: i for i in words}
+    assert kept == sorted((str(r.doc_id), r.text) for r in nd.without_near_duplicates(docs.repartition(5, "text")).collect())
+    found = one_for_each(docs, nd.near_duplicate_classes(docs))
+    assert {(r.doc_id, r.class_id) for r in found} == {(None, None), (7, 7), (8, 7), (9, 7), (3, 3), (5, 3), (6, 6)}
+    assert sum(r.kept for r in found) == 13  # one kept row is there twice
