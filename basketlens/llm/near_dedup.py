@@ -8,8 +8,11 @@ the longest common subsequence of their shingles, found by an alignment within t
 allows, is at least ``SIMILARITY`` of all their shingles (those of both counted once). Linked documents are one class, as
 are documents linked through others.
 
-At a similarity of 0.8 a row agrees with probability 0.33, at least one of 32 rows with 0.999997;
-at 0.3, as where a third of two texts is a common passage, a row agrees with 0.002.
+At a similarity of 0.8 a row of long texts agrees with probability 0.33, at least one of 32 rows with 0.999997;
+at 0.3, as where a third of two texts is a common passage, a row agrees with 0.002. The fewer shingles, the less
+often a row agrees, and where one text has fewer than ``PICKS`` it never does. So texts of up to ``SHORT`` shingles
+do not depend on the sketch: whatever can be near them shares one of their rarest shingles with them
+(:func:`_rarest`, :func:`_through_rarest`), and none of their pairs is lost.
 
 Documents with equal words are one text; only one of them is compared. To join groups of many
 near-copies without comparing all their pairs, every text is first compared with one text, the hub: of all
@@ -53,6 +56,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS = 32
 PICKS = 5
+SHORT = 40  # shingles up to which a text's pairs are found without the sketch
 CLOSE = 0.4  # share of common shingles from which a text counts as close to its hub
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -191,33 +195,41 @@ def _identity() -> tuple[Column, Column]:
     return doc.alias("doc"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("text_key")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, doc, text_key, words_key, sketch of every row."""
+def sketches(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, doc, text_key, words_key, sketch, grams of every row.
+
+    grams: the labelled shingles of a text short enough to be near one of ``SHORT`` shingles, else null.
+    """
+    most = int(SHORT / least + 1e-6)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows = [], []
+            keys, rows, grams = [], [], []
             for value in batch.column("text"):
                 text = value.as_py() or ""
                 words = word_hashes(text)
                 raw = b"w" + words.tobytes() if len(words) else b"t" + text.encode()
                 keys.append(hashlib.blake2b(raw, digest_size=16).digest())
                 rows.append(sketch(words) if len(words) else [])
-            made = [pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))]
+                short = 0 < len(words) < most + SHINGLE
+                grams.append(labelled(shingles(words)).view(np.int64) if short else None)
+            made = [pa.array(keys, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (rows, grams))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "doc", "text_key")), *made],
-                ["doc_id", "doc", "text_key", "words_key", "sketch"],
+                ["doc_id", "doc", "text_key", "words_key", "sketch", "grams"],
             )
 
     kept = docs.select("doc_id", *_identity(), "text")
-    kind = StructType(kept.schema.fields[:3]).add("words_key", "binary").add("sketch", ArrayType(LongType()))
-    return kept.mapInArrow(work, kind)
+    kind = StructType(kept.schema.fields[:3]).add("words_key", "binary")
+    return kept.mapInArrow(work, kind.add("sketch", ArrayType(LongType())).add("grams", ArrayType(LongType())))
 
 
 def _texts(rows: DataFrame) -> DataFrame:
-    """words_key, node (its number), first (smallest doc and text_key of its rows), sketch of every different text."""
+    """words_key, node (its number), first (smallest doc and text_key of its rows), sketch, grams of every different text."""
     texts = rows.groupBy("words_key").agg(
-        F.min(F.struct("doc", "text_key")).alias("first"), F.any_value("sketch").alias("sketch")
+        F.min(F.struct("doc", "text_key")).alias("first"),
+        F.any_value("sketch").alias("sketch"),
+        F.any_value("grams").alias("grams"),
     )
     # 56 bits of the key, then a place among the texts that share them (nearly always one text).
     head = F.conv(F.hex(F.substring("words_key", 1, 7)), 16, 10).cast("bigint")
@@ -352,16 +364,48 @@ def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame
     return _apart(prefix, prefix, ["top", "gram"], (F.col("node_a") < F.col("node_b")) & sizes)
 
 
+def _rarest(texts: DataFrame, least: float) -> DataFrame:
+    """node, n, gram, place, m, long: where short texts meet by one of their rarest shingles.
+
+    Shingles are numbered from the most frequent one, ``place`` of them are no rarer than this one. Where it is the rarest
+    that two texts have in common, no more than the smaller place can be. So the longer text has it only
+    for lengths ``m`` of the shorter one at which that is enough, and the shorter one for its own.
+    """
+    each = texts.where("grams is not null").select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    counts = each.groupBy("gram").agg(F.count("*").alias("many")).where("many > 1")
+    each = each.join(staged(counts), "gram")
+    order = Window.partitionBy("node").orderBy(F.desc("many"), F.desc("gram"))
+    fewest = F.ceil(least * F.col("n") - 1e-6).cast("int")
+    each = staged(each.withColumn("place", F.row_number().over(order)).where(F.col("place") >= fewest).drop("many"))
+    most = F.least(F.col("n"), F.floor((1 + least) / least * F.col("place") + 1e-6).cast("int") - F.col("n"))
+    long = each.where(most >= fewest).select("*", F.explode(F.sequence(fewest, most)).alias("m"), F.lit(True).alias("long"))
+    rows = staged(long.union(each.select("*", F.col("n").alias("m"), F.lit(False).alias("long"))))
+    both = rows.groupBy("gram", "m").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("long").alias("any"))
+    both = both.where("any and low < high").select("gram", "m")
+    return rows.join(staged(both), ["gram", "m"])
+
+
+def _through_rarest(meets: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Pairs of short texts that share one of their rarest shingles and may have enough in common."""
+    rows = staged(_rooted(meets, roots))
+    need = least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    others = rows.withColumn("long", ~F.col("long"))
+    few = _minority(rows, ["gram", "m"], "root")
+    return _apart(few, others, ["gram", "m", "long"], F.least("place_a", "place_b") >= need)
+
+
 def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """The rows with their words_key, and words_key, first, head (smallest first of its class) of every text."""
     # The sketch of equal texts is the same, whichever row it comes from.
-    rows = staged(sketches(docs))
+    rows = staged(sketches(docs, least))
     texts = staged(_texts(rows))
     entries = texts.select("node", F.explode("sketch").alias("bucket")).distinct()
     shared = entries.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1")
     entries = staged(entries.join(shared, "bucket"))
     degree = staged(entries.groupBy("node").agg(F.sum("many").alias("degree")))
-    wanted = texts.select("node", "first.doc", "first.text_key").join(degree.select("node"), "node", "left_semi")
+    meets = staged(_rarest(texts, least))
+    wanted = degree.select("node").union(meets.select("node")).distinct()
+    wanted = texts.select("node", "first.doc", "first.text_key").join(wanted, "node", "left_semi")
     lists = staged(_word_lists(docs, wanted))
 
     # Every text against the best connected text of its buckets.
@@ -389,6 +433,7 @@ def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
         _without_common_hub(entries, near, roots)
         .union(_through_the_hub(entries, near, roots, least))
         .union(_through_added(near, roots, least))
+        .union(_through_rarest(meets, roots, least))
         .distinct()
     )
     links = links.union(staged(compared(rest, lists, least).where("linked").select("a", "b")))

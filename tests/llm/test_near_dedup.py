@@ -166,3 +166,24 @@ def test_null_and_shared_ids_tie_nothing(spark):
     found = one_for_each(docs, nd.near_duplicate_classes(docs))
     assert {(r.doc_id, r.class_id) for r in found} == {(None, None), (7, 7), (8, 7), (9, 7), (3, 3), (5, 3), (6, 6)}
     assert sum(r.kept for r in found) == 13  # one kept row is there twice
+
+
+def test_short_texts_are_never_missed(spark):
+    rng = random.Random(21)
+
+    def some(many):
+        return [f"w{rng.randrange(10**6)}" for _ in range(many)]
+
+    texts, many = [], 0
+    for size in (8, 9, 10, 12, 13, 16, 23, 31, 39, 44):
+        for k in range(12):
+            words = some(size)
+            more = max(1, (size - 4) // 4)
+            ends = (words + some(more), some(more) + words, words[:-more], words + some(more + 1))
+            texts += [(many, " ".join(words)), (many + 1, " ".join(ends[k % 4]))]
+            many += 2
+    hub = some(8)  # every line has the hub's four shingles and one or two of its own
+    texts += [(10000 + i, " ".join(hub + some(1 + i % 2))) for i in range(60)] + [(9999, " ".join(hub))]
+    found = {r.doc_id: r.class_id for r in nd.near_duplicate_classes(odd(spark, texts)).collect()}
+    assert found == brute_classes({i: nd.word_hashes(t) for i, t in texts})
+    assert found[1] == 0 and found[10000] == 9999 and found[10001] == 10001
