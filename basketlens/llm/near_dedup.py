@@ -361,7 +361,8 @@ def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame
     prefix = each.withColumn("place", F.row_number().over(order)).where(F.col("place") >= spare)
     prefix = prefix.select("top", "gram", "node", "root", "n")
     sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-6
-    return _apart(prefix, prefix, ["top", "gram"], (F.col("node_a") < F.col("node_b")) & sizes)
+    prefix, on = staged(prefix), ["top", "gram"]
+    return _apart(_minority(prefix, on, "root"), prefix, on, sizes)
 
 
 def _rarest(texts: DataFrame, least: float) -> DataFrame:

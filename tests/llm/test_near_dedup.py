@@ -187,3 +187,14 @@ def test_short_texts_are_never_missed(spark):
     found = {r.doc_id: r.class_id for r in nd.near_duplicate_classes(odd(spark, texts)).collect()}
     assert found == brute_classes({i: nd.word_hashes(t) for i, t in texts})
     assert found[1] == 0 and found[10000] == 9999 and found[10001] == 10001
+
+
+def test_added_passages_of_one_class_do_not_pair_its_members(spark, monkeypatch):
+    rows = [(i, 1, 100, 90, True, [5, 6]) for i in range(2, 302)]
+    near_ = spark.createDataFrame(rows, "node bigint, top bigint, n int, common int, close boolean, added array<bigint>")
+    roots = spark.createDataFrame([(i, 1) for i in range(2, 300)], "node bigint, root bigint")
+    met, apart = [], nd._apart
+    monkeypatch.setattr(nd, "_apart", lambda one, two, *more: met.append((one.count(), two.count())) or apart(one, two, *more))
+    pairs = {(r.a, r.b) for r in nd._through_added(near_, roots, 0.8).collect()}
+    assert pairs == {(i, j) for j in (300, 301) for i in range(2, j)}
+    assert met == [(4, 600)]
