@@ -3,7 +3,8 @@
 Every run of letters, lower-cased and marked at both ends, gives its subwords of 2 and 3
 characters; a subword's hash picks an embedding. A text's vector is the average over all its subwords. Embeddings
 and softmax are trained together by stochastic gradient descent in numpy on a bounded sample:
-about ``PER_LANGUAGE`` texts of each language, ``MOST_TEXTS`` at most. Tasks send the driver only
+about ``PER_LANGUAGE`` texts of each language, or its part of ``MOST_TEXTS`` where that is less, but no
+fewer than about ``LEAST_TEXTS``. Languages with fewer texts are taken whole. Tasks send the driver only
 the subword counts of the sample. For prediction the product of embeddings and softmax, one row
 for each bucket, is all that is needed, so a text costs one table lookup for each subword.
 
@@ -30,6 +31,7 @@ BUCKETS = 1 << 14
 DIMENSIONS = 16
 PER_LANGUAGE = 500
 MOST_TEXTS = 4_000
+LEAST_TEXTS = 25
 PRECISION = 0.99
 UNKNOWN = "und"
 _SPACE = ord(" ")
@@ -125,21 +127,22 @@ def fit(
     return Model(languages, np.ascontiguousarray(table.T), bias, accept)
 
 
+def _sample(known: DataFrame) -> DataFrame:
+    """doc_id of the texts to learn from, of every language."""
+    counts = known.groupBy("lang").agg(F.count("*").alias("many"))
+    each = max(LEAST_TEXTS, min(PER_LANGUAGE, MOST_TEXTS // max(1, counts.count())))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("many")
+    picked = known.select("doc_id", "lang").join(counts, "lang").where(share < 1_000_000 * each)
+    return picked.select("doc_id").distinct()
+
+
 def train(docs: DataFrame) -> Model:
     """Learn from text and lang of the rows outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    counts = known.groupBy("lang").agg(F.count("*").alias("many"))
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("many")
-    sample = (
-        known.select("doc_id", "lang").join(counts, "lang")
-        .where(share < 1_000_000 * PER_LANGUAGE)
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_TEXTS)
-        .select("doc_id").distinct()
-    )
     found = (
-        known.join(F.broadcast(sample), "doc_id")
+        known.join(F.broadcast(_sample(known)), "doc_id")
         .select("doc_id", "lang", arrow_udf(_counted, "struct<bucket: array<int>, share: array<float>>")("text").alias("c"))
         .collect()
     )

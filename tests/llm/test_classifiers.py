@@ -122,3 +122,11 @@ def test_trees_walk_like_plain_code():
             total += model.leaf[t, node - 7]
         assert np.isclose(model.margin(rows[i : i + 1])[0], total)
     assert np.mean((model.score(rows) >= 0.5) == label) > 0.95
+
+
+def test_no_language_is_lost_among_many(spark):
+    ids = spark.range(36_000).selectExpr("id AS doc_id", "concat('l', id % 60) AS lang")
+    few = spark.range(50_000, 50_020).selectExpr("id AS doc_id", "concat('rare', id % 10) AS lang")
+    picked = {r.doc_id for r in language._sample(ids.union(few)).collect()}
+    assert picked >= set(range(50_000, 50_020))
+    assert {i % 60 for i in picked if i < 36_000} == set(range(60)) and 3000 < len(picked) < 4000
