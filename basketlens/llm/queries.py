@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.llm.common import read_table
 from basketlens.llm.decontamination import CONTAMINATION_SQL, contamination_report
+from basketlens.llm.embedding_whitening import whitening_report
 from basketlens.llm.fingerprints import fingerprint_report
 from basketlens.llm.language import predict_language
 from basketlens.llm.near_dedup import near_duplicate_classes
@@ -84,3 +85,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sentencepiece")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_verify(_documents(spark, sf_dir))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(read_table(spark, sf_dir, "embeddings"))
