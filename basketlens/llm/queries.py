@@ -18,6 +18,7 @@ from basketlens.llm.sentencepiece_viterbi import encode_and_verify
 from basketlens.llm.suffix_dedup import suffix_dedup_report
 from basketlens.llm.token_counts import counts_with_sample_edits
 from basketlens.llm.toxicity import toxicity_scores
+from basketlens.llm.warc_archive import ARCHIVE_SQL, archive_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +91,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_embedding_whitening")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening_report(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_warc_chunks", ARCHIVE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(read_table(spark, sf_dir, "pages"))
