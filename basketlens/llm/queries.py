@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketlens.llm.collocations import COLLOCATION_SQL, collocations
 from basketlens.llm.common import read_table
 from basketlens.llm.decontamination import CONTAMINATION_SQL, contamination_report
 from basketlens.llm.embedding_whitening import whitening_report
@@ -96,3 +97,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_warc_chunks", ARCHIVE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(read_table(spark, sf_dir, "pages"))
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir))

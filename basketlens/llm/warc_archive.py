@@ -170,9 +170,10 @@ class Reader:
         head = self.headers
         number = int(head.get("WARC-Segment-Number", 1)) - 1
         kind = head.get("WARC-Type", "")
+        length, whole = int(head.get("X-Payload-Length", -1)), head.get("WARC-Payload-Digest", "")[5:]
         if number == 0:
             key = _key(head.get("WARC-Record-ID", ""))
-            self.at = {"key": key, "kind": kind, "ok": True, "next": 0}
+            self.at = {"key": key, "kind": kind, "ok": True, "next": 0, "whole": (length, whole)}
             self.at["refers"] = _key(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None
             self.at["target"] = head.get("WARC-Target-URI")
             self.digest, self.so_far = hashlib.sha1(), 0
@@ -180,18 +181,18 @@ class Reader:
                 data = data.partition(b"\r\n\r\n")[2]
         elif _key(head.get("WARC-Segment-Origin-ID", "")) != self.at.get("key") or number != self.at["next"]:
             self.at = {"key": _key(head.get("WARC-Segment-Origin-ID", "")), "kind": "response", "ok": False, "refers": None}
+            self.at["whole"] = (length, whole)
             self.at["target"], self.digest, self.so_far = head.get("WARC-Target-URI"), hashlib.sha1(), 0
         self.at["next"] = number + 1
         self.digest.update(data)
         self.so_far += len(data)
-        length, whole = int(head.get("X-Payload-Length", -1)), head.get("WARC-Payload-Digest", "")[5:]
         last = "WARC-Segment-Total-Length" in head or "WARC-Segment-Number" not in head
         if self.at["kind"] == "revisit":
             running, last = head.get("X-Running-Digest", "")[5:], True
             ok = complete and not data
         else:
             running = base32(self.digest.copy().digest())
-            ok = complete and running == head.get("X-Running-Digest", "")[5:]
+            ok = complete and running == head.get("X-Running-Digest", "")[5:] and self.at["whole"] == (length, whole)
             if last:
                 ok = ok and self.so_far == length and running == whole
         self.at["ok"] = ok = self.at["ok"] and ok
