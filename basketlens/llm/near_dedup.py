@@ -359,10 +359,12 @@ def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame
     spare = F.greatest(F.ceil(least * F.col("n") - 1e-6) - F.col("common"), F.lit(1))
     # Numbered from the most frequent one, so the last ``spare`` - 1 to be left out come first.
     prefix = each.withColumn("place", F.row_number().over(order)).where(F.col("place") >= spare)
-    prefix = prefix.select("top", "gram", "node", "root", "n")
-    sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-6
+    prefix = prefix.select("top", "gram", "node", "root", "n", "common", "place")
+    # Where this is the rarest added shingle that two texts share, they share no more than the smaller place of them.
+    need = least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    enough = F.least("common_a", "common_b") + F.least("place_a", "place_b") >= need
     prefix, on = staged(prefix), ["top", "gram"]
-    return _apart(_minority(prefix, on, "root"), prefix, on, sizes)
+    return _apart(_minority(prefix, on, "root"), prefix, on, enough)
 
 
 def _rarest(texts: DataFrame, least: float) -> DataFrame:

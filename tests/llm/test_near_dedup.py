@@ -198,3 +198,22 @@ def test_added_passages_of_one_class_do_not_pair_its_members(spark, monkeypatch)
     pairs = {(r.a, r.b) for r in nd._through_added(near_, roots, 0.8).collect()}
     assert pairs == {(i, j) for j in (300, 301) for i in range(2, j)}
     assert met == [(4, 600)]
+
+
+def test_unlinked_copies_that_share_added_passages_are_not_paired(spark):
+    # 79 shingles of 100 in common with the hub and two added ones with each other: 81 of the 88.9 needed.
+    for many in (300, 600):
+        rows = [(i, 1, 100, 79, True, [5, 6, 1000 + i]) for i in range(2, 2 + many)]
+        near_ = spark.createDataFrame(rows, "node bigint, top bigint, n int, common int, close boolean, added array<bigint>")
+        roots = spark.createDataFrame([], "node bigint, root bigint")
+        assert nd._through_added(near_, roots, 0.8).count() == 0
+
+
+def test_added_passages_that_are_enough_are_met(spark):
+    # 70 in common with the hub and 19 added ones: 89 of the 88.9 needed.
+    shared = list(range(100, 119))
+    rows = [(i, 1, 100, 70, True, [*shared, *range(1000 * i, 1000 * i + 11)]) for i in (2, 3)]
+    rows.append((4, 1, 100, 70, True, [*shared[1:], *range(4000, 4012)]))
+    near_ = spark.createDataFrame(rows, "node bigint, top bigint, n int, common int, close boolean, added array<bigint>")
+    roots = spark.createDataFrame([], "node bigint, root bigint")
+    assert {tuple(r) for r in nd._through_added(near_, roots, 0.8).collect()} == {(2, 3)}
