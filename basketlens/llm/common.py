@@ -32,10 +32,11 @@ def free_name(df: DataFrame, base: str) -> str:
 def training_texts(
     docs: DataFrame, labels: DataFrame, label: str, most: int, key: str = "doc_id"
 ) -> DataFrame:
-    """(text, label) of at most ``most`` labelled rows outside the held-out fold.
+    """(__key, text, label) of at most ``most`` labelled rows outside the held-out fold.
 
-    Rows are picked by the order of a hash of their key, so the sample does not depend on the
-    partitioning. The picked keys are bounded by ``most``, which bounds their broadcast.
+    Keys are picked by the order of their hash, so the sample does not depend on the partitioning. There are
+    at most ``most`` of them, which bounds their broadcast, and one text for each: of rows that share a key, that
+    with the smallest hash, a null one only if there is no other.
     """
     picked = (
         labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
@@ -45,6 +46,8 @@ def training_texts(
         .orderBy(F.xxhash64("__key"), "__key")
         .limit(most)
     )
-    return docs.select(F.col(key).alias("__key"), F.col("text").alias("text")).join(
-        F.broadcast(picked), "__key"
-    ).select("__key", "text", F.col("__label").alias("label"))
+    found = docs.select(F.col(key).alias("__key"), F.col("text").alias("text")).join(F.broadcast(picked), "__key")
+    return found.groupBy("__key").agg(
+        F.min_by("text", F.when(F.col("text").isNotNull(), F.xxhash64("text"))).alias("text"),
+        F.first("__label").alias("label"),
+    )

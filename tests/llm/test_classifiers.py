@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from basketlens.llm import language, quality, toxicity
+from basketlens.llm.common import training_texts
 from basketlens.llm.queries import QUERIES
 from corpus_cases import TEXTS, empty, odd, one_for_each
 
@@ -130,3 +131,16 @@ def test_no_language_is_lost_among_many(spark):
     picked = {r.doc_id for r in language._sample(ids.union(few)).collect()}
     assert picked >= set(range(50_000, 50_020))
     assert {i % 60 for i in picked if i < 36_000} == set(range(60)) and 3000 < len(picked) < 4000
+
+
+def test_a_shared_id_does_not_break_the_bound_on_training_rows(spark):
+    shared = next(i for i in range(1, 99) if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.range(3000).selectExpr(
+        f"if(id % 3 = 0, {shared}, id + 100) as doc_id", "if(id % 9 = 0, null, concat('text ', id)) as text"
+    )
+    labels = spark.range(3200).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    found = training_texts(docs, labels, "toxic", 2000).collect()
+    assert len(found) == len({r["__key"] for r in found}) <= 2000
+    assert [r.text is not None for r in found if r["__key"] == shared] == [True]
+    again = training_texts(docs.repartition(7), labels.repartition(3), "toxic", 2000).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, again), key=str)
