@@ -12,7 +12,7 @@ from basketlens.functions.vectors import cosine_similarity
 from basketlens.operators import features as f
 from basketlens.operators import recommend as r
 from basketlens.operators import sequences as s
-from basketlens.operators.similarity import top_k_similar
+from basketlens.operators.similarity import top_k_products, top_k_similar
 from basketlens.operators.staging import staged
 from basketlens.plans.features import HYBRID, HYBRID_SIZE, PRODUCT_MEANS
 from basketlens.plans.registry import query
@@ -81,6 +81,16 @@ def nearest_embeddings(spark, sf_dir):
     return _rounded(top_k_similar(_label_means(embeddings), items))
 
 
+# Given factors in place of fitted ones: the search behind the recommendations for every customer.
+@query("factor_top5", f"WITH {VECTORS}" + _top5_sql("label", "vec_id", """
+SELECT m.label, vec_id, list_inner_product(embedding, label_vector) AS similarity
+FROM vectors v CROSS JOIN label_means m"""))
+def factor_top5(spark, sf_dir):
+    embeddings = _embeddings(spark, sf_dir)
+    best = top_k_products(_label_means(embeddings), embeddings.select("vec_id", "embedding"))
+    return _rounded(best.withColumnRenamed("product", "similarity"))
+
+
 def _hybrid_lists(source: str, keep: str) -> str:
     cells = ", ".join(f"v{i}" for i in range(HYBRID_SIZE))
     return f"SELECT {keep}, [{cells}] AS v FROM {source}"

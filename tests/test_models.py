@@ -91,6 +91,14 @@ def test_als_beats_the_mean_and_recommends_to_all(spark, planted):
     top = r.recommend_for_all(fitted, names).collect()
     assert len(top) == 5 * train.select("Customer_ID").distinct().count()
     assert all(x.Products == f"p{x.Products_Index}" and 1 <= x.rank <= 5 for x in top)
+    own = {x.Customer_ID: [(i.Products_Index, i.rating) for i in x.recommendations] for x in fitted.recommendForAllUsers(5).collect()}
+    got = {}
+    for x in sorted(top, key=lambda x: x["rank"]):
+        got.setdefault(x.Customer_ID, []).append((x.Products_Index, x.predicted))
+    assert got.keys() == own.keys()
+    for customer, best in got.items():
+        assert [v for _, v in best] == pytest.approx([v for _, v in own[customer]], rel=1e-5)
+        assert len({i for i, _ in best} ^ {i for i, _ in own[customer]}) <= 2  # floats of 32 bits tie where these do not
     again = r.recommend_for_all(r.fit_als(train), names).collect()
     assert [x.Products_Index for x in sorted(top)] == [x.Products_Index for x in sorted(again)]
 

@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.functions.vectors import cosine_similarity
-from basketlens.operators.similarity import top_k_similar
+from basketlens.operators import similarity as sim
+from basketlens.operators.similarity import top_k_products, top_k_similar
 
 
 def cosine(a, b):
@@ -99,3 +100,66 @@ def test_cosine_of_special_vectors(spark):
     got = [r[0] for r in df.select(cosine_similarity(F.col("a"), F.col("b"))).collect()]
     assert got[:4] == pytest.approx([1.0, 0.0, -1.0, 0.0])
     assert got[4:] == [None, None]
+
+
+def clustered(spark, n=600, dims=8):
+    """Items and queries around ten directions, of very different lengths."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(10, dims))
+    items = [(i, ((centres[i % 10] + rng.normal(size=dims) * 0.02) * 4.0 ** -(i % 7)).tolist()) for i in range(n)]
+    queries = [(i, (centres[i % 10] + rng.normal(size=dims) * 0.02).tolist()) for i in range(100)]
+    q = spark.createDataFrame(queries, "user long, v array<double>").repartition(3)
+    return queries, items, q, spark.createDataFrame(items, "item long, w array<double>").repartition(5)
+
+
+@pytest.mark.parametrize("kind", [sim.COSINE, sim.PRODUCT])
+def test_blocks_out_of_reach_are_skipped_without_loss(spark, monkeypatch, kind):
+    queries, items, q, i = clustered(spark)
+    compared, routed = [], sim._routed
+
+    def counted(*args, **more):
+        out = routed(*args, **more)
+        if len(args) == 3 and not more:
+            compared.append((sum(r.queries for r in out.collect()), len(args[1].cell)))
+        return out
+
+    monkeypatch.setattr(sim, "_routed", counted)
+    top = (top_k_similar if kind == sim.COSINE else top_k_products)(q, i, 5, block_bytes=20 * 8 * 8)
+    got = {}
+    for r in top.orderBy("user", "rank").collect():
+        got.setdefault(r.user, []).append((r.item, r[kind]))
+    score = cosine if kind == sim.COSINE else (lambda a, b: float(np.dot(a, b)))
+    for user, v in queries:
+        want = sorted(((j, score(v, w)) for j, w in items), key=lambda s: (-s[1], s[0]))[:5]
+        assert [s for _, s in got[user]] == pytest.approx([s for _, s in want])
+        assert [n for n, _ in got[user]] == [n for n, _ in want]
+    (first, blocks), (second, _) = compared
+    assert first == len(queries) and blocks >= 30
+    assert second < 0.35 * len(queries) * blocks
+
+
+def test_products_of_null_and_large_ids_ties_and_zero_vectors(spark):
+    big = 2**60 + 1
+    q = spark.createDataFrame([(None, [1.0, 0.0]), (big, [0.0, -1.0]), (3, [0.0, 0.0])], "user long, v array<double>")
+    i = spark.createDataFrame(
+        [(None, [2.0, 1.0]), (big, [2.0, -1.0]), (big + 1, [1.0, 9.0]), (7, [0.0, 0.0])], "item long, w array<double>"
+    )
+    for block_bytes in (16, 1 << 20):
+        got = {(r.user, r["rank"]): (r.item, r["product"]) for r in top_k_products(q, i, 2, block_bytes).collect()}
+        assert got == {
+            (None, 1): (None, 2.0), (None, 2): (big, 2.0), (big, 1): (big, 1.0), (big, 2): (7, 0.0),
+            (3, 1): (None, 0.0), (3, 2): (7, 0.0),
+        }
+
+
+def test_one_query_repeated_very_often(spark):
+    q = spark.range(4000).selectExpr("1L as user", "array(1D, cast(id % 2 as double)) as v")
+    i = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 1.0]), ("c", [0.0, 1.0])], "name string, w array<double>")
+    found = top_k_similar(q, i, 2, block_bytes=64).orderBy("rank").collect()
+    assert [(r.name, round(r.similarity, 9)) for r in found] == [("a", 1.0), ("b", 1.0)]
+
+
+def test_items_do_not_pass_through_the_driver(spark):
+    _, _, q, i = clustered(spark)
+    plan = top_k_similar(q, i)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Cartesian" not in plan
