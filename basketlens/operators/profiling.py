@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from basketlens.functions.numeric import exact_avg
 from basketlens.operators.quantiles import exact_quantiles, quantile_columns
+from basketlens.operators.sketches import merged_quantiles, quantile_states
 from basketlens.operators.staging import staged
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+BINS = 1024  # bins of a density for each bandwidth
+REACH = 12  # bandwidths
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -117,10 +118,11 @@ def describe(df: DataFrame) -> DataFrame:
     return df.agg(*aggregates).select(_stacked(names, cells, out))
 
 
-def describe_quartiles(df: DataFrame) -> DataFrame:
+def describe_quartiles(df: DataFrame, rank_error: float | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns.
 
-    The moments come from one wide aggregate, the quartiles from two passes over the long form.
+    The moments come from one wide aggregate, the quartiles from two passes over the long form, or,
+    with a ``rank_error``, from sketches whose quartiles have ranks that are off by no more than that.
     """
     names = numeric_columns(df)
     cells = [[F.col(c).cast("double")] for c in names]
@@ -131,8 +133,11 @@ def describe_quartiles(df: DataFrame) -> DataFrame:
     moments = wide.select(
         _stacked(names, [[F.col(f"{i}_{stat}") for stat in stats] for i in range(len(names))], ["column", *stats])
     )
-    long = df.select(_stacked(names, cells, ["column", "value"]))
-    quartiles = quantile_columns(long, "value", QUARTILES, ["column"])
+    if rank_error is None:
+        long = df.select(_stacked(names, cells, ["column", "value"]))
+        quartiles = quantile_columns(long, "value", QUARTILES, ["column"])
+    else:
+        quartiles = merged_quantiles(quantile_states(df, names, [], rank_error), names, QUARTILES).drop("count")
     return moments.join(quartiles, "column", "left").select(
         "column", "count", "mean", "stddev", "min", *QUARTILES, "max"
     )
@@ -199,9 +204,11 @@ def log_histogram(df: DataFrame, name: str, bins: int = 50) -> DataFrame:
 def log_density(df: DataFrame, name: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density of log10 of a column on an even grid from minimum to maximum.
 
-    Bandwidth by Scott's rule. A task adds up its values into one sum per grid point, so rows are
-    never multiplied by the grid nor shuffled. Rows (point, x, density); none for a column
-    without spread.
+    Bandwidth by Scott's rule. Values are first summed up by bins of a ``BINS``-th of the bandwidth, as their number and
+    the first three moments around the bin's middle. The kernel is then taken at the middles only and expanded by the
+    moments, which changes a density by less than 1e-13 of a value's own kernel. So what meets the grid are bins, whose number depends
+    on the range in bandwidths and not on the rows. A value has no part beyond ``REACH`` bandwidths (1e-31 of its kernel).
+    Rows (point, x, density); none for a column without spread.
     """
     logs = _log_values(df, name)
     stats = logs.agg(
@@ -212,26 +219,36 @@ def log_density(df: DataFrame, name: str, points: int = 200) -> DataFrame:
             (F.stddev_samp("x") * F.pow(F.count("x").cast("double"), F.lit(-0.2))).alias("h"),
         ).alias("r")
     ).head()["r"]
-    out = "point int, x double, density double"
     if not stats["h"]:
-        return df.sparkSession.createDataFrame([], out)
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     low, n, h = stats["low"], stats["n"], stats["h"]
-    step = (stats["high"] - low) / (points - 1)
-
-    grid = low + step * np.arange(points)
-    scale = 1.0 / (n * h * (2 * np.pi) ** 0.5)
-
-    def kernel_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros(len(grid))
-        for batch in batches:
-            values, weights = np.unique(batch["x"].to_numpy(), return_counts=True)
-            z = (grid[:, None] - values[None, :]) / h
-            sums += np.exp(-0.5 * z * z) @ weights.astype(np.float64)
-        yield pd.DataFrame({"point": np.arange(len(grid), dtype=np.int32), "x": grid, "s": sums})
-
-    sums = logs.mapInPandas(kernel_sums, "point int, x double, s double")
-    density = F.sum("s") * F.lit(scale)
-    return sums.groupBy("point", "x").agg(density.alias("density"))
+    step, width = (stats["high"] - low) / (points - 1), h / BINS
+
+    place = (F.col("x") - low) / width
+    away = place - F.floor(place) - 0.5
+    bins = logs.select(F.floor(place).alias("bin"), away.alias("m")).groupBy("bin").agg(
+        F.count(F.lit(1)).alias("m0"),
+        F.sum("m").alias("m1"),
+        F.sum(F.col("m") * F.col("m")).alias("m2"),
+        F.sum(F.col("m") * F.col("m") * F.col("m")).alias("m3"),
+    )
+    middle = (F.col("bin") + 0.5) * width  # from the lowest value on
+    first = F.greatest(F.ceil((middle - REACH * h) / step), F.lit(0)).cast("int")
+    last = F.least(F.floor((middle + REACH * h) / step), F.lit(points - 1)).cast("int")
+    near = bins.withColumns({"middle": middle, "first": first, "last": last}).where("first <= last")
+    near = near.withColumn("point", F.explode(F.sequence("first", "last")))
+    z, t = (F.col("point") * step - F.col("middle")) / h, 1.0 / BINS
+    expanded = (
+        F.col("m0") + F.col("m1") * t * z + F.col("m2") * (t**2 / 2) * (z * z - 1) + F.col("m3") * (t**3 / 6) * (z * z * z - 3 * z)
+    )
+    sums = near.select("point", (F.exp(-0.5 * z * z) * expanded).alias("s")).groupBy("point").agg(F.sum("s").alias("s"))
+    every = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+    scale = 1.0 / (n * h * (2 * math.pi) ** 0.5)
+    return every.join(sums, "point", "left").select(
+        "point",
+        (F.lit(low) + F.col("point") * step).alias("x"),
+        (F.coalesce("s", F.lit(0.0)) * scale).alias("density"),
+    )
 
 
 def box_summary(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.labels import INCOME_SCORES, label_code
 from basketlens.operators import profiling as p
+from basketlens.operators import sketches as k
+from basketlens.operators.staging import staged
 from basketlens.plans.registry import query
 from basketlens.plans.tables import over_retail, stored_retail, ten_digits, ten_digits_sql
 from basketlens.schema import RAW_SCHEMA
@@ -90,6 +92,39 @@ def describe_quartiles(spark, sf_dir):
     return ten_digits(described, "mean", "stddev", *p.QUARTILES)
 
 
+RANK_ERROR, DISTINCT_ERROR, PARTS = 0.01, 0.02, ["Year", "Month"]
+
+
+@query("approx_quartiles", _union([
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, '{q}' AS quantile, TRUE AS within FROM retail"
+    for c in NUMBERS for q in p.QUARTILES
+]))
+def approx_quartiles(spark, sf_dir):
+    """Quartiles merged from states by month, and whether their ranks are as exact as was asked for."""
+    rows = stored_retail(spark, sf_dir, *NUMBERS)
+    states = staged(k.quantile_states(rows, NUMBERS, PARTS, RANK_ERROR))
+    quartiles = staged(k.merged_quantiles(states, NUMBERS, p.QUARTILES))
+    errors = k.rank_errors(rows, quartiles, p.QUARTILES)
+    return errors.join(quartiles.select("column", "count"), "column").select(
+        "column", "count", "quantile", (F.col("error") <= RANK_ERROR).alias("within")
+    )
+
+
+@query("approx_distinct", _union([
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, TRUE AS within FROM retail"
+    + (" WHERE Amount >= 0" if c == "Amount" else "") for c in RAW
+]))
+def approx_distinct(spark, sf_dir):
+    """Distinct counts merged from states by month, next to the exact ones."""
+    rows = staged(_with_odd_amounts(spark, sf_dir))
+    states = staged(k.distinct_states(rows, RAW, PARTS, DISTINCT_ERROR))
+    exact = p.distinct_counts(rows).withColumnRenamed("distinct_values", "exact")
+    away = F.abs(F.col("distinct_values") - F.col("exact"))
+    return k.merged_distinct(states, RAW).join(exact, "column").select(
+        "column", "exact", (away <= DISTINCT_ERROR * F.col("exact")).alias("within")
+    )
+
+
 @query("value_counts", over_retail(
     "SELECT Product_Category, count(*) AS count FROM retail GROUP BY 1 ORDER BY 2 DESC, 1"
 ))
