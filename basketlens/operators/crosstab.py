@@ -84,16 +84,30 @@ def crosstab_many(df: DataFrame, specs: Sequence[Spec]) -> DataFrame:
 
 
 def pivot_wide(
-    df: DataFrame, rows: str, columns: str, value: Column, values: list[str] | None = None
+    df: DataFrame,
+    rows: str,
+    columns: str,
+    value: Column,
+    values: Sequence[str] | None = None,
+    nulls: bool = True,
+    other: str = "other",
 ) -> DataFrame:
     """Wide form, one column per value of ``columns``; empty cells are 0.
 
-    A null in ``columns`` becomes a column named "null"; a value that reads so itself is an error.
-    Without ``values`` Spark finds them first, and fails beyond its limit of pivot columns.
+    With ``values``, the columns are these in this order, "null" unless ``nulls`` is false, and ``other``, which takes
+    all other labels: they do not depend on the data, and no job looks for them. Rows with a null are left out where
+    there is no column for them. Without ``values`` Spark finds them first, and fails beyond its limit of pivot columns.
+    A null in ``columns`` becomes a column named "null"; a label that reads so itself is an error.
     """
     label = F.col(columns).cast("string")
     clash = F.raise_error(F.lit(f"a value of {columns} reads 'null', the name of the column of nulls"))
     label = F.when(label == "null", clash.cast("string")).otherwise(label)
+    if values is not None:
+        names = [*values, *(["null"] if nulls else []), other]
+        if len(set(names)) < len(names):
+            raise ValueError(f"columns that are named twice: {names}")
+        df = df if nulls else df.where(F.col(columns).isNotNull())
+        label = F.when(label.isNull() | label.isin(*values), label).otherwise(F.lit(other))
     named = df.withColumn(columns, F.coalesce(label, F.lit("null")))
-    wide = named.groupBy(rows).pivot(columns, values).agg(value)
+    wide = named.groupBy(rows).pivot(columns, names if values is not None else None).agg(value)
     return wide.fillna(0, [c for c in wide.columns if c != rows])

@@ -305,6 +305,8 @@ def _pivot_sql(rows: str, alias: str, column: str, values: list[str], cell: str,
     ]
     if nulls:
         cells.append(f"coalesce({cell.format(cond=f'{column} IS NULL')}, {empty}) AS \"null\"")
+    listed = ", ".join(f"'{v}'" for v in values)
+    cells.append(f"coalesce({cell.format(cond=f'{column} NOT IN ({listed})')}, {empty}) AS other")
     return over_retail(f"SELECT {rows} AS {alias}, {', '.join(cells)} FROM retail {where} GROUP BY 1")
 
 
@@ -316,13 +318,13 @@ COUNT_CELL = "count(*) FILTER (WHERE {cond})"
 @query("pivot_age_gender_sum", _pivot_sql(AGE_GROUP, "Age_Group", "Gender", GENDERS, SUM_CELL, "0.0"))
 def pivot_age_gender_sum(spark, sf_dir):
     rows = r.with_age_group(stored_retail(spark, sf_dir, "Age", "Gender", "Total_Purchases"))
-    return pivot_wide(rows, "Age_Group", "Gender", F.sum("Total_Purchases"))
+    return pivot_wide(rows, "Age_Group", "Gender", F.sum("Total_Purchases"), GENDERS)
 
 
 @query("pivot_age_gender_avg", _pivot_sql(AGE_GROUP, "Age_Group", "Gender", GENDERS, AVG_CELL, "0.0"))
 def pivot_age_gender_avg(spark, sf_dir):
     rows = r.with_age_group(stored_retail(spark, sf_dir, "Age", "Gender", "Total_Purchases"))
-    return pivot_wide(rows, "Age_Group", "Gender", F.avg("Total_Purchases"))
+    return pivot_wide(rows, "Age_Group", "Gender", F.avg("Total_Purchases"), GENDERS)
 
 
 @query("pivot_category_country", _pivot_sql(
@@ -330,7 +332,7 @@ def pivot_age_gender_avg(spark, sf_dir):
 ))
 def pivot_category_country(spark, sf_dir):
     rows = stored_retail(spark, sf_dir, "Product_Category", "Country", "Total_Purchases")
-    return pivot_wide(rows, "Product_Category", "Country", F.sum("Total_Purchases"))
+    return pivot_wide(rows, "Product_Category", "Country", F.sum("Total_Purchases"), COUNTRIES)
 
 
 @query("pivot_segment_shipping", _pivot_sql(
@@ -338,7 +340,7 @@ def pivot_category_country(spark, sf_dir):
 ))
 def pivot_segment_shipping(spark, sf_dir):
     rows = stored_retail(spark, sf_dir, "Customer_Segment", "Shipping_Method")
-    return pivot_wide(rows, "Customer_Segment", "Shipping_Method", F.count(F.lit(1)))
+    return pivot_wide(rows, "Customer_Segment", "Shipping_Method", F.count(F.lit(1)), SHIPPING)
 
 
 @query("pivot_month_brand", _pivot_sql(
@@ -349,7 +351,7 @@ def pivot_month_brand(spark, sf_dir):
     rows = stored_retail(spark, sf_dir, "Month", "Product_Brand", "Total_Purchases")
     named = rows.dropna(subset=["Product_Brand"])
     by_number = named.withColumn("Month", key_column("Month"))
-    wide = pivot_wide(by_number, "Month", "Product_Brand", F.sum("Total_Purchases"))
+    wide = pivot_wide(by_number, "Month", "Product_Brand", F.sum("Total_Purchases"), BRANDS, nulls=False)
     return wide.orderBy("Month")
 
 
@@ -358,4 +360,4 @@ def pivot_month_brand(spark, sf_dir):
 ))
 def pivot_payment_segment(spark, sf_dir):
     rows = stored_retail(spark, sf_dir, "Payment_Method", "Customer_Segment")
-    return pivot_wide(rows, "Payment_Method", "Customer_Segment", F.count(F.lit(1)))
+    return pivot_wide(rows, "Payment_Method", "Customer_Segment", F.count(F.lit(1)), SEGMENTS)

@@ -116,3 +116,24 @@ def test_spend_tiers(spark):
     rows = [(1, 5000.0), (2, 5000.01), (3, 1000.0), (4, 1000.01), (5, None)]
     df = spark.createDataFrame(rows, "Customer_ID long, Total_Amount double")
     assert as_dict(r.spend_tiers(df)) == {"VIP": 1, "Regular": 2, "Low Spender": 2}
+
+
+def test_declared_pivot_columns_do_not_depend_on_the_data(spark):
+    df = spark.createDataFrame([("x", "a", 1), ("x", "new", 2), ("x", None, 4), ("y", "newer", 8)], "r string, c string, v int")
+    declared = ["b", "a"]
+    rows = pivot_wide(df, "r", "c", F.sum("v"), declared).orderBy("r")
+    assert rows.columns == ["r", "b", "a", "null", "other"]
+    assert [tuple(r) for r in rows.collect()] == [("x", 0, 1, 4, 2), ("y", 0, 0, 0, 8)]
+    few = pivot_wide(df.where("c = 'a'"), "r", "c", F.sum("v"), declared, nulls=False, other="rest")
+    assert few.columns == ["r", "b", "a", "rest"] and [tuple(r) for r in few.collect()] == [("x", 0, 1, 0)]
+    with pytest.raises(ValueError, match="named twice"):
+        pivot_wide(df, "r", "c", F.sum("v"), ["a", "other"])
+
+
+def test_declared_pivots_run_no_job_before_the_result(spark):
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pivot-declared", "")
+    df = spark.range(10).selectExpr("id % 2 as r", "cast(id % 3 as string) as c")
+    pivot_wide(df, "r", "c", F.count(F.lit(1)), ["0", "1"])
+    assert not status.getJobIdsForGroup("pivot-declared")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -140,3 +140,55 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
 
 def test_staged_tables_lie_in_the_shared_folder(spark, raw):
     assert shared_folder(spark).rsplit("/", 1)[1] in raw.inputFiles()[0]
+
+
+def test_rejected_cells_and_lines_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "Age,time,Customer_ID,other,Ratings\n30,22:03:55,7,x,1.5\nold,,seven,,\n41,1,8,x,2.0,extra,more\n5.0,1\n,,,,bad\n"
+    )
+    checked = readers.read_csv_checked(spark, str(tmp_path / "t.csv"))
+    rows = sorted((r.Age, r.Customer_ID, r.Ratings) for r in checked.rows.fillna(-1).collect())
+    assert rows == [(-1, -1, -1.0), (-1, -1, -1.0), (5, -1, -1.0), (30, 7, 1.5), (41, 8, 2.0)]
+    assert checked.counts.get == {"lines": 2, "Age": 1, "Customer_ID": 1, "Ratings": 1}
+    rejected = sorted((r.column or "", r.text or "", r.line or "") for r in checked.rejected.collect())
+    assert rejected == [
+        ("", "", "41,1,8,x,2.0,extra,more"), ("", "", "5.0,1"), ("Age", "old", ""), ("Customer_ID", "seven", ""), ("Ratings", "bad", ""),
+    ]
+    plain = readers.read_csv(spark, str(tmp_path / "t.csv"))
+    assert rows_of(plain) == rows_of(checked.rows)
+
+
+def test_nothing_rejected(spark, raw, tmp_path):
+    path = str(tmp_path / "raw")
+    writers.write_csv(raw.drop("Date"), path)
+    checked = readers.read_csv_checked(spark, path)
+    assert checked.rows.count() and rows_of(checked.rows) == rows_of(readers.read_csv(spark, path))
+    assert checked.rejected.isEmpty()
+    writers.write_csv(spark.range(1).selectExpr("'x' as _line"), str(tmp_path / "clash"))
+    with pytest.raises(ValueError, match="_line"):
+        readers.read_csv_checked(spark, str(tmp_path / "clash"))
+
+
+def test_a_collection_is_replaced_as_a_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    old = spark.range(40).selectExpr("id", "if(id % 2 = 0, null, 'a') as name")
+    writers.replace_collection(old, path)
+    assert rows_of(readers.read_replaced(spark, path, old.schema)) == rows_of(old)
+    first = readers.current_version(spark, path)
+
+    # A task fails after others have written.
+    failing = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") == 3999, F.raise_error(F.lit("broken")).cast("bigint")).otherwise(F.col("id")).alias("id")
+    )
+    with pytest.raises(Exception, match="broken"):
+        writers.replace_collection(failing, path)
+    assert readers.current_version(spark, path) == first
+    assert rows_of(readers.read_replaced(spark, path, old.schema)) == rows_of(old)
+    assert sorted(p.name for p in (tmp_path / "docs").iterdir() if not p.name.startswith(".")) == ["current.txt", first]
+
+    # From itself, and with a reader that is still at the version before.
+    reader = readers.read_replaced(spark, path, old.schema)
+    writers.replace_collection(reader.where("id < 10"), path)
+    assert reader.count() == 40 and readers.read_replaced(spark, path, old.schema).count() == 10
+    writers.replace_collection(old.limit(0), path)
+    assert readers.read_replaced(spark, path, old.schema).count() == 0 and not (tmp_path / "docs" / first).exists()
