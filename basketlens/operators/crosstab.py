@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.labels import month_index
 
+ROWS = 200_000  # added up at a time
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "count": F.count}
 
 
@@ -45,42 +52,57 @@ def crosstab(df: DataFrame, spec: Spec) -> DataFrame:
 def crosstab_many(df: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     """All tables from one scan, long form: (spec, f1, f2, value) with keys as text.
 
-    Each distinct pair of keys is one grouping set.
+    A task adds up its rows by each pair of keys in Arrow, ``ROWS`` rows at a time, so a row is never
+    copied for each pair: what is shuffled are cells.
     """
     pairs = list(dict.fromkeys((s.f1, s.f2) for s in specs))
     keys = list(dict.fromkeys(c for pair in pairs for c in pair))
-    measures = list(dict.fromkeys((s.op, s.metric) for s in specs))
-    # The measured columns are copied so that no key is also an aggregate's input.
+    metrics = list(dict.fromkeys(s.metric for s in specs))
     narrow = df.select(
-        *[key_column(k).cast("string").alias(k) for k in keys],
-        *[F.col(m).cast("double").alias(f"m_{m}") for m in {m for _, m in measures}],
-    )
-    grouped = narrow.groupingSets(
-        [[F.col(a), F.col(b)] for a, b in pairs], *[F.col(k) for k in keys]
-    ).agg(
-        F.grouping_id(*keys).alias("_set"),
-        *[
-            AGGREGATES[op](f"m_{m}").cast("double").alias(f"{op}_{m}")
-            for op, m in measures
-        ],
+        *[key_column(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)],
+        *[F.col(m).cast("double").alias(f"m{i}") for i, m in enumerate(metrics)],
     )
-
-    def set_id(pair: tuple[str, str]) -> int:
-        return sum(0 if k in pair else 1 << (len(keys) - 1 - i) for i, k in enumerate(keys))
+    wanted = [(f"k{keys.index(one)}", f"k{keys.index(two)}") for one, two in pairs]
+    sums, counts = [f"s{i}" for i in range(len(metrics))], [f"n{i}" for i in range(len(metrics))]
+    names = ["pair", "f1", "f2", *sums, *counts]
+    measured = [(f"m{i}", kind) for kind in ("sum", "count") for i in range(len(metrics))]
+
+    def cells(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches)
+        for number, (one, two) in enumerate(wanted):
+            # Equal keys are grouped under two names, or a pair of one key would be one column.
+            both = rows.select([f"m{i}" for i in range(len(metrics))]).append_column("f1", rows[one]).append_column("f2", rows[two])
+            found = both.group_by(["f1", "f2"]).aggregate(measured)
+            columns = [pa.array([number] * len(found), pa.int32()), found["f1"], found["f2"]]
+            columns += [found[f"{m}_{kind}"] for m, kind in measured]
+            yield from pa.Table.from_arrays(columns, names).combine_chunks().to_batches()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many = [], 0
+        for batch in batches:
+            held.append(batch)
+            many += len(batch)
+            if many >= ROWS:
+                yield from cells(held)
+                held, many = [], 0
+        if held:
+            yield from cells(held)
+
+    kinds = ", ".join([f"{n} double" for n in sums] + [f"{n} bigint" for n in counts])
+    partial = narrow.mapInArrow(work, f"pair int, f1 string, f2 string, {kinds}")
+    total = partial.groupBy("pair", "f1", "f2").agg(*[F.sum(n).alias(n) for n in (*sums, *counts)])
 
     def row(spec: Spec) -> Column:
-        return F.struct(
-            F.lit(spec.short_name).alias("spec"),
-            F.col(spec.f1).alias("f1"),
-            F.col(spec.f2).alias("f2"),
-            F.col(f"{spec.op}_{spec.metric}").alias("value"),
-        )
+        at = metrics.index(spec.metric)
+        there = F.col(f"n{at}")
+        value = {"sum": F.when(there > 0, F.col(f"s{at}")), "avg": F.try_divide(f"s{at}", there), "count": there.cast("double")}
+        return F.struct(F.lit(spec.short_name).alias("spec"), F.col("f1"), F.col("f2"), value[spec.op].alias("value"))
 
     rows = F.lit(None)
-    for pair in pairs:
+    for number, pair in enumerate(pairs):
         members = F.array(*[row(s) for s in specs if (s.f1, s.f2) == pair])
-        rows = F.when(F.col("_set") == set_id(pair), members).otherwise(rows)
-    return grouped.select(F.inline(rows))
+        rows = F.when(F.col("pair") == number, members).otherwise(rows)
+    return total.select(F.inline(rows))
 
 
 def pivot_wide(
