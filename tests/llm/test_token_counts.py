@@ -58,3 +58,19 @@ def test_null_edits(spark):
     for edits in (F.lit(None).cast(tc.EDITS), F.array(F.lit(None)).cast(tc.EDITS)):
         for r in tc.token_counts(docs, edits).collect():
             assert r.n_edits == 0 and r.n_tokens == r.n_tokens_edited
+
+
+def test_very_long_runs_of_white_space(monkeypatch):
+    monkeypatch.setattr(tc, "_LONG_RUN", tc.re.compile(rf"[{tc.SPACES}]{{3,}}"))
+    rng = random.Random(5)
+    for _ in range(400):
+        text = "".join(rng.choice(["a", " ", "  ", "\n", "\t", "b!", "\u3000", " ", "\r\n", "7"]) for _ in range(rng.randrange(30)))
+        assert tc.count(tc.RANKS_FILE, text) == whole(text)
+
+
+def test_five_million_blanks_are_counted():
+    for c in (" ", "\n", "\t"):
+        tree = tc.TokenTree("a" + c * 5_000_000 + "b")
+        few = tc.TokenTree("a" + c * 500_000 + "b")
+        assert tree.chars[1] == 5_000_002 and tree.total > 9 * few.total
+        assert few.total == whole("a" + c * 500_000 + "b")
