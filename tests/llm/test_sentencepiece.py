@@ -1,4 +1,7 @@
+import time
+
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -51,6 +54,18 @@ def test_the_window_stays_small():
         assert stream.window() < 8 * WORDS.longest
 
 
+@pytest.mark.parametrize("c", ["a", " ", "-", "漢"])
+def test_long_runs_of_one_character_take_linear_time(c):
+    def seconds(many):
+        start = time.perf_counter()
+        ids = sv.Encoder(WORDS).encode([c * many])[0]
+        assert sv.decode(WORDS, ids) == c * many
+        return time.perf_counter() - start
+
+    assert sv.Encoder(WORDS).encode([c * 700])[0].tolist() == best_path(" " + c * 700)
+    assert seconds(200_000) < 12 * seconds(25_000) + 1
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(sv, "REMEMBERED", 10)
     encoder = sv.Encoder(WORDS)
