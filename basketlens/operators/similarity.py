@@ -244,7 +244,8 @@ def _ranked(found: DataFrame, query_id: str, k: int, distinct: bool) -> DataFram
 
 def _top_k(queries: DataFrame, items: DataFrame, k: int, kind: str, block_bytes: int, distinct: bool, nulls: str) -> DataFrame:
     (query_id, query_vector), (item_id, item_vector) = queries.columns, items.columns
-    numbered = in_order(whole_vectors(items, item_vector, nulls), [item_id])
+    # Dealing by ranges looks at its input twice, so what is behind the items is computed before.
+    numbered = in_order(staged(whole_vectors(items, item_vector, nulls)), [item_id])
     names = staged(numbered.select(F.col("_at").alias("item"), F.col(item_id).alias("_name"), F.col(item_vector).alias("_vector")))
     cut = blocks_of(names.select("item", "_vector"), "_vector", kind, block_bytes)
     if cut is None:
