@@ -192,3 +192,22 @@ def test_a_collection_is_replaced_as_a_whole_or_not_at_all(spark, tmp_path):
     assert reader.count() == 40 and readers.read_replaced(spark, path, old.schema).count() == 10
     writers.replace_collection(old.limit(0), path)
     assert readers.read_replaced(spark, path, old.schema).count() == 0 and not (tmp_path / "docs" / first).exists()
+
+
+def test_refreshing_a_year_leaves_the_others_alone(spark, tmp_path):
+    path = tmp_path / "years"
+    rows = spark.range(60).selectExpr("id", "cast(2000 + id % 3 as int) as Year")
+    writers.write_parquet(rows, str(path), ["Year"])
+
+    def files(year):
+        return {(f.name, f.stat().st_mtime_ns) for f in (path / f"Year={year}").glob("*.parquet")}
+
+    before = {year: files(year) for year in (2000, 2001, 2002)}
+    writers.refresh_parquet(rows.where("Year = 2001").selectExpr("id + 1000 as id", "Year"), str(path), ["Year"])
+    assert files(2000) == before[2000] and files(2002) == before[2002] and not files(2001) & before[2001]
+    back = readers.read_parquet(spark, str(path))
+    assert back.count() == 60 and {r.id >= 1000 for r in back.where("Year = 2001").collect()} == {True}
+    one = back.where("Year = 2001")
+    assert "PartitionFilters: [isnotnull(Year" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="partition columns"):
+        writers.refresh_parquet(rows, str(path), [])
