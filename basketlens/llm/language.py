@@ -3,9 +3,10 @@
 Every run of letters, lower-cased and marked at both ends, gives its subwords of 2 and 3
 characters; a subword's hash picks an embedding. A text's vector is the average over all its subwords. Embeddings
 and softmax are trained together by stochastic gradient descent in numpy on a bounded sample:
-about ``PER_LANGUAGE`` texts of each language, or its part of ``MOST_TEXTS`` where that is less, but no
-fewer than about ``LEAST_TEXTS``. Languages with fewer texts are taken whole. Tasks send the driver only
-the subword counts of the sample. For prediction the product of embeddings and softmax, one row
+at most ``PER_LANGUAGE`` texts of each language, or its part of ``MOST_TEXTS`` where that is less, but no
+fewer than ``LEAST_TEXTS``. Languages with fewer texts are taken whole. Rows that agree in doc_id and text count
+once, and of equal hashes one text is taken, so ids or texts shared by very many rows do not break the bound. Tasks
+send the driver only the subword counts of the sample. For prediction the product of embeddings and softmax, one row
 for each bucket, is all that is needed, so a text costs one table lookup for each subword.
 
 Rejection is calibrated on a part of the sample that training has not seen: the lowest score at
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -128,12 +129,19 @@ def fit(
 
 
 def _sample(known: DataFrame) -> DataFrame:
-    """doc_id of the texts to learn from, of every language."""
-    counts = known.groupBy("lang").agg(F.count("*").alias("many"))
+    """lang, mark and text of what to learn from: of each language its part of rows that differ in doc_id or text.
+
+    ``mark`` is a hash of doc_id and text. Rows below a share of its range are taken, a fifth more than wanted as
+    different rows are counted by a sketch; of these the lowest marks stay, so the bound holds to the row.
+    """
+    marked = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("mark"))
+    counts = marked.groupBy("lang").agg(F.approx_count_distinct("mark", 0.02).alias("many"))
     each = max(LEAST_TEXTS, min(PER_LANGUAGE, MOST_TEXTS // max(1, counts.count())))
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("many")
-    picked = known.select("doc_id", "lang").join(counts, "lang").where(share < 1_000_000 * each)
-    return picked.select("doc_id").distinct()
+    share = F.shiftrightunsigned("mark", 11).cast("double") / float(1 << 53)
+    few = marked.join(F.broadcast(counts), "lang").where(share * F.col("many") < 1.2 * each + 20)
+    once = few.groupBy("lang", "mark").agg(F.min("text").alias("text"))
+    lowest = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("mark", 11), "mark", "text")
+    return once.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= each).drop("place")
 
 
 def train(docs: DataFrame) -> Model:
@@ -141,12 +149,9 @@ def train(docs: DataFrame) -> Model:
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    found = (
-        known.join(F.broadcast(_sample(known)), "doc_id")
-        .select("doc_id", "lang", arrow_udf(_counted, "struct<bucket: array<int>, share: array<float>>")("text").alias("c"))
-        .collect()
-    )
-    found.sort(key=lambda r: (r["doc_id"], r["lang"]))
+    counted = arrow_udf(_counted, "struct<bucket: array<int>, share: array<float>>")("text")
+    found = _sample(known).select("mark", "lang", counted.alias("c")).collect()
+    found.sort(key=lambda r: (r["mark"], r["lang"]))
     languages = sorted({r["lang"] for r in found})
     at = {name: i for i, name in enumerate(languages)}
     rows = [(np.array(r["c"]["bucket"], dtype=np.int64), np.array(r["c"]["share"])) for r in found]

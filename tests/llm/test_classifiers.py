@@ -126,11 +126,27 @@ def test_trees_walk_like_plain_code():
 
 
 def test_no_language_is_lost_among_many(spark):
-    ids = spark.range(36_000).selectExpr("id AS doc_id", "concat('l', id % 60) AS lang")
-    few = spark.range(50_000, 50_020).selectExpr("id AS doc_id", "concat('rare', id % 10) AS lang")
-    picked = {r.doc_id for r in language._sample(ids.union(few)).collect()}
+    ids = spark.range(36_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('l', id % 60) AS lang")
+    few = spark.range(50_000, 50_020).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('rare', id % 10) AS lang")
+    picked = {int(r.text.split()[1]) for r in language._sample(ids.union(few)).collect()}
     assert picked >= set(range(50_000, 50_020))
-    assert {i % 60 for i in picked if i < 36_000} == set(range(60)) and 3000 < len(picked) < 4000
+    at = [i % 60 for i in picked if i < 36_000]
+    assert set(at) == set(range(60)) and {at.count(k) for k in range(60)} == {4000 // 70}
+
+
+def test_shared_ids_and_texts_do_not_break_the_bound_on_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "PER_LANGUAGE", 100)
+    docs = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 7, id) as doc_id",
+        "if(id % 9 < 4, 'the same', concat('text ', id)) as text",
+        "if(id % 2 = 0, 'a', 'b') as lang",
+    )
+    hot = spark.range(5000).selectExpr("1L as doc_id", "'only this' as text", "'c' as lang")
+    found = language._sample(docs.union(hot)).collect()
+    per = {name: [r.text for r in found if r.lang == name] for name in "abc"}
+    assert [len(per[name]) for name in "abc"] == [100, 100, 1]
+    again = language._sample(docs.union(hot).repartition(7)).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
 
 
 def test_a_shared_id_does_not_break_the_bound_on_training_rows(spark):
