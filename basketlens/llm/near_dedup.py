@@ -25,7 +25,12 @@ loss among the candidates:
   hub than either has of it) tells which pairs can reach the threshold without added ones
   (:func:`_through_the_hub`); all others must share one of the rarest of their added shingles, by
   prefix filtering (:func:`_through_added`).
-* Pairs of one bucket without a common hub are compared directly (:func:`_without_common_hub`).
+* Pairs of one bucket without a common hub are left (:func:`_without_common_hub`).
+
+Where up to ``FEW`` texts of a bucket differ from the rest, these pairs are met in the bucket, at most ``FEW`` for each of its
+texts. In wider buckets, say of a passage that many unlike texts share, or of many parts of one long text, two texts
+must have one of their rarest shingles in common as well (:func:`_rarest`, :func:`_through_rarest`): the
+shingles of the passage are the most frequent of the texts that have it, so nobody meets there.
 
 The classes are found by hooking to smaller neighbours and pointer jumping over tables in the
 shared folder. Nothing but counts reaches the driver.
@@ -41,7 +46,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +63,8 @@ ROWS = 32
 PICKS = 5
 SHORT = 40  # shingles up to which a text's pairs are found without the sketch
 CLOSE = 0.4  # share of common shingles from which a text counts as close to its hub
+FEW = 16  # texts of a bucket unlike the rest up to which they are met with the rest one by one
+BANDS = 16  # bands of length for each factor of e by which long texts meet
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -327,22 +334,30 @@ def _minority(rows: DataFrame, on: list[str], label: str) -> DataFrame:
     return rows.join(most, on).where(F.col(label) != F.col("most")).drop("most")
 
 
-def _without_common_hub(entries: DataFrame, near: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are not both close to one hub."""
+def _met(rows: DataFrame, on: list[str], label: str, also: Column) -> tuple[DataFrame, DataFrame]:
+    """The pairs of groups where up to ``FEW`` texts have another label than the rest; the nodes of wider groups."""
+    few = staged(_minority(rows, on, label))
+    wide = few.groupBy(*on).agg(F.count("*").alias("few")).where(F.col("few") > FEW).select(*on)
+    mixed = rows.groupBy(*on).agg((F.min("root") < F.max("root")).alias("mixed")).where("mixed").select(*on)
+    wide = staged(wide.join(mixed, on, "left_semi"))
+    return _apart(few.join(wide, on, "left_anti"), rows, on, also), rows.join(wide, on, "left_semi").select("node")
+
+
+def _without_common_hub(entries: DataFrame, near: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a bucket that are not both close to one hub; the nodes of wide buckets."""
     label = near.where("close").select("node", F.col("top").alias("label"))
     rows = entries.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = staged(_rooted(rows.select("bucket", "node", "label"), roots))
-    return _apart(_minority(rows, ["bucket"], "label"), rows, ["bucket"], F.col("label_a") != F.col("label_b"))
+    return _met(rows, ["bucket"], "label", F.col("label_a") != F.col("label_b"))
 
 
-def _through_the_hub(entries: DataFrame, near: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """Pairs of a bucket close to one hub that may have enough in common through it alone."""
+def _through_the_hub(entries: DataFrame, near: DataFrame, roots: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a bucket close to one hub that may have enough in common through it alone; the nodes of wide buckets."""
     rich = near.where(F.col("close") & (F.col("common") >= least * F.col("n") - 1e-6))
     rows = entries.select("bucket", "node").join(rich.select("node", "top", "n", "common"), "node")
     rows = staged(_rooted(rows, roots))
     need = least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    on = ["bucket", "top"]
-    return _apart(_minority(rows, on, "root"), rows, on, F.least("common_a", "common_b") >= need)
+    return _met(rows, ["bucket", "top"], "root", F.least("common_a", "common_b") >= need)
 
 
 def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame:
@@ -367,29 +382,51 @@ def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame
     return _apart(_minority(prefix, on, "root"), prefix, on, enough)
 
 
-def _rarest(texts: DataFrame, least: float) -> DataFrame:
-    """node, n, gram, place, m, long: where short texts meet by one of their rarest shingles.
+def _shingles_of(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, n, gram: the labelled shingles of the given nodes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch.column("node"), batch.column("words"), strict=True):
+                grams = labelled(shingles(np.frombuffer(raw.as_py(), dtype=np.uint64))).view(np.int64)
+                many = len(grams)
+                made = [np.full(many, node.as_py(), np.int64), np.full(many, many, np.int32), grams]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["node", "n", "gram"])
+
+    return lists.join(nodes.distinct(), "node", "left_semi").mapInArrow(work, "node bigint, n int, gram bigint")
+
+
+def _band(length: Column) -> Column:
+    return F.floor(F.log(length) * BANDS).cast("int")
+
+
+def _rarest(each: DataFrame, least: float, band: Callable[[Column], Column] = lambda length: length) -> DataFrame:
+    """node, n, gram, place, m, long of texts (node, n, gram): where they meet by one of their rarest shingles.
 
     Shingles are numbered from the most frequent one, ``place`` of them are no rarer than this one. Where it is the rarest
     that two texts have in common, no more than the smaller place can be. So the longer text has it only
-    for lengths ``m`` of the shorter one at which that is enough, and the shorter one for its own.
+    for lengths (or bands of them) ``m`` of the shorter one at which that is enough, and the shorter one for its own, if
+    that is enough with a text no shorter.
     """
-    each = texts.where("grams is not null").select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     counts = each.groupBy("gram").agg(F.count("*").alias("many")).where("many > 1")
     each = each.join(staged(counts), "gram")
     order = Window.partitionBy("node").orderBy(F.desc("many"), F.desc("gram"))
     fewest = F.ceil(least * F.col("n") - 1e-6).cast("int")
     each = staged(each.withColumn("place", F.row_number().over(order)).where(F.col("place") >= fewest).drop("many"))
     most = F.least(F.col("n"), F.floor((1 + least) / least * F.col("place") + 1e-6).cast("int") - F.col("n"))
-    long = each.where(most >= fewest).select("*", F.explode(F.sequence(fewest, most)).alias("m"), F.lit(True).alias("long"))
-    rows = staged(long.union(each.select("*", F.col("n").alias("m"), F.lit(False).alias("long"))))
-    both = rows.groupBy("gram", "m").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("long").alias("any"))
-    both = both.where("any and low < high").select("gram", "m")
+    lengths = F.explode(F.sequence(band(fewest), band(most))).alias("m")
+    long = each.where(most >= fewest).select("*", lengths, F.lit(True).alias("long"))
+    short = each.where(F.col("place") >= 2 * least / (1 + least) * F.col("n") - 1e-6)
+    rows = staged(long.union(short.select("*", band(F.col("n")).alias("m"), F.lit(False).alias("long"))))
+    both = rows.groupBy("gram", "m").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.max("long").alias("any"), F.min("long").alias("all")
+    )
+    both = both.where("any and not all and low < high").select("gram", "m")
     return rows.join(staged(both), ["gram", "m"])
 
 
 def _through_rarest(meets: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """Pairs of short texts that share one of their rarest shingles and may have enough in common."""
+    """Pairs of texts that share one of their rarest shingles and may have enough in common."""
     rows = staged(_rooted(meets, roots))
     need = least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6
     others = rows.withColumn("long", ~F.col("long"))
@@ -406,7 +443,8 @@ def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     shared = entries.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1")
     entries = staged(entries.join(shared, "bucket"))
     degree = staged(entries.groupBy("node").agg(F.sum("many").alias("degree")))
-    meets = staged(_rarest(texts, least))
+    short = texts.where("grams is not null").select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    meets = staged(_rarest(short, least))
     wanted = degree.select("node").union(meets.select("node")).distinct()
     wanted = texts.select("node", "first.doc", "first.text_key").join(wanted, "node", "left_semi")
     lists = staged(_word_lists(docs, wanted))
@@ -432,11 +470,14 @@ def _classes(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     roots = components(links)
 
     # What is still apart.
+    without, wide = _without_common_hub(entries, near, roots)
+    through, parts = _through_the_hub(entries, near, roots, least)
+    wide = _rarest(_shingles_of(lists, wide.union(parts)), least, _band)
     rest = (
-        _without_common_hub(entries, near, roots)
-        .union(_through_the_hub(entries, near, roots, least))
+        without.union(through)
         .union(_through_added(near, roots, least))
         .union(_through_rarest(meets, roots, least))
+        .union(_through_rarest(wide, roots, least))
         .distinct()
     )
     links = links.union(staged(compared(rest, lists, least).where("linked").select("a", "b")))
