@@ -47,6 +47,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -334,13 +335,18 @@ def _minority(rows: DataFrame, on: list[str], label: str) -> DataFrame:
     return rows.join(most, on).where(F.col(label) != F.col("most")).drop("most")
 
 
-def _met(rows: DataFrame, on: list[str], label: str, also: Column) -> tuple[DataFrame, DataFrame]:
-    """The pairs of groups where up to ``FEW`` texts have another label than the rest; the nodes of wider groups."""
-    few = staged(_minority(rows, on, label))
-    wide = few.groupBy(*on).agg(F.count("*").alias("few")).where(F.col("few") > FEW).select(*on)
-    mixed = rows.groupBy(*on).agg((F.min("root") < F.max("root")).alias("mixed")).where("mixed").select(*on)
-    wide = staged(wide.join(mixed, on, "left_semi"))
-    return _apart(few.join(wide, on, "left_anti"), rows, on, also), rows.join(wide, on, "left_semi").select("node")
+def _met(rows: DataFrame, on: list[str], labels: list[str], also: Column) -> tuple[DataFrame, DataFrame]:
+    """The pairs of groups where up to ``FEW`` texts have another label, of any of ``labels``, than the rest; the nodes of wider groups.
+
+    A pair differs in all of ``labels``, so one that is shared by nearly all texts of a group is enough.
+    """
+    pairs = []
+    for label in labels:
+        few = staged(_minority(rows, on, label))
+        wide = staged(few.groupBy(*on).agg(F.count("*").alias("few")).where(F.col("few") > FEW).select(*on))
+        pairs.append(_apart(few.join(wide, on, "left_anti"), rows, on, also))
+        rows = staged(rows.join(wide, on, "left_semi"))
+    return reduce(DataFrame.union, pairs), rows.select("node")
 
 
 def _without_common_hub(entries: DataFrame, near: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -348,16 +354,25 @@ def _without_common_hub(entries: DataFrame, near: DataFrame, roots: DataFrame) -
     label = near.where("close").select("node", F.col("top").alias("label"))
     rows = entries.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = staged(_rooted(rows.select("bucket", "node", "label"), roots))
-    return _met(rows, ["bucket"], "label", F.col("label_a") != F.col("label_b"))
+    return _met(rows, ["bucket"], ["root", "label"], F.col("label_a") != F.col("label_b"))
 
 
 def _through_the_hub(entries: DataFrame, near: DataFrame, roots: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of a bucket close to one hub that may have enough in common through it alone; the nodes of wide buckets."""
+    """Pairs of a bucket close to one hub that may have enough in common through it alone; the nodes of wide buckets.
+
+    A text that has not enough in common with the hub even for the shortest one of its bucket is in no such pair.
+    """
+
+    def needed(one: str, two: str) -> Column:
+        return least / (1 + least) * (F.col(one) + F.col(two)) - 1e-6
+
+    on = ["bucket", "top"]
     rich = near.where(F.col("close") & (F.col("common") >= least * F.col("n") - 1e-6))
-    rows = entries.select("bucket", "node").join(rich.select("node", "top", "n", "common"), "node")
+    rows = staged(entries.select("bucket", "node").join(rich.select("node", "top", "n", "common"), "node"))
+    shortest = rows.groupBy(*on).agg(F.min("n").alias("shortest"))
+    rows = rows.join(shortest, on).where(F.col("common") >= needed("n", "shortest")).drop("shortest")
     rows = staged(_rooted(rows, roots))
-    need = least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    return _met(rows, ["bucket", "top"], "root", F.least("common_a", "common_b") >= need)
+    return _met(rows, on, ["root"], F.least("common_a", "common_b") >= needed("n_a", "n_b"))
 
 
 def _through_added(near: DataFrame, roots: DataFrame, least: float) -> DataFrame:
