@@ -217,51 +217,3 @@ def test_added_passages_that_are_enough_are_met(spark):
     near_ = spark.createDataFrame(rows, "node bigint, top bigint, n int, common int, close boolean, added array<bigint>")
     roots = spark.createDataFrame([], "node bigint, root bigint")
     assert {tuple(r) for r in nd._through_added(near_, roots, 0.8).collect()} == {(2, 3)}
-
-
-def test_wide_buckets_meet_by_their_rarest_shingles(spark, monkeypatch):
-    """With every bucket wide, the classes are those of the brute force."""
-    monkeypatch.setattr(nd, "FEW", 0)
-    rng = random.Random(31)
-    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
-    far = [near(base, rng, 14) for _ in range(25)]
-    texts = [(0, base), *((100 + i, near(base, rng, 2)) for i in range(25))]
-    texts += [(200 + i, t) for i, t in enumerate(far)] + [(300 + i, near(t, rng, 1)) for i, t in enumerate(far)]
-    words = base.split()
-    texts += [(400 + i, " ".join(words[5 * i : 5 * i + 90 + i % 7])) for i in range(40)]
-    texts += [(500 + i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(70)) + " " + PASSAGE) for i in range(40)]
-    texts += [(600 + i, near(t, rng, 1)) for i, (_, t) in enumerate(texts[-40:])]
-    found = {r.doc_id: r.class_id for r in nd.near_duplicate_classes(odd(spark, texts)).collect()}
-    assert found == brute_classes({i: nd.word_hashes(t) for i, t in texts})
-
-
-def wide_pairs(spark, words):
-    """The pairs that are compared if all these texts are in one bucket."""
-    entries = spark.createDataFrame([(i, 1) for i in words], "node bigint, bucket bigint")
-    near_ = spark.createDataFrame([], "node bigint, top bigint, n int, common int, close boolean, added array<bigint>")
-    roots = spark.createDataFrame([], "node bigint, root bigint")
-    pairs, wide = nd._without_common_hub(entries, near_, roots)
-    assert pairs.count() == 0 and wide.count() == len(words)
-    meets = nd._rarest(nd._shingles_of(lists_of(spark, words), wide), nd.SIMILARITY, nd._band)
-    return {(r.a, r.b) for r in nd._through_rarest(meets, roots, nd.SIMILARITY).collect()}
-
-
-def test_a_common_passage_does_not_pair_the_texts_that_have_it(spark):
-    rng = np.random.default_rng(32)
-    passage = rng.integers(0, 1 << 40, 90, dtype=np.uint64)
-    for many in (150, 300):
-        words = {i: np.concatenate((passage, rng.integers(0, 1 << 40, 17, dtype=np.uint64))) for i in range(many)}
-        assert wide_pairs(spark, words) == set()
-    words[many] = np.append(words[7][:-1], np.uint64(3))
-    assert nd.similar(words[7], words[many]) and wide_pairs(spark, words) == {(7, many)}
-
-
-def test_parts_of_one_text_meet_only_where_they_overlap(spark):
-    rng = np.random.default_rng(33)
-    whole = rng.integers(0, 1 << 40, 4200, dtype=np.uint64)
-    for many in (100, 200):
-        words = {i: whole[20 * i : 20 * i + 104] for i in range(many)}
-        pairs = wide_pairs(spark, words)
-        assert len(pairs) <= 4 * many and all(b - a < 5 for a, b in pairs)
-    near_ones = {i: whole[10 * i : 10 * i + 104] for i in range(100)}
-    assert {(i, i + 1) for i in range(99)} <= wide_pairs(spark, near_ones)
