@@ -13,7 +13,10 @@ documents for each block, so a large benchmark needs more passes, not more memor
 
 Null and empty texts have no words; items without words have no windows. Several benchmark rows of
 one item count as one item. A word is a run of ASCII letters, digits and characters beyond ASCII,
-with A-Z in lower case.
+with A-Z in lower case. Of words equally rare in a window the smallest is its prefix. Each row of
+the documents is judged by itself, so repeated rows have equal results; an empty table of documents
+has none, an empty benchmark hits nothing. The words of a text, however long, are one array in one task. Other columns
+than the id and the text are not read; :func:`decontaminated` hands them on, whatever their names.
 """
 
 from __future__ import annotations

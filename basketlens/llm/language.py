@@ -13,6 +13,9 @@ Rejection is calibrated on a part of the sample that training has not seen: the
 which that part reaches ``PRECISION``. Rejected rows keep their best language and are marked.
 
 Texts that are null or have no letter get ``und`` with score 0. If no language was learned, all do.
+Every row has a row of the result, equal rows equal ones; an empty table has none. A row with a null doc_id counts as held
+out. A text is scored whole by one task, however long. Columns other than doc_id, text and lang are not read, whatever their
+names, and lang only for training.
 """
 
 from __future__ import annotations

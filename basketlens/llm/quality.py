@@ -6,7 +6,9 @@ leave the tasks. A fitted model is a handful of arrays (every tree a complete bi
 tasks walk for all rows and all trees of a batch at once.
 
 A null text counts as an empty one and gets a score like any other text. Without labels, or with
-labels of one class only, every text gets the share of label 1 (0.5 without labels).
+labels of one class only, every text gets the share of label 1 (0.5 without labels). Every row has a row of the result,
+equal rows equal ones; an empty table has none. A row with a null doc_id counts as held out. A text's statistics are
+those of all of it, taken by one task. Columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

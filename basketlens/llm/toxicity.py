@@ -19,7 +19,9 @@ possible subsequence; tasks look these up for whole texts. Fitted in numpy on th
 most ``TRAIN_ROWS`` labelled rows, of which only the distinct words leave the tasks.
 
 Null and empty texts get the score of a text without words; without labels of both classes every
-text gets the share of label 1 (0.5 without labels).
+text gets the share of label 1 (0.5 without labels). Every row has a row of the result, equal rows equal ones; an empty table
+has none. A row with a null doc_id counts as held out. A text is scored whole by one task, however long.
+Columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
