@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from basketlens.operators import profiling as p
 from basketlens.operators import reports as r
 from basketlens.operators.crosstab import Spec, crosstab, crosstab_many, pivot_wide
+from basketlens.plans import reports
 
 
 @pytest.fixture(scope="module")
@@ -137,3 +138,12 @@ def test_declared_pivots_run_no_job_before_the_result(spark):
     pivot_wide(df, "r", "c", F.count(F.lit(1)), ["0", "1"])
     assert not status.getJobIdsForGroup("pivot-declared")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_every_country_has_a_column_of_its_own(spark, monkeypatch):
+    rows = [("x", "USA", 1.0), ("x", "Atlantis", 2.0), ("x", "Utopia", 4.0), ("y", "Utopia", 8.0), ("y", None, 16.0)]
+    table = spark.createDataFrame(rows, "Product_Category string, Country string, Total_Purchases double")
+    monkeypatch.setattr(reports, "stored_retail", lambda *_: table)
+    found = {r.Product_Category: r.asDict() for r in reports.pivot_category_country(spark, "").collect()}
+    assert found["x"] == {"Product_Category": "x", "USA": 1.0, "Atlantis": 2.0, "Utopia": 4.0, "null": 0.0}
+    assert found["y"] == {"Product_Category": "y", "USA": 0.0, "Atlantis": 0.0, "Utopia": 8.0, "null": 16.0}
