@@ -4,8 +4,8 @@ Base spans (emails, IP addresses, card and phone numbers) are found by fixed pat
 always stay. Beside them, wider generators propose overlapping candidates: anything around an "@",
 spelled-out addresses, runs of digits with any of the usual separators, dotted numbers. Boosted
 trees score every candidate by its format (length, digits, groups, separators) and its context
-(the characters around it); they never see the rules. They learn from candidates of a bounded
-sample of documents, labelled by whether a base span covers the candidate exactly, so that they
+(the characters around it); they never see the rules. They learn from the candidates of all
+documents, labelled by whether a base span covers the candidate exactly, so that they
 recognise what looks and stands like personal data though it breaks a rule. For each kind the
 lowest threshold with enough precision on candidates kept from training is chosen
 (``PRECISION``); candidates from there on that touch no base span are added, longer ones first
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from basketlens.llm.native import MARK, below, cut, let, matches, pieces, running
 
-SAMPLE_DOCS = 20_000  # most documents the trees learn from
 TREES, DEPTH = 16, 3
+LEAST = 5  # candidates on either side of a split
 PRECISION = 0.95
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. They match what
@@ -190,19 +190,22 @@ def _tree(node) -> tuple:
     return (int(split.featureIndex()), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = SAMPLE_DOCS) -> Scorer | None:
-    """Trees and thresholds from at most ``most`` documents, picked by a hash of their key.
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int | None = None) -> Scorer | None:
+    """Trees and thresholds from every text, or with ``most`` from at most so many documents, picked by a hash of their key.
 
-    Of rows that share a key, the text with the smallest hash is taken, so the bound is one on rows; null keys and
-    texts are left out. None if the sample's candidates are all covered by base spans, or none is.
+    Candidates that look alike are counted first, and the trees learn from the counts: these are as many as there are
+    different formats and contexts, however many documents. Rows that share a key or have none all count. With ``most``, of
+    rows that share a key the text with the smallest hash is taken, so the bound is one on rows, and null keys are left out.
+    Null texts have no candidates. None if all candidates are covered by base spans, or none is.
     """
-    keys = docs.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
-    picked = keys.orderBy(F.xxhash64("__key"), "__key").limit(most)
-    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(picked), "__key")
-    sample = texts.where(F.col("__text").isNotNull()).groupBy("__key").agg(
-        F.min_by("__text", F.xxhash64("__text")).alias("__text")
-    )
-    sample = with_base(sample.where(F.col("__text").rlike("[0-9@]")), "__text", "__b_")
+    texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).where(F.col("__text").isNotNull())
+    if most is not None:
+        keys = docs.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
+        picked = keys.orderBy(F.xxhash64("__key"), "__key").limit(most)
+        texts = texts.join(F.broadcast(picked), "__key").groupBy("__key").agg(
+            F.min_by("__text", F.xxhash64("__text")).alias("__text")
+        )
+    sample = with_base(texts.where(F.col("__text").rlike("[0-9@]")), "__text", "__b_")
 
     def place(span: Column) -> Column:
         return F.shiftleft(span["start"].cast("bigint"), 31) + span["stop"]
@@ -224,22 +227,25 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int =
     )
     rows = sample.select("__key", F.explode(labels).alias("__span")).select("__key", "__span.*")
     names = [f"f{i}" for i in range(len(FEATURES))]
-    rows = rows.select("__key", "kind", "start", "label", *[F.col("f")[i].alias(n) for i, n in enumerate(names)])
-    rows = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
-    rows = rows.withColumn("kept", F.pmod(F.xxhash64("__key"), F.lit(10)) < 3).cache()
+    kept = (F.pmod(F.xxhash64("__key"), F.lit(10)) < 3).alias("kept")
+    rows = rows.select(kept, "kind", "label", *[F.col("f")[i].alias(n) for i, n in enumerate(names)])
+    rows = rows.groupBy("kept", "kind", "label", *names).agg(F.count(F.lit(1)).cast("double").alias("many"))
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(rows).cache()
     try:
-        seen = {(r["kept"], r["label"]) for r in rows.select("kept", "label").distinct().collect()}
-        if not {(False, 0.0), (False, 1.0)} <= seen:
+        seen = {(r["kept"], r["label"]): r["many"] for r in rows.groupBy("kept", "label").agg(F.sum("many").alias("many")).collect()}
+        if not {(False, 0.0), (False, 1.0)} <= seen.keys():
             return None
+        total = seen[(False, 0.0)] + seen[(False, 1.0)]
         boosted = GBTClassifier(
-            labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=64, minInstancesPerNode=5
-        )
+            labelCol="label", weightCol="many", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=64,
+            minInstancesPerNode=1, minWeightFractionPerNode=min((LEAST - 0.5) / total, 0.499),
+        )
         model = boosted.fit(rows.where(~F.col("kept")))
         probability = vector_to_array("probability")[1]
         by_step = (
             model.transform(rows.where("kept"))
             .groupBy("kind", F.floor(probability * 100).cast("int").alias("step"))
-            .agg(F.sum("label").alias("right"), F.count("*").alias("all"))
+            .agg(F.sum(F.col("label") * F.col("many")).alias("right"), F.sum("many").alias("all"))
             .collect()
         )
     finally:

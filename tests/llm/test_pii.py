@@ -148,3 +148,12 @@ def test_a_shared_id_gives_one_training_text(spark, monkeypatch):
     with pytest.raises(AnalysisException):
         pii.train(docs, most=50)
     assert seen[0].count() == 50 and seen[0].groupBy("__key").count().where("count > 1").count() == 0
+
+
+def test_every_document_counts_in_training(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "with_base", lambda docs, *_: seen.append(docs) or docs.select("no such column"))
+    docs = spark.range(25_000).selectExpr("if(id % 5 = 0, null, id div 2) as doc_id", "concat('call ', id) as text")
+    with pytest.raises(AnalysisException):
+        pii.train(docs)
+    assert seen[0].count() == 25_000
