@@ -211,3 +211,32 @@ def test_refreshing_a_year_leaves_the_others_alone(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(Year" in one._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError, match="partition columns"):
         writers.refresh_parquet(rows, str(path), [])
+
+
+def test_collections_and_the_csv_job_are_written_compressed(spark, raw, tmp_path):
+    some = raw.limit(20)
+    writers.replace_collection(some, str(tmp_path / "c"))
+    writers.write_csv(raw, str(tmp_path / "in"), compression="gzip")
+    process_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"), compression="gzip")
+    for folder in ("c", "in", "out"):
+        names = [f.name for f in (tmp_path / folder).rglob("part-*")]
+        assert names and all(name.endswith(".gz") for name in names)
+    assert readers.read_replaced(spark, str(tmp_path / "c"), raw.schema).count() == 20
+
+
+def test_purchases_are_dealt_by_order_and_part_only(spark, sf_dir):
+    """Between the scan of the purchases and the result there are two exchanges, none by customer."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = retail(spark, sf_dir)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and "l_orderkey" in line)
+    above, depth = [], lines[at].index("- ")
+    for line in reversed(lines[:at]):
+        if "- " in line and line.index("- ") < depth:
+            depth = line.index("- ")
+            above.append(line)
+    dealt = [line for line in above if "Exchange hashpartitioning(" in line]
+    assert len(dealt) == 2 and not any("custkey" in line for line in dealt)
