@@ -108,7 +108,8 @@ def training_products(model: DataFrame, last: DataFrame) -> DataFrame:
     kept = (F.col("Products") != F.col("actual_item")) | (F.col("n") > 1)
     # Stored, so that adaptive execution can split a customer with very many products.
     last = staged(last.select("Customer_ID", "actual_item"))
-    return counts.join(last, "Customer_ID").where(kept).select("Customer_ID", "Products")
+    # Dealt by customer while the rows are narrow, so that means of vectors by customer need not be.
+    return counts.repartition("Customer_ID").join(last, "Customer_ID").where(kept).select("Customer_ID", "Products")
 
 
 def user_embeddings(model: DataFrame, embeddings: DataFrame) -> DataFrame:

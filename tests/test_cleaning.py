@@ -9,7 +9,8 @@ from basketlens.functions.labels import age_group, feedback_rating, income_score
 from basketlens.functions.numeric import exact_avg, exact_sum, round_half_up
 from basketlens.operators import cleaning as c
 from basketlens.operators.staging import staged
-from basketlens.plans.tables import ROW_KEY
+from basketlens.plans.tables import ROW_KEY, clean_table
+from basketlens.schema import CLEAN_COLUMNS
 from basketlens.schema import (
     MissingColumns,
     TYPED_SCHEMA,
@@ -239,3 +240,12 @@ def test_customer_with_a_third_of_all_rows_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_what_the_profile_replaces_is_not_dealt_with_the_rows(spark, sf_dir, monkeypatch):
+    seen = []
+    plain = c.renumber
+    monkeypatch.setattr(c, "renumber", lambda df, order: seen.append(df.columns) or plain(df, order))
+    result = clean_table(spark, sf_dir)
+    assert not {"Country", "Gender", "Customer_Segment", "Income"}.intersection(seen[0]) and "Age" in seen[0]
+    assert result.columns == CLEAN_COLUMNS
