@@ -29,6 +29,13 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def labelled_keys(labels: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
+    """(__key, __label) of all keys outside the held-out fold that are labelled 0 or 1, the greatest label of each."""
+    marked = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
+    known = marked.where(F.col("__key").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__key")))
+    return known.groupBy("__key").agg(F.max("__label").alias("__label"))
+
+
 def training_texts(
     docs: DataFrame, labels: DataFrame, label: str, most: int, key: str = "doc_id"
 ) -> DataFrame:
@@ -38,14 +45,7 @@ def training_texts(
     at most ``most`` of them, which bounds their broadcast, and one text for each: of rows that share a key, that
     with the smallest hash, a null one only if there is no other.
     """
-    picked = (
-        labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
-        .where(F.col("__key").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__key")))
-        .groupBy("__key")
-        .agg(F.max("__label").alias("__label"))
-        .orderBy(F.xxhash64("__key"), "__key")
-        .limit(most)
-    )
+    picked = labelled_keys(labels, label, key).orderBy(F.xxhash64("__key"), "__key").limit(most)
     found = docs.select(F.col(key).alias("__key"), F.col("text").alias("text")).join(F.broadcast(picked), "__key")
     return found.groupBy("__key").agg(
         F.min_by("text", F.when(F.col("text").isNotNull(), F.xxhash64("text"))).alias("text"),

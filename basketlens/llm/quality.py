@@ -1,9 +1,9 @@
 """Quality classifier: histogram gradient-boosted trees over statistics of a document.
 
-The statistics are computed by Spark tasks. Trees are grown in numpy on the driver from a bounded
-sample of labelled rows (``TRAIN_ROWS``); of the sample only the statistics, a few numbers a row,
-leave the tasks. A fitted model is a handful of arrays (every tree a complete binary tree), which
-tasks walk for all rows and all trees of a batch at once.
+The statistics are computed by Spark tasks. Trees are grown by Spark ML from all labelled rows outside the
+held-out fold, over the bin numbers of their statistics; the bounds of the bins are quantiles of all these rows.
+Rows stay in the tasks: bounds and trees are all that reaches the driver. A fitted model is a handful of
+arrays (every tree a complete binary tree), which tasks walk for all rows and all trees of a batch at once.
 
 A null text counts as an empty one and gets a score like any other text. Without labels, or with
 labels of one class only, every text gets the share of label 1 (0.5 without labels). Every row has a row of the result,
@@ -18,13 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from basketlens.llm.common import held_out, training_texts
+from basketlens.llm.common import held_out, labelled_keys
+from basketlens.operators.staging import shared_folder, staged
 
-TRAIN_ROWS = 20_000  # most labelled rows a model is fitted on
+TREES, DEPTH, RATE, BINS, LEAST = 120, 4, 0.1, 64, 8
+PART_ROWS = 100_000  # labelled rows to fill a partition while trees grow: each level of each tree is a shuffle of its own
 THRESHOLD = 0.3  # a text is accepted from this score on
 
 FEATURES = (
@@ -114,10 +118,10 @@ class Trees:
 
 
 def fit(
-    rows: np.ndarray, label: np.ndarray, trees: int = 120, depth: int = 4, rate: float = 0.1,
-    bins: int = 64, ridge: float = 2.0, least: int = 8,
+    rows: np.ndarray, label: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE,
+    bins: int = BINS, ridge: float = 2.0, least: int = LEAST,
 ) -> Trees:
-    """Boost ``trees`` trees on the logistic loss, splits taken between histogram bins."""
+    """Boost ``trees`` trees on the logistic loss for rows in memory, splits taken between histogram bins."""
     inner, leaves = 2**depth - 1, 2**depth
     empty = np.zeros((0, inner)), np.zeros((0, leaves))
     if not len(label):
@@ -176,13 +180,77 @@ def _statistics(texts: pa.Array) -> pa.Array:
     return pa.array([statistics(value.as_py()) for value in texts], type=pa.list_(pa.float32()))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Trees:
-    """Fit on (doc_id, text) and (doc_id, label), outside the held-out fold only."""
-    sample = training_texts(docs, labels, label, most)
-    found = sample.select("__key", arrow_udf(_statistics, "array<float>")("text").alias("row"), "label").collect()
-    found.sort(key=lambda r: r["__key"])
-    rows = np.array([r["row"] for r in found], dtype=np.float64).reshape(-1, len(FEATURES))
-    return fit(rows, np.array([r["label"] for r in found], dtype=np.float64))
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """(__key, row, label): the statistics of every labelled row outside the held-out fold, one for each key.
+
+    They are computed before the labels are joined, so no text is shuffled. Of rows that share a key the text with the
+    smallest hash counts, a null one only if there is no other.
+    """
+    key, text = F.col("doc_id"), F.col("text")
+    hashed = F.when(text.isNotNull(), F.xxhash64(text)).alias("hash")
+    known = docs.where(key.isNotNull() & ~held_out(key)).select(
+        key.alias("__key"), hashed, arrow_udf(_statistics, "array<float>")(text).alias("row")
+    )
+    found = known.join(labelled_keys(labels, label), "__key").groupBy("__key").agg(
+        F.min_by("row", "hash").alias("row"), F.first("__label").alias("label")
+    )
+    nothing = F.array_repeat(F.lit(0.0).cast("float"), len(FEATURES))
+    return found.select("__key", F.coalesce("row", nothing).alias("row"), "label")
+
+
+def _complete(model: GBTClassificationModel, cuts: list[np.ndarray], depth: int) -> Trees:
+    """The trees over bin numbers as complete trees over the numbers themselves."""
+    inner, many = 2**depth - 1, len(model.trees)
+    feature = np.zeros((many, inner), dtype=np.int64)
+    threshold = np.full((many, inner), np.inf)
+    leaf = np.zeros((many, inner + 1))
+
+    def put(t: int, at: int, node, weight: float) -> None:
+        if node.subtreeDepth():
+            split = node.split()
+            feature[t, at] = split.featureIndex()
+            threshold[t, at] = cuts[feature[t, at]][int(split.threshold())]
+            put(t, 2 * at + 1, node.leftChild(), weight)
+            put(t, 2 * at + 2, node.rightChild(), weight)
+            return
+        while at < inner:  # nothing is beyond an infinite threshold
+            at = 2 * at + 1
+        leaf[t, at - inner] = weight * node.prediction()
+
+    for t, (weight, tree) in enumerate(zip(model.treeWeights, model.trees, strict=True)):
+        put(t, 0, tree._call_java("rootNode"), 2 * weight)  # the library's probability is that of twice the sum
+    return Trees(feature, threshold, leaf, 0.0)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Trees:
+    """Fit on all of (doc_id, text) and (doc_id, label) outside the held-out fold."""
+    rows = staged(training_rows(docs, labels, label))
+    share = [p / BINS for p in range(1, BINS)]
+    bounds = [F.percentile_approx(F.col("row")[i].cast("double"), share).alias(f"c{i}") for i in range(len(FEATURES))]
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean"), *bounds).head()
+    if not seen["n"] or seen["mean"] in (0, 1):
+        mean = min(max(seen["mean"] if seen["n"] else 0.5, 1e-3), 1 - 1e-3)
+        none = np.zeros((0, 2**DEPTH - 1))
+        return Trees(none.astype(np.int64), none, np.zeros((0, 2**DEPTH)), float(np.log(mean / (1 - mean))))
+    cuts = [np.unique(seen[f"c{i}"]) for i in range(len(FEATURES))]
+
+    def binned(many: pa.Array) -> pa.Array:
+        values = many.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).astype(np.float64)
+        at = np.stack([np.searchsorted(c, values[:, i], side="left") for i, c in enumerate(cuts)], axis=1)
+        return pa.array(list(at.astype(np.float64)), type=pa.list_(pa.float64()))
+
+    parts = -(-seen["n"] // PART_ROWS)
+    ordered = rows.coalesce(parts).sortWithinPartitions("__key")
+    features = array_to_vector(arrow_udf(binned, "array<double>")("row")).alias("features")
+    learned = ordered.select(features, F.col("label").cast("double").alias("label")).cache()
+    shared_folder(docs.sparkSession)  # the library cuts its lineage there
+    try:
+        model = GBTClassifier(
+            maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, maxBins=BINS, minInstancesPerNode=LEAST, seed=7
+        ).fit(learned)
+    finally:
+        learned.unpersist()
+    return _complete(model, cuts, DEPTH)
 
 
 def score_column(model: Trees, text: Column) -> Column:
