@@ -26,6 +26,29 @@ def test_index_order_is_that_of_the_library(spark):
     assert len(got) == len(values) and all(x.v_index == x.k for x in got)
 
 
+def test_values_known_to_be_unique_are_placed_by_their_text(spark):
+    ids = [*range(1, 130), 1000, 1001, 200_000]
+    cells = [(i, i % 7, f"n{i % 3}", "Good", 3.0) for i in ids]
+    clean = staged(spark.createDataFrame(cells, "Transaction_ID long, Customer_ID long, products string, Feedback string, Ratings double"))
+    wanted = ["Customer_ID", "Transaction_ID", "Products_Index", "Products", "Combined_Rating"]
+    counted = f.model_table(clean, wanted)
+    placed = f.model_table(clean, wanted, unique="Transaction_ID")
+    assert placed.dtypes == counted.dtypes
+    assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, counted.collect()))
+    places = {x.Transaction_ID: x.i for x in f.place_by_text(clean, "Transaction_ID").withColumnRenamed("Transaction_ID_index", "i").collect()}
+    assert [places[i] for i in sorted(ids, key=str)] == list(range(len(ids)))
+
+
+def test_spread_elements_are_rounded_as_one_array(spark):
+    df = spark.createDataFrame([(1, [0.1234565, 2.0, -0.0000005]), (2, [None, 1 / 3, 1e12]), (3, None)], "i int, v array<double>")
+    spread = df.select("i", *f.spread("v", 3, "v"))
+    each = df.select("i", *[F.round(F.col("v")[k], 6).alias(f"v{k}") for k in range(3)])
+    assert sorted(map(tuple, spread.collect()), key=lambda x: x[0]) == sorted(map(tuple, each.collect()), key=lambda x: x[0])
+    # One expression for the whole array, which generated code computes once.
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(v" in plan
+
+
 def test_scaling_is_that_of_the_library(rows):
     columns = [*f.TRANSACTION_FEATURES, "constant"]
     df = rows.withColumn("constant", F.lit(3))
