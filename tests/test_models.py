@@ -199,6 +199,13 @@ def test_rows_with_a_null_feature_are_skipped(spark, rows):
     assert f.mean_vectors(vectors, ["g"], "v", "m").head().m == [1.0, 3.0]
 
 
+def test_means_of_vectors_of_known_size(spark):
+    cells = [("a", [i / 64, 1.0]) for i in (3, 50, 61, 7)] + [("b", None), ("b", [None, 1.0]), ("c", [0.5, -2.0]), ("b", [2.0, 4.0])]
+    vectors = spark.createDataFrame(cells, "g string, v array<double>")
+    means = {x.g: x.m for x in f.mean_vectors(vectors, ["g"], "v", "m", 2).collect()}
+    assert means == {"a": [121 / 256, 1.0], "b": [2.0, 4.0], "c": [0.5, -2.0]}
+
+
 def test_an_index_beyond_the_library_is_an_error(spark):
     train = spark.createDataFrame([(2**31, 1, 1.0)], "Customer_ID long, Products_Index long, Ratings double")
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
