@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,12 +31,15 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StructType
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 200_000  # units a worker remembers before it starts anew
+REMEMBERED = 100_000  # units a worker remembers before it starts anew
+PORTION = 1 << 18  # characters of texts that are encoded, and leave a worker, at once
 TOGETHER = 40  # units of up to so many characters are searched together
+AT_ONCE = 1024  # as many
 _UNIT = re.compile(r" *[^ ]+| +")
-_SLOTS = 22  # bits of the lookup table
+_SLOTS = 18  # bits of the lookup table
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -257,8 +261,8 @@ class Encoder:
         new = [u for u in dict.fromkeys(u for units in cut for u in units) if u not in memory]
         new.sort(key=len)
         short = [u for u in new if len(u) <= TOGETHER]
-        for start in range(0, len(short), 4096):
-            part = short[start : start + 4096]
+        for start in range(0, len(short), AT_ONCE):
+            part = short[start : start + AT_ONCE]
             memory.update(zip(part, encode_together(self.words, part), strict=True))
         for u in new:
             if memory.get(u) is None:
@@ -277,7 +281,7 @@ def encoder(model_file: str) -> Encoder:
     return Encoder(vocabulary(model_file))
 
 
-def in_portions(texts: pa.Array, characters: int = 1 << 20):
+def in_portions(texts: pa.Array, characters: int = PORTION):
     """The batch's texts in lists of about so many characters, a longer text alone."""
     portion, size = [], 0
     for value in texts:
@@ -291,18 +295,40 @@ def in_portions(texts: pa.Array, characters: int = 1 << 20):
         yield portion
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
+    ends = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int32)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
 def ids_column(text: Column | str, model_file: str = MODEL_FILE) -> Column:
     """array<int>: the ids of every whole text."""
 
     def encoded(texts: pa.Array) -> pa.Array:
-        rows = [ids for part in in_portions(texts) for ids in encoder(model_file).encode(part)]
-        flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
-        ends = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int32)))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        return _lists([ids for part in in_portions(texts) for ids in encoder(model_file).encode(part)])
 
     return arrow_udf(encoded, "array<int>")(text)
 
 
+def encoded_batches(batches: Iterator[pa.RecordBatch], model_file: str = MODEL_FILE) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, text) as batches (doc_id, ids, n_ids) of a portion each, so none is larger than that or one text."""
+    for batch in batches:
+        at = 0
+        for part in in_portions(batch.column("text")):
+            rows = encoder(model_file).encode(part)
+            sizes = pa.array([len(r) for r in rows], pa.int64())
+            columns = [batch.column("doc_id").slice(at, len(rows)), _lists(rows), sizes]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_ids"])
+            at += len(rows)
+
+
+def encoded_rows(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
+    """doc_id, ids, n_ids of every row; ids leave the workers in portions, however large Spark's batches are."""
+    rows = docs.select(F.col("doc_id"), F.col("text"))
+    kind = StructType([rows.schema["doc_id"], *StructType.fromDDL("ids array<int>, n_ids bigint").fields])
+    return rows.mapInArrow(lambda batches: encoded_batches(batches, model_file), kind)
+
+
 def text_column(ids: Column | str, model_file: str = MODEL_FILE) -> Column:
     """The text of every list of ids; null ids decode to the empty text."""
 

@@ -16,7 +16,7 @@ from basketlens.llm.decontamination import decontaminated
 from basketlens.llm.near_dedup import without_near_duplicates
 from basketlens.llm.pii import redacted
 from basketlens.llm.quality import THRESHOLD, score_column, train
-from basketlens.llm.sentencepiece_viterbi import ids_column
+from basketlens.llm.sentencepiece_viterbi import encoded_rows
 from basketlens.operators.staging import staged
 
 #: SQL can express neither the classifier nor the near-duplicates nor the encoding.
@@ -51,7 +51,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_ids."""
-    return docs.select("doc_id", ids_column("text").alias("ids")).withColumn("n_ids", F.size("ids").cast("bigint"))
+    return encoded_rows(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

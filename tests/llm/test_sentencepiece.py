@@ -1,6 +1,8 @@
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,3 +84,25 @@ def test_query_and_columns_on_odd_rows(spark):
     back = docs.select("doc_id", "text", sv.text_column(sv.ids_column("text")).alias("again")).collect()
     assert all((r.text or "") == r.again for r in back)
     assert sv.encode_and_verify(empty(spark)).count() == 0
+
+
+def test_ids_leave_a_worker_in_portions():
+    texts = ["word " * 2000] * 100 + [None, "", "x" * 300_000]  # 1.3 million characters in one batch
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = list(sv.encoded_batches(iter([batch])))
+    assert len(out) > 3 and max(b.column("ids").values.nbytes for b in out) < 8 * sv.PORTION
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(len(texts)))
+    assert [sv.decode(WORDS, r["ids"]) for r in rows] == [text or "" for text in texts]
+    assert all(r["n_ids"] == len(r["ids"]) for r in rows)
+
+
+def test_new_units_take_little_memory():
+    texts = [" ".join(f"{i * 37 % 99991:x}unit{i * 7919:x}" for i in range(start, start + 500)) for start in range(0, 100_000, 500)]
+    tracemalloc.start()
+    encoder = sv.Encoder(sv.Vocabulary(sv.MODEL_FILE))
+    for part in sv.in_portions(pa.array(texts)):
+        encoder.encode(part)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 75e6
