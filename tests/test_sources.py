@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 
@@ -6,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from __spark_entry__ import queries
 from basketlens.operators.cleaning import parse_date_column
 from basketlens.operators import staging
 from basketlens.operators.staging import shared_folder, staged
@@ -240,3 +242,35 @@ def test_purchases_are_dealt_by_order_and_part_only(spark, sf_dir):
             above.append(line)
     dealt = [line for line in above if "Exchange hashpartitioning(" in line]
     assert len(dealt) == 2 and not any("custkey" in line for line in dealt)
+
+
+def test_keys_of_large_tables_have_identifiers(spark, tmp_path):
+    """Up to 64 bits the identifier is the exact number, beyond it wraps around; nulls stay null."""
+    limit = 9_223_372  # the first order whose identifiers need not fit
+    keys = [
+        (order, line, part, supplier)
+        for order in (0, 1, limit - 1, limit, limit + 1, 18_446_744, 53_999_999, 30_000_000_000)
+        for line in (1, 7)
+        for part, supplier in ((0, 0), (36_854, 77_580), (36_854, 77_581), (7_199_999, 359_999))
+    ]
+    tables = {
+        "lineitem": ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                     "l_extendedprice double", [(*k, 2.0, 10.0) for k in keys] + [(1, 1, 0, None, 2.0, 10.0)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+                   [(k, 1, "O", datetime.datetime(2024, 1, 2)) for k in {k[0] for k in keys}]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+                     [(1, "a", 1, 1.0, "m")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "n", 1)]),
+        "region": ("r_regionkey int, r_name string", [(1, "r")]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+                 [(k, "p", "b", "t", 1) for k in {k[2] for k in keys}]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    exact = [((order * 10 + line) * 1_000_000 + part) * 100_000 + supplier for order, line, part, supplier in keys]
+    wrapped = [(x + 2**63) % 2**64 - 2**63 for x in exact]
+    assert {w == x for w, x in zip(wrapped, exact)} == {True, False}
+    found = [r["Transaction_ID"] for r in retail(spark, str(tmp_path)).select("Transaction_ID").collect()]
+    assert sorted(found, key=str) == sorted([*wrapped, None], key=str)
+    numbered = queries()["dense_ids"](spark, str(tmp_path)).collect()
+    assert sorted(r["position"] for r in numbered) == list(range(1, len(keys) + 2))
