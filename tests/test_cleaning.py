@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from basketlens.functions.dates import date_prefix, parse_timestamp
 from basketlens.functions.labels import age_group, feedback_rating, income_score, month_index
 from basketlens.functions.numeric import exact_avg, exact_sum, round_half_up
@@ -249,3 +250,9 @@ def test_what_the_profile_replaces_is_not_dealt_with_the_rows(spark, sf_dir, mon
     result = clean_table(spark, sf_dir)
     assert not {"Country", "Gender", "Customer_Segment", "Income"}.intersection(seen[0]) and "Age" in seen[0]
     assert result.columns == CLEAN_COLUMNS
+
+
+def test_rows_that_come_twice_are_not_joined_twice(spark, sf_dir):
+    plan = queries()["dedupe_rows"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "l_orderkey" in line]
+    assert len(scans) == 1
