@@ -274,3 +274,10 @@ def test_keys_of_large_tables_have_identifiers(spark, tmp_path):
     assert sorted(found, key=str) == sorted([*wrapped, None], key=str)
     numbered = queries()["dense_ids"](spark, str(tmp_path)).collect()
     assert sorted(r["position"] for r in numbered) == list(range(1, len(keys) + 2))
+
+
+def test_rejected_cells_are_read_from_a_compressed_file(spark, sf_dir):
+    found = queries()["csv_rejected"](spark, sf_dir)
+    [path] = {os.path.dirname(name) for name in found.inputFiles()}
+    names = [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("part-")]
+    assert names and all(name.endswith(".csv.gz") for name in names)
