@@ -233,3 +233,12 @@ def test_embeddings_of_every_product(rows):
 def test_hit_rate(spark):
     hits = spark.createDataFrame([(1, 5), (2, 0), (3, 1)], "Customer_ID int, cat_hits long")
     assert tuple(s.hit_rate(hits).head()) == (2.0, 0.4)
+
+
+def test_nobody_looks_for_nulls_where_rows_with_nulls_were_skipped(spark, rows):
+    for nulls, looked_for in (("skip", False), ("keep", True)):
+        hybrid = f.hybrid_vectors(rows, nulls=nulls)
+        assert hybrid.schema["hybrid_vector"].dataType.containsNull == looked_for
+        means = f.mean_vectors(hybrid, ["Products"], "hybrid_vector", "v", 16)
+        plan = means._jdf.queryExecution().optimizedPlan().toString()
+        assert ("exists(" in plan) == looked_for
