@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from __spark_entry__ import queries
 from basketlens.operators.cleaning import parse_date_column
@@ -13,6 +13,7 @@ from basketlens.operators import staging
 from basketlens.operators.staging import shared_folder, staged
 from basketlens.pipeline import process_csv
 from basketlens.plans.tables import clean_table
+from basketlens.schema import cast_or_null
 from basketlens.sources import readers, writers
 from basketlens.sources.adapter import retail
 
@@ -281,3 +282,15 @@ def test_rejected_cells_are_read_from_a_compressed_file(spark, sf_dir):
     [path] = {os.path.dirname(name) for name in found.inputFiles()}
     names = [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("part-")]
     assert names and all(name.endswith(".csv.gz") for name in names)
+
+
+def test_text_with_a_point_is_read_as_a_number_only(spark):
+    texts = {
+        "4": 4, "4.0": 4, " 4 ": 4, "4.7": 4, "-4.9": -4, "+3": 3, "1e3": 1000, "1.5e3": 1500, ".5": 0, "5.": 5, "x": None,
+        "x.y": None, "": None, ".": None, "2147483647.0": 2147483647, "2147483648.0": None, "1,000.0": None, None: None,
+    }
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    found = df.select("x", cast_or_null(F.col("x"), IntegerType(), text=True).alias("n")).collect()
+    assert {r.x: r.n for r in found} == texts
+    big = spark.createDataFrame([("9007199254740993",)], "x string")
+    assert big.select(cast_or_null(F.col("x"), LongType(), text=True)).head()[0] == 9007199254740993
