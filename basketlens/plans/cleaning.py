@@ -179,7 +179,7 @@ UNION ALL SELECT 4, 'quantity_derived', b FROM counts
 UNION ALL SELECT 5, 'unattributed_dropped', c FROM counts
 UNION ALL SELECT 6, 'final', c FROM counts"""))
 def clean_step_counts(spark, sf_dir):
-    return c.clean_step_counts(stored_retail(spark, sf_dir), ROW_KEY)
+    return c.clean_step_counts(retail(spark, sf_dir), ROW_KEY)  # read once: what is read again is stored there
 
 
 @query("dedupe_rows", over_retail("""

@@ -9,6 +9,7 @@ from basketlens.functions.dates import date_prefix, parse_timestamp
 from basketlens.functions.labels import age_group, feedback_rating, income_score, month_index
 from basketlens.functions.numeric import exact_avg, exact_sum, round_half_up
 from basketlens.operators import cleaning as c
+from basketlens.operators import staging
 from basketlens.operators.staging import staged
 from basketlens.plans.tables import ROW_KEY, clean_table
 from basketlens.schema import CLEAN_COLUMNS
@@ -256,3 +257,10 @@ def test_rows_that_come_twice_are_not_joined_twice(spark, sf_dir):
     plan = queries()["dedupe_rows"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "FileScan" in line and "l_orderkey" in line]
     assert len(scans) == 1
+
+
+def test_steps_are_counted_without_storing_what_no_step_reads(spark, sf_dir):
+    before = len(staging._STAGED)
+    queries()["clean_step_counts"](spark, sf_dir)
+    stored = [spark.read.parquet(path).columns for path in staging._STAGED[before:]]
+    assert stored and all("Email" not in columns for columns in stored)
